@@ -43,8 +43,9 @@ def cmgr(monthly: DataFrame, keys: Sequence[str], month: str = "month",
                                                          F.col(revenue).alias("r"))))
     per_item = monthly.groupBy(*keys).agg(F.sum(revenue).alias("total"),
                                           first_pos.alias("first_pos"))
-    n = F.coalesce(F.size(F.filter(axis, lambda m: m >= F.col("first_pos.m"))).cast("int"),
-                   F.lit(1))
+    # The base month is itself on the sorted axis, so the months from it to the
+    # end are counted from its position.
+    n = (F.size(axis) - F.array_position(axis, F.col("first_pos.m")) + 1).cast("int")
     return per_item.select(
         *keys, "total",
         cmgr_expr(F.col("total"), F.col("first_pos.r"), n).alias("cmgr"),

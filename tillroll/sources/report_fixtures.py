@@ -47,6 +47,14 @@ def _join_values(arr: Column, field: str) -> Column:
     return F.array_join(F.transform(arr, lambda x: x[field].cast("string")), ",")
 
 
+def _month_header(cells: DataFrame, lead: str, trailing: list[str]) -> DataFrame:
+    """Header line: ``lead``, one ``MMM yyyy`` per distinct month, trailing names."""
+    axis = cells.agg(F.array_sort(F.collect_set("month")).alias("axis"))
+    months = F.array_join(F.transform("axis", lambda m: F.date_format(m, "MMM yyyy")), ",")
+    return axis.select(F.concat_ws(",", F.lit(lead), months, *[F.lit(x) for x in trailing])
+                       .alias("line"))
+
+
 def _framed(header: DataFrame, body: DataFrame, file_name: str) -> DataFrame:
     """header (line), body (sort_key, line) -> numbered lines with 6 footer lines."""
     footer = header.select(F.posexplode(F.array(*_footer())).alias("i", "line"))
@@ -70,9 +78,7 @@ def type_month_reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     rev = dense_months(cells.select("type", "month", "revenue"), ["type"], axis=axis)
     gp = dense_months(cells.select("type", "month", F.col("gross_profit").alias("revenue")),
                       ["type"], axis=axis)
-    header = cells.agg(F.count(F.lit(1)).alias("n")).select(F.concat_ws(
-        ",", F.lit("Type"), F.array_join(F.transform(axis, lambda m: F.date_format(m, "MMM yyyy")), ","),
-        *[F.lit(x) for x in _TRAILING_HEADER]).alias("line"))
+    header = _month_header(cells, "Type", _TRAILING_HEADER)
 
     def body(dense: DataFrame) -> DataFrame:
         rows = dense.groupBy("type").agg(
@@ -117,10 +123,8 @@ def variant_month_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("ok"))
     body = rows.select(F.lpad(F.col("partkey").cast("string"), 20, "0").alias("sort_key"),
                        line.alias("line"))
-    header = cells.agg(F.count(F.lit(1)).alias("n")).select(F.concat_ws(
-        ",", F.lit("Product,Type,Size,SKU,Variant,Brand,Price"),
-        F.array_join(F.transform(axis, lambda m: F.date_format(m, "MMM yyyy")), ","),
-        F.lit("Items,Revenue,Cost,Gross Profit,Margin,Note")).alias("line"))
+    header = _month_header(cells, "Product,Type,Size,SKU,Variant,Brand,Price",
+                           ["Items", "Revenue", "Cost", "Gross Profit", "Margin", "Note"])
     return _framed(header, body, "revenue_by_variant.csv")
 
 

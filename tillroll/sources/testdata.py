@@ -107,6 +107,14 @@ _EXPORT_HEADER = ["Name", "Email", "Financial Status", "Notes", "Fulfillment Sta
                                             "Lineitem price", "Column 19", "Lineitem sku"]
 
 
+def _csv_field(c: F.Column) -> F.Column:
+    """Quote a field only when it holds a comma or a quote (doubling quotes)."""
+    c = F.coalesce(c, F.lit(""))
+    needs = c.contains(",") | c.contains('"')
+    quoted = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(needs, quoted).otherwise(c)
+
+
 def order_export_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order lines rendered as raw export CSV text (one ``value`` per line),
     with a header line."""
@@ -114,7 +122,7 @@ def order_export_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = order_lines(spark, sf_dir)
     by_pos = {pos: F.col(name).cast("string") for name, pos in ORDER_EXPORT_POSITIONS.items()}
     width = max(ORDER_EXPORT_POSITIONS.values()) + 1
-    fields = [by_pos.get(i, F.lit(_EXPORT_FILLER.get(i, ""))).alias(f"c{i}") for i in range(width)]
-    body = lines.select(F.to_csv(F.struct(*fields), {"escape": '"'}).alias("value"))
+    fields = [_csv_field(by_pos.get(i, F.lit(_EXPORT_FILLER.get(i, "")))) for i in range(width)]
+    body = lines.select(F.concat_ws(",", *fields).alias("value"))
     header = spark.range(1).select(F.lit(",".join(_EXPORT_HEADER)).alias("value"))
     return header.unionByName(body)
