@@ -39,17 +39,20 @@ def cmgr(monthly: DataFrame, keys: Sequence[str], month: str = "month",
          revenue: str = "revenue", axis: Column | None = None) -> DataFrame:
     """keys..., total, cmgr, n_periods from one row per (keys, month)."""
     axis = month_axis(monthly, month) if axis is None else axis
-    first_pos = F.min(F.when(F.col(revenue) > 0, F.struct(F.col(month).alias("m"),
-                                                         F.col(revenue).alias("r"))))
-    per_item = monthly.groupBy(*keys).agg(F.sum(revenue).alias("total"),
-                                          first_pos.alias("first_pos"))
+    positive = F.col(revenue) > 0
+    # min_by skips rows whose ordering is null, i.e. non-positive months; both
+    # aggregates are hash-aggregatable (no sort-based aggregation).
+    per_item = monthly.groupBy(*keys).agg(
+        F.sum(revenue).alias("total"),
+        F.min(F.when(positive, F.col(month))).alias("base_month"),
+        F.min_by(F.when(positive, F.col(revenue)), F.when(positive, F.col(month))).alias("base"))
     # The base month is itself on the sorted axis, so the months from it to the
     # end are counted from its position.
-    n = (F.size(axis) - F.array_position(axis, F.col("first_pos.m")) + 1).cast("int")
+    n = (F.size(axis) - F.array_position(axis, F.col("base_month")) + 1).cast("int")
     return per_item.select(
         *keys, "total",
-        cmgr_expr(F.col("total"), F.col("first_pos.r"), n).alias("cmgr"),
-        F.when(F.col("first_pos").isNull(), F.lit(1)).otherwise(n).alias("n_periods"),
+        cmgr_expr(F.col("total"), F.col("base"), n).alias("cmgr"),
+        F.when(F.col("base_month").isNull(), F.lit(1)).otherwise(n).alias("n_periods"),
     )
 
 

@@ -31,6 +31,16 @@ def product_daily(lines: DataFrame) -> DataFrame:
     return daily.repartition(*KEYS)
 
 
+def line_month_axis(lines: DataFrame):
+    """Sorted distinct months of all order lines, as one array value.
+
+    Computed from the created-at column alone: each task keeps a set of at most
+    one entry per calendar month, so only those small sets are shuffled.
+    """
+    months = lines.select(month_start(created_date("created_at")).alias("month"))
+    return month_axis(months)
+
+
 def _monthly(daily: DataFrame) -> DataFrame:
     return daily.groupBy(*KEYS, month_start("order_date").alias("month")).agg(
         F.sum("revenue").alias("revenue"))
@@ -49,20 +59,20 @@ def product_month_revenue(lines: DataFrame) -> DataFrame:
 
 def product_month_dense(lines: DataFrame) -> DataFrame:
     """Every product x every month seen anywhere; missing or non-positive -> 0."""
-    d = dense_months(_monthly(product_daily(lines)), KEYS)
+    d = dense_months(_monthly(product_daily(lines)), KEYS, axis=line_month_axis(lines))
     return d.select(*KEYS, "month", money(F.col("revenue")).alias("revenue"))
 
 
 def product_cmgr(lines: DataFrame) -> DataFrame:
     """product, sku, cmgr, n_periods (see ``tillroll.operators.growth``)."""
-    g = cmgr(_monthly(product_daily(lines)), KEYS)
+    g = cmgr(_monthly(product_daily(lines)), KEYS, axis=line_month_axis(lines))
     return g.select(*KEYS, "cmgr", "n_periods")
 
 
 def product_series(lines: DataFrame) -> DataFrame:
     """product, sku, series: comma-joined dense monthly revenues in month order."""
     monthly = _monthly(product_daily(lines))
-    s = month_series(dense_months(monthly, KEYS), KEYS)
+    s = month_series(dense_months(monthly, KEYS, axis=line_month_axis(lines)), KEYS)
     return s.select(*KEYS, F.array_join(F.transform("series", lambda r: r.cast("string")), ",")
                     .alias("series"))
 
@@ -75,7 +85,7 @@ def product_week_revenue(lines: DataFrame) -> DataFrame:
     """
     daily = product_daily(lines)
     monthly = _monthly(daily)
-    growth = cmgr(monthly, KEYS, axis=month_axis(monthly))
+    growth = cmgr(monthly, KEYS, axis=line_month_axis(lines))
     weekly = _weekly(daily)
     totals = scalar_struct(weekly, total=F.sum("revenue"), rows=F.count(F.lit(1)))
     total = money(totals.getField("total"))
