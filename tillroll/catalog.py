@@ -16,6 +16,7 @@ from tillroll import plans
 from tillroll.functions import calendar as cal
 from tillroll.functions.text import upper_label
 from tillroll.sources import exports, report_fixtures, testdata
+from tillroll.sources import reports as report_lines
 
 # Fixed parameters of the bound queries.
 RETENTION_AS_OF = "2001-05-01"
@@ -24,18 +25,99 @@ YEAR_START = "1995-01-01"
 ROUND_PLACES = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
+View = Callable[[object], DataFrame]
 
 
-def _lines(spark, sf):
-    return testdata.order_lines(spark, sf)
+class TestDataInputs:
+    """Inputs shaped from the raw test tables of one scale-factor folder."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
-def _customers(spark, sf):
-    return testdata.customers_export(spark, sf)
+    def lines(self) -> DataFrame:
+        return testdata.order_lines(self.spark, self.sf_dir)
 
+    def customers(self) -> DataFrame:
+        return testdata.customers_export(self.spark, self.sf_dir)
 
-def _scores(spark, sf):
-    return exports.parse_score_lines(testdata.score_lines(spark, sf))
+    def segments(self) -> DataFrame:
+        return testdata.segments(self.spark, self.sf_dir)
+
+    def scores(self) -> DataFrame:
+        return exports.parse_score_lines(testdata.score_lines(self.spark, self.sf_dir))
+
+    def events(self) -> DataFrame:
+        return testdata.event_lines(self.spark, self.sf_dir)
+
+    def export_text(self) -> DataFrame:
+        return testdata.order_export_text(self.spark, self.sf_dir)
+
+    def type_reports(self) -> tuple[DataFrame, DataFrame]:
+        return report_fixtures.type_month_reports(self.spark, self.sf_dir)
+
+    def daily_report(self) -> DataFrame:
+        return report_fixtures.daily_summary_report(self.spark, self.sf_dir)
+
+    def variant_report(self) -> DataFrame:
+        return report_fixtures.variant_month_report(self.spark, self.sf_dir)
+
+
+class StagedInputs:
+    """The same inputs read back from files written once by ``stage``: parquet
+    tables for the exports, text files for the export CSV and the reports."""
+
+    TABLES = ["lines", "customers", "segments", "scores", "events"]
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    @classmethod
+    def stage(cls, source: TestDataInputs, root: str) -> "StagedInputs":
+        root = root.rstrip("/")
+        for name in cls.TABLES:
+            getattr(source, name)().write.mode("overwrite").parquet(f"{root}/{name}")
+        source.export_text().coalesce(1).write.mode("overwrite").text(f"{root}/export_text")
+        rev, gp = source.type_reports()
+        for name, df in [("revenue_report", rev), ("profit_report", gp),
+                         ("daily_report", source.daily_report()),
+                         ("variant_report", source.variant_report())]:
+            # A report is one file with its lines in order.
+            df.orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(
+                f"{root}/{name}")
+        return cls(source.spark, root)
+
+    def _table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
+    def lines(self):
+        return self._table("lines")
+
+    def customers(self):
+        return self._table("customers")
+
+    def segments(self):
+        return self._table("segments")
+
+    def scores(self):
+        return self._table("scores")
+
+    def events(self):
+        return self._table("events")
+
+    def export_text(self):
+        return self.spark.read.text(f"{self.root}/export_text")
+
+    def _report(self, name: str) -> DataFrame:
+        return report_lines.read_numbered_lines(self.spark, f"{self.root}/{name}")
+
+    def type_reports(self):
+        return self._report("revenue_report"), self._report("profit_report")
+
+    def daily_report(self):
+        return self._report("daily_report")
+
+    def variant_report(self):
+        return self._report("variant_report")
 
 
 def _round(df: DataFrame, *cols: str) -> DataFrame:
@@ -47,62 +129,62 @@ def _joined_scores(df: DataFrame) -> DataFrame:
     return df.withColumn("scores", F.array_join("scores", "|"))
 
 
-def q_bought_together(spark, sf):
-    return plans.bought_together(_lines(spark, sf))
+def q_bought_together(inp):
+    return plans.bought_together(inp.lines())
 
 
-def q_bought_together_monthly(spark, sf):
-    return plans.bought_together_monthly(_lines(spark, sf))
+def q_bought_together_monthly(inp):
+    return plans.bought_together_monthly(inp.lines())
 
 
-def q_customer_retention(spark, sf):
-    return plans.customer_retention(_lines(spark, sf), RETENTION_AS_OF)
+def q_customer_retention(inp):
+    return plans.customer_retention(inp.lines(), RETENTION_AS_OF)
 
 
-def q_order_gap(spark, sf):
-    return plans.order_gap(_lines(spark, sf))
+def q_order_gap(inp):
+    return plans.order_gap(inp.lines())
 
 
-def q_order_gap_events(spark, sf):
-    return plans.order_gap(testdata.event_lines(spark, sf))
+def q_order_gap_events(inp):
+    return plans.order_gap(inp.events())
 
 
-def q_order_frequency_histogram(spark, sf):
-    return plans.order_frequency_histogram(_lines(spark, sf))
+def q_order_frequency_histogram(inp):
+    return plans.order_frequency_histogram(inp.lines())
 
 
-def q_recency(spark, sf):
-    return plans.recency(_lines(spark, sf), AS_OF)
+def q_recency(inp):
+    return plans.recency(inp.lines(), AS_OF)
 
 
-def q_day_hour_profile(spark, sf):
-    return plans.day_hour_profile(_lines(spark, sf))
+def q_day_hour_profile(inp):
+    return plans.day_hour_profile(inp.lines())
 
 
-def q_day_hour_profile_events(spark, sf):
-    return plans.day_hour_profile(testdata.event_lines(spark, sf))
+def q_day_hour_profile_events(inp):
+    return plans.day_hour_profile(inp.events())
 
 
-def q_customer_value_segment(spark, sf):
-    return plans.customer_value_segment(_lines(spark, sf), _customers(spark, sf),
-                                        testdata.segments(spark, sf))
+def q_customer_value_segment(inp):
+    return plans.customer_value_segment(inp.lines(), inp.customers(),
+                                        inp.segments())
 
 
-def q_global_averages(spark, sf):
-    return plans.global_averages(_lines(spark, sf), _customers(spark, sf))
+def q_global_averages(inp):
+    return plans.global_averages(inp.lines(), inp.customers())
 
 
-def q_population_averages(spark, sf):
-    return plans.population_averages(_lines(spark, sf))
+def q_population_averages(inp):
+    return plans.population_averages(inp.lines())
 
 
-def q_customer_score_attach(spark, sf):
-    keys = plans.known_customers(_lines(spark, sf), _customers(spark, sf))
-    return _joined_scores(plans.customer_score_attach(keys, _scores(spark, sf)))
+def q_customer_score_attach(inp):
+    keys = plans.known_customers(inp.lines(), inp.customers())
+    return _joined_scores(plans.customer_score_attach(keys, inp.scores()))
 
 
-def q_calendar_columns(spark, sf):
-    orders = _lines(spark, sf).select("order_id", "created_at").distinct()
+def q_calendar_columns(inp):
+    orders = inp.lines().select("order_id", "created_at").distinct()
     d = cal.created_date("created_at")
     hour = cal.created_hour("created_at")
     return orders.select(
@@ -113,81 +195,81 @@ def q_calendar_columns(spark, sf):
         cal.days_between(F.lit(AS_OF).cast("date"), d).alias("days_to_as_of"))
 
 
-def q_label_columns(spark, sf):
-    det = exports.customer_details(_customers(spark, sf))
-    sc = _scores(spark, sf)
+def q_label_columns(inp):
+    det = exports.customer_details(inp.customers())
+    sc = inp.scores()
     out = det.join(sc, "email")
     return out.select("email", "name", "location", upper_label("name").alias("name_upper"),
                       F.size("scores").alias("n_scores"),
                       F.element_at("scores", 1).alias("first_score"))
 
 
-def q_customer_profile(spark, sf):
-    out = plans.customer_profile(_lines(spark, sf), _customers(spark, sf),
-                                 testdata.segments(spark, sf), _scores(spark, sf), AS_OF)
+def q_customer_profile(inp):
+    out = plans.customer_profile(inp.lines(), inp.customers(),
+                                 inp.segments(), inp.scores(), AS_OF)
     return _joined_scores(out)
 
 
-def q_weekly_visits(spark, sf):
-    return plans.weekly_visits(_lines(spark, sf))
+def q_weekly_visits(inp):
+    return plans.weekly_visits(inp.lines())
 
 
-def q_weekly_basket(spark, sf):
-    return plans.weekly_basket(_lines(spark, sf))
+def q_weekly_basket(inp):
+    return plans.weekly_basket(inp.lines())
 
 
-def q_customer_week_profile(spark, sf):
-    return plans.customer_week_profile(_lines(spark, sf), _customers(spark, sf))
+def q_customer_week_profile(inp):
+    return plans.customer_week_profile(inp.lines(), inp.customers())
 
 
-def q_product_week_revenue(spark, sf):
-    return _round(plans.product_week_revenue(_lines(spark, sf)), "cmgr")
+def q_product_week_revenue(inp):
+    return _round(plans.product_week_revenue(inp.lines()), "cmgr")
 
 
-def q_product_month_revenue(spark, sf):
-    return plans.product_month_revenue(_lines(spark, sf))
+def q_product_month_revenue(inp):
+    return plans.product_month_revenue(inp.lines())
 
 
-def q_product_month_dense(spark, sf):
-    return plans.product_month_dense(_lines(spark, sf))
+def q_product_month_dense(inp):
+    return plans.product_month_dense(inp.lines())
 
 
-def q_product_cmgr(spark, sf):
-    return _round(plans.product_cmgr(_lines(spark, sf)), "cmgr")
+def q_product_cmgr(inp):
+    return _round(plans.product_cmgr(inp.lines()), "cmgr")
 
 
-def q_product_series(spark, sf):
-    return plans.product_series(_lines(spark, sf))
+def q_product_series(inp):
+    return plans.product_series(inp.lines())
 
 
-def q_unfulfilled_by_day(spark, sf):
-    return plans.unfulfilled_by_day(_lines(spark, sf), AS_OF)
+def q_unfulfilled_by_day(inp):
+    return plans.unfulfilled_by_day(inp.lines(), AS_OF)
 
 
-def q_unfulfilled_by_month(spark, sf):
-    return plans.unfulfilled_by_month(_lines(spark, sf), AS_OF, start=YEAR_START)
+def q_unfulfilled_by_month(inp):
+    return plans.unfulfilled_by_month(inp.lines(), AS_OF, start=YEAR_START)
 
 
-def q_revenue_by_type_long(spark, sf):
-    rev, gp = report_fixtures.type_month_reports(spark, sf)
+def q_revenue_by_type_long(inp):
+    rev, gp = inp.type_reports()
     return plans.revenue_by_type_long(rev, gp)
 
 
-def q_daily_sales_summary(spark, sf):
-    return plans.daily_sales_summary(report_fixtures.daily_summary_report(spark, sf))
+def q_daily_sales_summary(inp):
+    return plans.daily_sales_summary(inp.daily_report())
 
 
-def q_product_growth_report(spark, sf):
-    return _round(plans.product_growth_report(report_fixtures.variant_month_report(spark, sf)),
+def q_product_growth_report(inp):
+    return _round(plans.product_growth_report(inp.variant_report()),
                   "cmgr")
 
 
-def q_csv_order_lines(spark, sf):
-    parsed = exports.parse_order_export(testdata.order_export_text(spark, sf))
+def q_csv_order_lines(inp):
+    parsed = exports.parse_order_export(inp.export_text())
     return parsed.withColumn("price", F.col("price").cast("double"))
 
 
-QUERIES: dict[str, Query] = {
+VIEWS: dict[str, View] = {
     "bought_together": q_bought_together,
     "bought_together_monthly": q_bought_together_monthly,
     "customer_retention": q_customer_retention,
@@ -219,3 +301,14 @@ QUERIES: dict[str, Query] = {
     "product_growth_report": q_product_growth_report,
     "csv_order_lines": q_csv_order_lines,
 }
+
+
+def _bind(view: View) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return view(TestDataInputs(spark, sf_dir))
+    query.__name__ = view.__name__
+    query.__doc__ = view.__doc__
+    return query
+
+
+QUERIES: dict[str, Query] = {name: _bind(view) for name, view in VIEWS.items()}

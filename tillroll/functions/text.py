@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A comma outside double quotes: followed by an even number of quote characters
-# up to the end of the line.
-_CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# One CSV field preceded by its comma: either a double-quoted field (doubled
+# quotes inside) or a run of non-comma characters.  The line gets a leading
+# comma so every field has one; each match then consumes at least that comma,
+# and matching left to right keeps the split linear in the line length.
+_CSV_FIELD = r',("(?:[^"]|"")*"|[^,]*)'
 
 
 def _col(c) -> Column:
@@ -25,7 +27,7 @@ def csv_fields(line) -> Column:
     Commas inside double quotes do not split; the surrounding quotes are removed
     and doubled quotes become one, as a CSV reader does.
     """
-    parts = F.split(_col(line), _CSV_SPLIT)
+    parts = F.regexp_extract_all(F.concat(F.lit(","), _col(line)), F.lit(_CSV_FIELD), 1)
     return F.transform(parts, _unquote)
 
 

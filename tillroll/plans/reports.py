@@ -81,8 +81,10 @@ def product_growth_report(report: DataFrame) -> DataFrame:
     pct_gross_profit.  The growth base is the first non-zero month; with no
     such month n_periods is 1 and cmgr null.
     """
-    body = body_lines(report, HEADER_LINES, FOOTER_LINES)
-    f = csv_fields(F.col("line"))
+    # The field array is computed once and reused by every column below.
+    body = body_lines(report, HEADER_LINES, FOOTER_LINES).select(
+        csv_fields(F.col("line")).alias("fields"))
+    f = F.col("fields")
     parsed = body.select(
         *[f.getItem(pos).alias(name) for pos, name in VARIANT_LABELS.items()],
         F.slice(f, VARIANT_FIRST_MONTH + 1,
