@@ -1,0 +1,40 @@
+"""The export-refresh stream rewrites views from each new snapshot."""
+
+import os
+import time
+
+from tests.conftest import rows_of
+from tillroll import plans
+from tillroll.sources.exports import read_order_export
+from tillroll.streaming import start_export_refresh
+
+
+def _export(path, rows):
+    with open(path, "w") as f:
+        f.write("Name,Email,a,b,Fulfillment Status" + ",x" * 16 + "\n")
+        for order, product, status, day in rows:
+            f.write(f"{order},e@x,p,n,{status}" + "," * 11 + f"{day} 10:00:00 -0500,1,{product},2.00,,S\n")
+
+
+def test_refresh_uses_latest_snapshot(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "exports")
+    out = os.path.join(tmp_dir, "views")
+    os.makedirs(src)
+    _export(os.path.join(src, "export_1.csv"), [("#1", "A", "unfulfilled", "2015-01-01")])
+    time.sleep(1.1)
+    _export(os.path.join(src, "export_2.csv"), [("#1", "A", "fulfilled", "2015-01-01"),
+                                                ("#1", "B", "fulfilled", "2015-01-01"),
+                                                ("#2", "A", "unfulfilled", "2015-01-02"),
+                                                ("#2", "B", "unfulfilled", "2015-01-02")])
+    views = {
+        "pairs": lambda lines: plans.bought_together(lines, sort=False),
+        "unfulfilled": lambda lines: plans.unfulfilled_by_month(lines, "2015-12-31", start="2015-01-01"),
+    }
+    q = start_export_refresh(spark, src, out, views, name="refresh_test", available_now=True)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    pairs = rows_of(spark.read.parquet(os.path.join(out, "pairs")))
+    assert pairs == [("A", "B", 2)]
+    latest = read_order_export(spark, os.path.join(src, "export_2.csv"))
+    expect = rows_of(plans.unfulfilled_by_month(latest, "2015-12-31", start="2015-01-01"))
+    assert rows_of(spark.read.parquet(os.path.join(out, "unfulfilled"))) == expect == [("2015-01", 0.5)]

@@ -1,0 +1,3 @@
+"""Structured Streaming runner that refreshes views as new exports land."""
+
+from tillroll.streaming.export_refresh import start_export_refresh  # noqa: F401

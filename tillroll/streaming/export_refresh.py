@@ -1,0 +1,44 @@
+"""Refresh views whenever a new order export file arrives.
+
+An order export is a full snapshot: each file holds every order line at the time
+it was taken.  A file-source stream hands one new file per micro-batch to
+``foreachBatch``; the batch is parsed with the same parser as the batch reader
+and every configured view is rewritten from it (overwrite), so a replayed batch
+produces the same output.  The stream's checkpoint lives under the shared
+``spark.checkpoint.dir`` and records which files were done; after a failure the
+query resumes with the next file.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from tillroll.session import checkpoint_dir
+from tillroll.sources.exports import parse_order_export
+
+View = Callable[[DataFrame], DataFrame]
+
+
+def start_export_refresh(spark: SparkSession, export_dir: str, out_root: str,
+                         views: dict[str, View], *, name: str = "export_refresh",
+                         available_now: bool = False) -> StreamingQuery:
+    """Start the refresh stream; ``views`` map an output name to a function of
+    the parsed order lines (bind other inputs, such as the customer export, in
+    the function).  With ``available_now`` the stream processes the files
+    present and stops."""
+    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    text = (spark.readStream.format("text")
+            .option("maxFilesPerTrigger", 1)
+            .load(export_dir))
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        lines = parse_order_export(batch)
+        for view_name, view in views.items():
+            view(lines).write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{view_name}")
+
+    writer = text.writeStream.queryName(name).option("checkpointLocation", ckpt).foreachBatch(refresh)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
