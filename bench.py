@@ -4,8 +4,8 @@
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEATS (default 3), BENCH_QUERIES (comma list, default all).
 
-Inputs are first staged once into the shared folder (``spark.checkpoint.dir``;
-a fresh scratch folder when unset): export-shaped parquet tables, the export CSV
+Inputs are first staged once into a new run folder under the shared folder
+(``spark.checkpoint.dir``; a fresh scratch folder when unset): export-shaped parquet tables, the export CSV
 text and the wide reports as text files.  Each view then runs once as warm-up
 and ``BENCH_REPEATS`` times into Spark's ``noop`` sink (full execution, nothing
 collected); the median is reported.  Prints one JSON line.
@@ -22,7 +22,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillroll import catalog  # noqa: E402
-from tillroll.session import build_session, checkpoint_dir  # noqa: E402
+from tillroll.session import build_session, run_folder  # noqa: E402
 
 
 def _run(df) -> float:
@@ -39,7 +39,7 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app_name="tillroll-bench",
                           shuffle_partitions=2 * cpus,
                           conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "12g")})
-    root = checkpoint_dir(spark, allow_local_default=True)
+    root = run_folder(spark, "tillroll-bench", allow_local_default=True)
 
     t0 = time.perf_counter()
     staged = catalog.StagedInputs.stage(catalog.TestDataInputs(spark, sf_dir), f"{root}/inputs")
@@ -50,8 +50,7 @@ def main() -> None:
         if wanted and name not in wanted:
             continue
         df = view(staged)
-        rows[name] = df.count()
-        _run(df)
+        rows[name] = df.count()  # also the warm-up
         timings[name] = round(statistics.median(_run(df) for _ in range(repeats)), 4)
 
     print(json.dumps({

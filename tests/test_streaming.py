@@ -30,7 +30,8 @@ def test_refresh_uses_latest_snapshot(spark, tmp_dir):
         "pairs": lambda lines: plans.bought_together(lines, sort=False),
         "unfulfilled": lambda lines: plans.unfulfilled_by_month(lines, "2015-12-31", start="2015-01-01"),
     }
-    q = start_export_refresh(spark, src, out, views, name="refresh_test", available_now=True)
+    name = "refresh_test_" + os.path.basename(tmp_dir).replace("-", "_")
+    q = start_export_refresh(spark, src, out, views, name=name, available_now=True)
     q.awaitTermination(120)
     assert q.exception() is None
     pairs = rows_of(spark.read.parquet(os.path.join(out, "pairs")))

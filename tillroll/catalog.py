@@ -72,17 +72,23 @@ class StagedInputs:
         self.spark, self.root = spark, root.rstrip("/")
 
     @classmethod
-    def stage(cls, source: TestDataInputs, root: str) -> "StagedInputs":
+    def stage(cls, source: TestDataInputs, root: str, n_files: int | None = None) -> "StagedInputs":
+        """Write every input once.  Tables and the export text are spread over
+        ``n_files`` files (default: twice the default parallelism), as a large
+        export would be; each report stays one file."""
         root = root.rstrip("/")
+        n_files = n_files or 2 * source.spark.sparkContext.defaultParallelism
         for name in cls.TABLES:
-            getattr(source, name)().write.mode("overwrite").parquet(f"{root}/{name}")
-        source.export_text().coalesce(1).write.mode("overwrite").text(f"{root}/export_text")
+            getattr(source, name)().repartition(n_files).write.mode("errorifexists").parquet(
+                f"{root}/{name}")
+        source.export_text().repartition(n_files).write.mode("errorifexists").text(
+            f"{root}/export_text")
         rev, gp = source.type_reports()
         for name, df in [("revenue_report", rev), ("profit_report", gp),
                          ("daily_report", source.daily_report()),
                          ("variant_report", source.variant_report())]:
             # A report is one file with its lines in order.
-            df.orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(
+            df.orderBy("line_no").select("line").coalesce(1).write.mode("errorifexists").text(
                 f"{root}/{name}")
         return cls(source.spark, root)
 

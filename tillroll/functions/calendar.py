@@ -26,8 +26,12 @@ def _col(c) -> Column:
 
 
 def created_date(created_at) -> Column:
-    """First ten characters of the created-at text as a date (``yyyy-MM-dd``)."""
-    return F.try_to_date(F.substring(_col(created_at), 1, 10), "yyyy-MM-dd")
+    """First ten characters of the created-at text as a date (``yyyy-MM-dd``).
+
+    A plain cast (null when malformed) uses Spark's fast date parser instead of
+    a pattern formatter.
+    """
+    return F.substring(_col(created_at), 1, 10).try_cast("date")
 
 
 def created_hour(created_at) -> Column:

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,11 +17,26 @@ def as_of_col(as_of: str | dt.date | Column | None) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
-def line_revenue() -> Column:
-    """qty x price, exact (decimal)."""
-    return F.col("qty") * F.col("price")
+def line_cents() -> Column:
+    """qty x price in integer cents: exact, and summed with primitive longs.
+
+    ``price`` is decimal(12,2); multiplying by decimal(3,0) 100 stays within 18
+    digits (a long-backed decimal), so the conversion is exact and cheap.
+    Overflow raises (ANSI mode) instead of wrapping.
+    """
+    price_cents = (F.col("price") * F.lit(100).cast("decimal(3,0)")).cast("long")
+    return F.col("qty").cast("long") * price_cents
+
+
+def money(cents: Column) -> Column:
+    """Cents to currency units as a double, once at the end of a view.
+
+    Exact integer over 100 is one correctly rounded division, the same double
+    as converting the exact decimal amount.
+    """
+    return cents.cast("double") / F.lit(100.0)
 
 
-def money(c: Column) -> Column:
-    """Exact decimal sums become doubles only at the end of a view."""
-    return c.cast("double")
+def money_text(cents: Column) -> Column:
+    """Cents as exact decimal text with two places (e.g. ``-5.00``)."""
+    return (cents.cast("decimal(36,0)") * F.lit(Decimal("0.01"))).cast("string")

@@ -11,7 +11,7 @@ from tillroll.functions.calendar import (
 from tillroll.operators.gaps import gap_summary
 from tillroll.operators.histogram import fixed_range_histogram
 from tillroll.operators.indicators import INDICATOR_COLUMNS, weekday_slot_aggs
-from tillroll.plans._common import as_of_col, line_revenue, money
+from tillroll.plans._common import as_of_col, line_cents, money
 from tillroll.sources.exports import customer_details
 
 # The order-gap histogram ranges (label, low, high, low inclusive);
@@ -74,9 +74,9 @@ def day_hour_profile(lines: DataFrame) -> DataFrame:
 
 
 def _customer_value(lines: DataFrame) -> DataFrame:
-    agg = lines.groupBy("email").agg(F.sum(line_revenue()).alias("revenue_exact"),
+    agg = lines.groupBy("email").agg(F.sum(line_cents()).alias("revenue_cents"),
                                      F.count_distinct("order_id").alias("n_orders"))
-    return agg.select("email", money(F.col("revenue_exact")).alias("revenue"), "n_orders")
+    return agg.select("email", money(F.col("revenue_cents")).alias("revenue"), "n_orders")
 
 
 def customer_value_segment(lines: DataFrame, customers: DataFrame,
@@ -110,7 +110,7 @@ def customer_score_attach(keys: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def _line_totals(lines: DataFrame):
-    return lines.agg(F.sum(line_revenue()).alias("revenue"), F.sum("qty").alias("qty"))
+    return lines.agg(F.sum(line_cents()).alias("revenue"), F.sum("qty").alias("qty"))
 
 
 def global_averages(lines: DataFrame, customers: DataFrame) -> DataFrame:

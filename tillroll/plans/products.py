@@ -17,16 +17,16 @@ from tillroll.functions.calendar import created_date, month_start, week_start_th
 from tillroll.functions.text import upper_label
 from tillroll.operators.growth import cmgr, dense_months, month_axis, month_series
 from tillroll.operators.scalars import scalar_struct
-from tillroll.plans._common import line_revenue, money
+from tillroll.plans._common import line_cents, money, money_text
 
 KEYS = ["product", "sku"]
 
 
 def product_daily(lines: DataFrame) -> DataFrame:
-    """product, sku, order_date, revenue (exact decimal), partitioned by product."""
+    """product, sku, order_date, revenue (integer cents), partitioned by product."""
     rows = lines.select(upper_label("product").alias("product"), upper_label("sku").alias("sku"),
                         created_date("created_at").alias("order_date"),
-                        line_revenue().alias("revenue"))
+                        line_cents().alias("revenue"))
     daily = rows.groupBy(*KEYS, "order_date").agg(F.sum_distinct("revenue").alias("revenue"))
     return daily.repartition(*KEYS)
 
@@ -73,8 +73,7 @@ def product_series(lines: DataFrame) -> DataFrame:
     """product, sku, series: comma-joined dense monthly revenues in month order."""
     monthly = _monthly(product_daily(lines))
     s = month_series(dense_months(monthly, KEYS, axis=line_month_axis(lines)), KEYS)
-    return s.select(*KEYS, F.array_join(F.transform("series", lambda r: r.cast("string")), ",")
-                    .alias("series"))
+    return s.select(*KEYS, F.array_join(F.transform("series", money_text), ",").alias("series"))
 
 
 def product_week_revenue(lines: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from tillroll.functions.calendar import (
     created_date, created_hour, two_hour_slot, week_start_thursday, weekday_number,
 )
 from tillroll.operators.indicators import INDICATOR_COLUMNS, weekday_slot_aggs
-from tillroll.plans._common import line_revenue, money
+from tillroll.plans._common import line_cents, money
 from tillroll.sources.exports import customer_details
 
 # Lines that agree on (order, email, created_at, qty, price) count once.
@@ -20,18 +20,18 @@ def _visits(lines: DataFrame) -> DataFrame:
     """One row per distinct (email, created_at) with the revenue of its lines."""
     distinct_lines = lines.select(*_LINE_GRAIN).distinct()
     return distinct_lines.groupBy("email", "created_at").agg(
-        F.sum(line_revenue()).alias("revenue_exact"))
+        F.sum(line_cents()).alias("revenue_cents"))
 
 
 def _weekly(lines: DataFrame) -> DataFrame:
     v = _visits(lines)
     d = created_date("created_at")
-    v = v.select("email", "revenue_exact", week_start_thursday(d).alias("week"),
+    v = v.select("email", "revenue_cents", week_start_thursday(d).alias("week"),
                  weekday_number(d).alias("weekday"),
                  two_hour_slot(created_hour("created_at")).alias("slot"))
     return v.groupBy("email", "week").agg(
         F.count(F.lit(1)).alias("n_visits"),
-        F.sum("revenue_exact").alias("revenue_exact"),
+        F.sum("revenue_cents").alias("revenue_cents"),
         *weekday_slot_aggs("weekday", "slot"))
 
 
@@ -43,15 +43,15 @@ def weekly_visits(lines: DataFrame) -> DataFrame:
 def weekly_basket(lines: DataFrame) -> DataFrame:
     """email, week, revenue, basket_value (revenue / visits)."""
     w = _weekly(lines)
-    return w.select("email", "week", money(F.col("revenue_exact")).alias("revenue"),
-                    F.try_divide(money(F.col("revenue_exact")), F.col("n_visits"))
+    return w.select("email", "week", money(F.col("revenue_cents")).alias("revenue"),
+                    F.try_divide(money(F.col("revenue_cents")), F.col("n_visits"))
                      .alias("basket_value"))
 
 
 def _population(lines: DataFrame) -> DataFrame:
     distinct_lines = lines.select(*_LINE_GRAIN).distinct()
     return distinct_lines.agg(
-        F.sum("qty").alias("qty"), F.sum(line_revenue()).alias("revenue"),
+        F.sum("qty").alias("qty"), F.sum(line_cents()).alias("revenue"),
         F.count_distinct("email").alias("n_customers"))
 
 
@@ -74,8 +74,8 @@ def customer_week_profile(lines: DataFrame, customers: DataFrame) -> DataFrame:
     out = details.join(w, "email")
     return out.select(
         "name", "location", "attr12", "email", "week", "n_visits",
-        money(F.col("revenue_exact")).alias("revenue"),
-        F.try_divide(money(F.col("revenue_exact")), F.col("n_visits")).alias("basket_value"),
+        money(F.col("revenue_cents")).alias("revenue"),
+        F.try_divide(money(F.col("revenue_cents")), F.col("n_visits")).alias("basket_value"),
         *INDICATOR_COLUMNS,
         avg_quantity.alias("avg_quantity"), avg_revenue.alias("avg_revenue"),
     )

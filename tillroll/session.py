@@ -51,5 +51,10 @@ def checkpoint_dir(spark: SparkSession, *, allow_local_default: bool = False) ->
             raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
         path = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def run_folder(spark: SparkSession, purpose: str, *, allow_local_default: bool = False) -> str:
+    """A new, uniquely named folder under the shared checkpoint folder."""
+    import uuid
+    return f"{checkpoint_dir(spark, allow_local_default=allow_local_default).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
