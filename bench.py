@@ -5,10 +5,11 @@ Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8)
 BENCH_REPEATS (default 3), BENCH_QUERIES (comma list, default all).
 
 Inputs are first staged once into a new run folder under the shared folder
-(``spark.checkpoint.dir``; a fresh scratch folder when unset): export-shaped parquet tables, the export CSV
-text and the wide reports as text files.  Each view then runs once as warm-up
-and ``BENCH_REPEATS`` times into Spark's ``noop`` sink (full execution, nothing
-collected); the median is reported.  Prints one JSON line.
+(``spark.checkpoint.dir``; a fresh scratch folder when unset): export-shaped
+parquet tables and the export CSV text spread over several files, and the wide
+reports as one text file each.  Each view is counted once (warm-up, output
+rows), then runs ``BENCH_REPEATS`` times into Spark's ``noop`` sink (full
+execution, nothing collected); the median is reported.  Prints one JSON line.
 """
 
 from __future__ import annotations

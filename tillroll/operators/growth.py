@@ -32,7 +32,8 @@ def month_axis(monthly: DataFrame, month: str = "month") -> Column:
 def cmgr_expr(total: Column, base: Column, n: Column) -> Column:
     ratio = F.try_divide(total.cast("double"), base.cast("double"))
     rate = (F.pow(ratio, F.lit(1.0) / n) - F.lit(1.0)) * F.lit(100.0)
-    return F.when(F.isnan(rate), F.lit(None).cast("double")).otherwise(rate)
+    # nanvl references ``rate`` once: no duplicated pow per row.
+    return F.nanvl(rate, F.lit(None).cast("double"))
 
 
 def cmgr(monthly: DataFrame, keys: Sequence[str], month: str = "month",

@@ -92,17 +92,25 @@ def product_growth_report(report: DataFrame) -> DataFrame:
         F.element_at(f, -VARIANT_REVENUE_FROM_END).try_cast(MONEY_TEXT).alias("revenue_exact"),
         F.element_at(f, -VARIANT_PROFIT_FROM_END).try_cast(MONEY_TEXT).alias("gp_exact"),
     )
-    values = F.transform("months", lambda v: v.try_cast("double"))
-    first_nz = F.array_position(F.transform(values, lambda v: v != 0), True)
-    n = F.when(first_nz > 0, F.size(values) - first_nz + 1).otherwise(F.lit(1)).cast("int")
-    base = F.when(first_nz > 0, F.element_at(values, first_nz.cast("int")))
-    rows = parsed.select(
-        *VARIANT_LABELS.values(),
+    # Each step is its own projection so that array work is done once per row
+    # (expressions inside higher-order functions are not shared otherwise).
+    labels = list(VARIANT_LABELS.values())
+    keep = [*labels, "revenue_exact", "gp_exact"]
+    step = parsed.select(*keep, F.transform("months", lambda v: v.try_cast("double")).alias("values"))
+    step = step.select(*keep, "values",
+                       F.array_position(F.transform("values", lambda v: v != 0), True)
+                       .cast("int").alias("first_nz"))
+    step = step.select(
+        *keep,
+        F.when(F.col("first_nz") > 0, F.size("values") - F.col("first_nz") + 1)
+         .otherwise(F.lit(1)).cast("int").alias("n_periods"),
+        F.when(F.col("first_nz") > 0, F.element_at("values", F.col("first_nz"))).alias("base"))
+    rows = step.select(
+        *labels,
         F.col("revenue_exact").cast("double").alias("revenue"),
         F.col("gp_exact").cast("double").alias("gross_profit"),
-        cmgr_expr(F.col("revenue_exact"), base, n).alias("cmgr"),
-        n.alias("n_periods"),
-        "revenue_exact", "gp_exact",
+        cmgr_expr(F.col("revenue_exact"), F.col("base"), F.col("n_periods")).alias("cmgr"),
+        "n_periods", "revenue_exact", "gp_exact",
     )
     t = scalar_struct(parsed, revenue=F.sum("revenue_exact"), gp=F.sum("gp_exact"),
                       rows=F.count(F.lit(1)))

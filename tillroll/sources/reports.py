@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text file(s) -> (file, line_no, line), line_no 0-based within each file."""
+    """Text file(s) -> (file, line_no, line, n_lines).
+
+    line_no is 0-based within each file; n_lines is the file's line count.
+    """
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -26,20 +29,23 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     # (id - first id of the block) is the row's offset inside its block.
     blocks = raw.groupBy("file", "block_start").agg(
         F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    per_file = Window.partitionBy("file").orderBy("block_start").rowsBetween(
+    earlier = Window.partitionBy("file").orderBy("block_start").rowsBetween(
         Window.unboundedPreceding, -1)
     blocks = blocks.select("file", "block_start", "first_id",
-                           F.coalesce(F.sum("n").over(per_file), F.lit(0)).alias("lines_before"))
+                           F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("lines_before"),
+                           F.sum("n").over(Window.partitionBy("file")).alias("n_lines"))
     numbered = raw.join(blocks, ["file", "block_start"])
     return numbered.select(
         "file",
         (F.col("lines_before") + F.col("row_id") - F.col("first_id")).alias("line_no"),
-        "line",
+        "line", "n_lines",
     )
 
 
 def with_line_counts(lines: DataFrame) -> DataFrame:
-    """Add ``n_lines`` (lines in the row's file) from a per-file aggregate."""
+    """Add ``n_lines`` (lines in the row's file) unless already present."""
+    if "n_lines" in lines.columns:
+        return lines
     counts = lines.groupBy("file").agg((F.max("line_no") + 1).alias("n_lines"))
     return lines.join(counts, "file")
 
