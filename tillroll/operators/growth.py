@@ -61,15 +61,18 @@ def dense_months(monthly: DataFrame, keys: Sequence[str], month: str = "month",
                  revenue: str = "revenue", axis: Column | None = None) -> DataFrame:
     """Every key x every axis month; missing or non-positive revenue becomes 0.
 
-    The axis array is exploded per key (output-sized work, no cartesian join),
-    then the observed months are attached with an equi-join.
+    Each key's observed months (at most one entry per axis month) go into a
+    map; the axis array is exploded per key and looked up in the map.  This is
+    output-sized work with no cartesian product and no join, and when
+    ``monthly`` is already partitioned by ``keys`` there is no shuffle either.
     """
     axis = month_axis(monthly, month) if axis is None else axis
-    grid = monthly.select(*keys).distinct().select(*keys, F.explode(axis).alias(month))
-    joined = grid.join(monthly.select(*keys, month, revenue), [*keys, month], "left")
+    entry = F.when(F.col(month).isNotNull(), F.struct(F.col(month), F.col(revenue)))
+    per_key = monthly.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_by_month"))
+    grid = per_key.select(*keys, "_by_month", F.explode(axis).alias(month))
+    value = F.try_element_at(F.col("_by_month"), F.col(month))
     zero = F.lit(0).cast(monthly.schema[revenue].dataType)
-    return joined.select(*keys, month,
-                         F.when(F.col(revenue) > 0, F.col(revenue)).otherwise(zero).alias(revenue))
+    return grid.select(*keys, month, F.when(value > 0, value).otherwise(zero).alias(revenue))
 
 
 def month_series(dense: DataFrame, keys: Sequence[str], month: str = "month",
