@@ -13,7 +13,8 @@ real root and gives null.
 
 The month axis is the set of distinct months present in the data; it is bounded
 by the calendar span (twelve per year), so it travels as one small array value
-produced by a scalar subquery, and ``n`` is an array count, not a join.
+produced by a scalar subquery, and ``n`` comes from the base month's position
+in that array, not from a join.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ KEYS = ["product", "sku"]
 
 
 def product_daily(lines: DataFrame) -> DataFrame:
-    """product, sku, order_date, revenue (integer cents), partitioned by product."""
+    """product, sku, order_date, revenue (integer cents), hash-partitioned by
+    (product, sku)."""
     rows = lines.select(upper_label("product").alias("product"), upper_label("sku").alias("sku"),
                         created_date("created_at").alias("order_date"),
                         line_cents().alias("revenue"))
