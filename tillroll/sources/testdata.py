@@ -40,7 +40,9 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(F.col("o_orderstatus") == "O", F.lit("unfulfilled"))
                .when(F.col("o_orderstatus") == "F", F.lit("fulfilled"))
                .otherwise(F.lit("partial")))
-    created = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" "),
+    # Casting the (zone-less) timestamp to text keeps its wall clock whatever
+    # the session time zone is.
+    created = F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit(" "),
                        F.lpad(hour.cast("string"), 2, "0"), F.lit(":00:00 -0500"))
     return typed_order_lines(joined.select(
         F.concat(F.lit("#"), F.col("o_orderkey").cast("string")).alias("order_id"),
@@ -91,7 +93,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.concat(F.lit("#"), F.col("event_id").cast("string")).alias("order_id"),
         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("email"),
-        F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" +0000")).alias("created_at"),
+        F.concat(F.substring(F.col("ts").cast("string"), 1, 19), F.lit(" +0000")).alias("created_at"),
     )
 
 
