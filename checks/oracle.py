@@ -18,7 +18,7 @@ ORDER_LINES = """
 ol AS (
   SELECT '#' || CAST(o.o_orderkey AS VARCHAR) AS order_id,
          'cust' || CAST(o.o_custkey AS VARCHAR) || '@example.com' AS email,
-         CASE WHEN o.o_orderkey % 7 = 0 THEN ''
+         CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN ''
               WHEN o.o_orderstatus = 'O' THEN 'unfulfilled'
               WHEN o.o_orderstatus = 'F' THEN 'fulfilled' ELSE 'partial' END AS status,
          CAST(o.o_orderdate AS DATE) AS d,
@@ -40,19 +40,19 @@ cx AS (
          'cust' || CAST(c.c_custkey AS VARCHAR) || '@example.com' AS email
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
                   JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE c.c_custkey % 13 <> 0)"""
+  WHERE c.c_acctbal >= 0)"""
 
 SEGMENTS = """
 seg AS (
   SELECT 'cust' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email, c_mktsegment AS segment
-  FROM customer WHERE c_custkey % 5 <> 0)"""
+  FROM customer WHERE c_acctbal >= 1000)"""
 
 SCORES = """
 sc AS (
   SELECT 'cust' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email,
-         CAST(c_nationkey AS VARCHAR) || '|' || CAST(c_custkey % 10 AS VARCHAR) AS scores,
+         CAST(c_nationkey AS VARCHAR) || '|' || c_mktsegment AS scores,
          CAST(c_nationkey AS VARCHAR) AS first_score
-  FROM customer WHERE c_custkey % 11 <> 0)"""
+  FROM customer WHERE c_acctbal < 9000)"""
 
 EVENTS = """
 ev AS (

@@ -1,9 +1,10 @@
 """Adapters that shape the /root/testdata tables into the exports the views read.
 
 They only produce rows in the export layout; every view computation happens in
-``tillroll.plans`` on whatever rows arrive.  Which customers are absent from the
-customer, segment and score exports is decided by fixed key predicates so that
-inner and left joins meet real misses; no order line is ever dropped.
+``tillroll.plans`` on whatever rows arrive.  The customer, segment and score
+exports each cover the customers meeting an account-balance rule (as exports
+from different tools would), so inner and left joins meet real misses; every
+order line is kept.
 """
 
 from __future__ import annotations
@@ -27,16 +28,16 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     created_at is the text form ``yyyy-MM-dd HH:00:00 -0500``; the hour is a
     fixed function of the order key because the test orders carry dates only.
-    Orders whose key is a multiple of 7 have a blank fulfilment status.
+    Orders of priority ``4-NOT SPECIFIED`` have a blank fulfilment status.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
-                                                   "o_orderdate")
+                                                   "o_orderdate", "o_orderpriority")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
                 .join(part, li.l_partkey == part.p_partkey))
     hour = F.pmod(F.col("o_orderkey") * 37, F.lit(24))
-    status = (F.when(F.pmod("o_orderkey", F.lit(7)) == 0, F.lit(""))
+    status = (F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(""))
                .when(F.col("o_orderstatus") == "O", F.lit("unfulfilled"))
                .when(F.col("o_orderstatus") == "F", F.lit("fulfilled"))
                .otherwise(F.lit("partial")))
@@ -57,12 +58,12 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer export columns; customers whose key is a multiple of 13 are absent."""
+    """Customer export columns; accounts with a negative balance are absent."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    c = c.where(F.pmod("c_custkey", F.lit(13)) != 0)
+    c = c.where(F.col("c_acctbal") >= 0)
     return c.join(geo, c.c_nationkey == geo.n_nationkey).select(
         F.col("c_mktsegment").alias("first_name"),
         F.col("c_name").alias("last_name"),
@@ -75,16 +76,17 @@ def customers_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segment file; customers whose key is a multiple of 5 have no segment."""
-    c = table(spark, sf_dir, "customer").where(F.pmod("c_custkey", F.lit(5)) != 0)
+    """Segment file; only accounts with a balance of at least 1000 are segmented."""
+    c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 1000)
     return c.select(_email("c_custkey").alias("email"), F.col("c_mktsegment").alias("segment"))
 
 
 def score_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score file body lines ``email,score,score``; multiples of 11 are absent."""
-    c = table(spark, sf_dir, "customer").where(F.pmod("c_custkey", F.lit(11)) != 0)
+    """Score file body lines ``email,score,score``; accounts with a balance of
+    9000 or more are not scored."""
+    c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 9000)
     return c.select(F.concat_ws(",", _email("c_custkey"), F.col("c_nationkey").cast("string"),
-                                F.pmod("c_custkey", F.lit(10)).cast("string")).alias("line"))
+                                F.col("c_mktsegment")).alias("line"))
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
