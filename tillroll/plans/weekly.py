@@ -12,14 +12,20 @@ from tillroll.operators.indicators import INDICATOR_COLUMNS, weekday_slot_aggs
 from tillroll.plans._common import line_cents, money
 from tillroll.sources.exports import customer_details
 
-# Lines that agree on (order, email, created_at, qty, price) count once.
-_LINE_GRAIN = ["order_id", "email", "created_at", "qty", "price"]
+def _distinct_lines(lines: DataFrame) -> DataFrame:
+    """Lines that agree on (order, email, created_at, qty, price) count once.
+
+    Text keys are non-null by construction ('' for an empty field); saying so
+    keeps Catalyst from adding a join-key null filter to one consumer only, so
+    the visit rollups and the population averages share this shuffle.
+    """
+    keys = [F.coalesce(c, F.lit("")).alias(c) for c in ("order_id", "email", "created_at")]
+    return lines.select(*keys, "qty", "price").distinct()
 
 
 def _visits(lines: DataFrame) -> DataFrame:
     """One row per distinct (email, created_at) with the revenue of its lines."""
-    distinct_lines = lines.select(*_LINE_GRAIN).distinct()
-    return distinct_lines.groupBy("email", "created_at").agg(
+    return _distinct_lines(lines).groupBy("email", "created_at").agg(
         F.sum(line_cents()).alias("revenue_cents"))
 
 
@@ -49,8 +55,7 @@ def weekly_basket(lines: DataFrame) -> DataFrame:
 
 
 def _population(lines: DataFrame) -> DataFrame:
-    distinct_lines = lines.select(*_LINE_GRAIN).distinct()
-    return distinct_lines.agg(
+    return _distinct_lines(lines).agg(
         F.sum("qty").alias("qty"), F.sum(line_cents()).alias("revenue"),
         F.count_distinct("email").alias("n_customers"))
 
