@@ -24,27 +24,28 @@ def _tree(block: str) -> str:
     return tree
 
 
-def _counts(tree: str) -> tuple[int, int, int, int]:
+def _counts(tree: str) -> tuple[int, int, int, int, int]:
     names = []
     for line in tree.splitlines():
         body = line.lstrip(" :+-*")
         if body and re.search(r"\(\d+\)\s*$", body):
             names.append(body.split()[0])
     return (names.count("Exchange"), names.count("ReusedExchange"),
-            names.count("BroadcastHashJoin"), names.count("SortMergeJoin"))
+            names.count("BroadcastHashJoin"), names.count("SortMergeJoin"),
+            names.count("ShuffledHashJoin"))
 
 
 def summarise(formatted: str) -> dict:
     main_part, _, subs = formatted.partition("===== Subqueries =====")
     m = _counts(_tree(main_part))
     sub_blocks = [b for b in re.split(r"\nSubquery:\d+ ", subs) if b.strip()]
-    s = [0, 0, 0, 0]
+    s = [0, 0, 0, 0, 0]
     for b in sub_blocks:
         if "ReusedSubquery" in b.split("\n")[0]:
             continue
         for i, v in enumerate(_counts(_tree(b.split("\n", 1)[1] if "\n" in b else b))):
             s[i] += v
-    scans = sorted(set(re.findall(r"ReadSchema: (struct<.*)", formatted)))
+    scans = sorted(set(x for x in re.findall(r"ReadSchema: (struct<.*)", formatted) if x))
     return {"main": m, "sub": tuple(s), "n_sub": len(sub_blocks), "skew": "skew=true" in formatted,
             "scans": scans}
 
@@ -55,17 +56,17 @@ def main(argv) -> None:
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     inputs = (catalog.StagedInputs(spark, src) if os.path.exists(os.path.join(src, "lines"))
               else catalog.TestDataInputs(spark, src))
-    print("| view | shuffles (main + subqueries) | reused exchanges | broadcast / sort-merge joins | "
-          "scan columns |")
+    print("| view | shuffles (main + subqueries) | reused exchanges | broadcast / sort-merge / "
+          "shuffled-hash joins | scan columns |")
     print("| --- | --- | --- | --- | --- |")
     for name, view in catalog.VIEWS.items():
         df = view(inputs)
         qe = df._jdf.queryExecution()
         qe.toRdd().count()
         s = summarise(qe.explainString(mode))
-        (sh, ru, bhj, smj), (ssh, sru, sbhj, ssmj) = s["main"], s["sub"]
+        (sh, ru, bhj, smj, shj), (ssh, sru, sbhj, ssmj, sshj) = s["main"], s["sub"]
         scans = "; ".join(x.replace("struct<", "").rstrip(">") for x in s["scans"])
-        print(f"| {name} | {sh} + {ssh} | {ru + sru} | {bhj + sbhj} / {smj + ssmj}"
+        print(f"| {name} | {sh} + {ssh} | {ru + sru} | {bhj + sbhj} / {smj + ssmj} / {shj + sshj}"
               f"{' (skew split)' if s['skew'] else ''} | {scans} |", flush=True)
     spark.stop()
 
