@@ -6,6 +6,8 @@ import __spark_entry__ as entry
 from checks.compare import digest, duck
 
 SF = "/root/testdata/sf0.001"
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "date": "DATE", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +29,10 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(d_cols)
     assert len(rows) == len(d_rows)
     assert digest(df.columns, rows) == digest(d_cols, d_rows)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    rel = con.sql(entry.oracle_sql()[name])
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
 
 
 def test_entry_smoke(spark):

@@ -4,17 +4,18 @@ done by ``tillroll.plans.reports`` on the rendered text.
 
 Money is rendered from exact decimal sums, so text values are exact.
 
-Each report is a small table whose size is set by the calendar span and the
-number of types or products, not by the number of order lines; numbering its
-lines uses one ordered window over that table.
+Each report's size is set by the calendar span and the number of types or
+products, not by the number of order lines.  Its lines are numbered with a
+distributed sort (``operators.numbering``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.growth import dense_months, month_axis
+from tillroll.operators.numbering import number_rows
 from tillroll.sources.testdata import table
 
 REVENUE = "decimal(12,2)"
@@ -33,9 +34,8 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _number(lines: DataFrame, order_cols: list[str], file_name: str) -> DataFrame:
-    w = Window.orderBy(*order_cols)
-    return lines.select(F.lit(file_name).alias("file"),
-                        (F.row_number().over(w) - 1).alias("line_no"), "line")
+    numbered = number_rows(lines, order_cols, "line_no")
+    return numbered.select(F.lit(file_name).alias("file"), "line_no", "line")
 
 
 def _footer(first_field: Column | None = None) -> list[Column]:
