@@ -11,9 +11,9 @@ Inputs are first staged once into a new run folder under the shared folder
 parquet tables and the export CSV text spread over several files, and the wide
 reports as one text file each.  Each view is counted once (warm-up, output
 rows), then runs ``BENCH_REPEATS`` times into Spark's ``noop`` sink (full
-execution, nothing collected); the median is reported.  One extra tagged run per
-view gives its shuffle write/read bytes, read from Spark's event log in a
-scratch folder.  Prints one JSON line.
+execution, nothing collected); the median is reported.  The last run of each
+view is tagged, and its shuffle write/read bytes are read from Spark's event log
+in a scratch folder.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -99,12 +99,14 @@ def main() -> None:
             continue
         df = view(staged)
         rows[name] = df.count()  # also the warm-up
-        timings[name] = round(statistics.median(_run(df) for _ in range(repeats)), 4)
+        runs = [_run(df) for _ in range(max(repeats - 1, 0))]
         if log_dir:
-            # One more, tagged run: its shuffle volume is read from the event log.
+            # The last timed run is tagged; its shuffle volume is read from the event log.
             spark.sparkContext.setJobGroup(f"bench:{name}", name)
-            _run(df)
+        runs.append(_run(df))
+        if log_dir:
             spark.sparkContext.setJobGroup("", "")
+        timings[name] = round(statistics.median(runs), 4)
 
     spark.stop()
     shuffles = {g.split(":", 1)[1]: v for g, v in
