@@ -39,3 +39,24 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["product_1", "product_2", "n_orders"]
     assert df.count() >= 0
+
+
+ANSI_SENSITIVE = ["customer_profile", "product_week_revenue", "product_growth_report",
+                  "csv_order_lines", "daily_sales_summary", "unfulfilled_by_month", "calendar_columns"]
+
+
+@pytest.fixture
+def ansi_off(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+@pytest.mark.parametrize("name", ANSI_SENSITIVE)
+def test_query_matches_oracle_without_ansi(spark, con, ansi_off, name):
+    df = entry.queries()[name](spark, SF)
+    rows = [tuple(r) for r in df.collect()]
+    cur = con.execute(entry.oracle_sql()[name])
+    d_cols = [c[0] for c in cur.description]
+    assert digest(df.columns, rows) == digest(d_cols, cur.fetchall())
