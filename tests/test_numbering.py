@@ -5,7 +5,8 @@ from tillroll.operators.numbering import number_rows
 
 def test_number_rows_is_consecutive_in_order(spark):
     df = spark.range(0, 5000, numPartitions=7).selectExpr("id", "(id * 7919) % 5000 AS k")
-    out = number_rows(df, ["k"], "n", start=1).collect()
+    out = number_rows(df, ["k"], "n", start=1, count_col="total").collect()
+    assert {r.total for r in out} == {5000}
     got = sorted((r.n, r.k) for r in out)
     assert [n for n, _ in got] == list(range(1, 5001))
     assert [k for _, k in got] == sorted(r.k for r in out)

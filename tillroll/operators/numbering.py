@@ -15,16 +15,25 @@ from pyspark.sql import functions as F
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str], row_col: str = "row_no",
-                start: int = 0) -> DataFrame:
-    """``df`` plus ``row_col``: start, start + 1, ... in ``order_by`` order."""
+                start: int = 0, count_col: str | None = None) -> DataFrame:
+    """``df`` plus ``row_col``: start, start + 1, ... in ``order_by`` order.
+
+    With ``count_col``, also the total number of rows (from the same
+    per-partition table).
+    """
     ordered = df.orderBy(*order_by).select(
         "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_seq"))
-    parts = ordered.groupBy("_part").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: a bounded table
-    parts = parts.select("_part", "_first",
-                         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    numbered = ordered.join(parts, "_part")
+    parts = ordered.groupBy(F.col("_part").alias("_pid")).agg(
+        F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: a bounded table.  The key gets its own name so the
+    # join with the table it was derived from stays an unambiguous equi-join.
+    parts = parts.select("_pid", "_first",
+                         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+                         F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    numbered = ordered.join(parts, F.col("_part") == F.col("_pid"))
+    extra = [F.col("_total").alias(count_col)] if count_col else []
     return numbered.select(
         *df.columns,
-        (F.col("_before") + F.col("_seq") - F.col("_first") + F.lit(start)).alias(row_col))
+        (F.col("_before") + F.col("_seq") - F.col("_first") + F.lit(start)).alias(row_col),
+        *extra)

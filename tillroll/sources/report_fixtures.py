@@ -34,8 +34,8 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _number(lines: DataFrame, order_cols: list[str], file_name: str) -> DataFrame:
-    numbered = number_rows(lines, order_cols, "line_no")
-    return numbered.select(F.lit(file_name).alias("file"), "line_no", "line")
+    numbered = number_rows(lines, order_cols, "line_no", count_col="n_lines")
+    return numbered.select(F.lit(file_name).alias("file"), "line_no", "line", "n_lines")
 
 
 def _footer(first_field: Column | None = None) -> list[Column]:
@@ -164,4 +164,5 @@ def daily_summary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", F.lit("Margin"), _join_values(F.col("s"), "margin")),
         F.lit(""), F.lit("End of report"))
     return one.select(F.lit("sales_summary_by_day.csv").alias("file"),
-                      F.posexplode(lines).alias("line_no", "line"))
+                      F.posexplode(lines).alias("line_no", "line"),
+                      F.size(lines).alias("n_lines"))
