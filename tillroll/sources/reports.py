@@ -43,7 +43,11 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_line_counts(lines: DataFrame) -> DataFrame:
-    """Add ``n_lines`` (lines in the row's file) unless already present."""
+    """Add ``n_lines`` (lines in the row's file) unless already present.
+
+    Tables from ``read_numbered_lines`` already carry it; otherwise a per-file
+    count is joined back on ``file``.
+    """
     if "n_lines" in lines.columns:
         return lines
     counts = lines.groupBy("file").agg((F.max("line_no") + 1).alias("n_lines"))
