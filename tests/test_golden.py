@@ -206,3 +206,15 @@ def test_profile_columns_and_averages(spark):
     # totals over all lines, divided by the two known customers
     assert (r.avg_revenue, r.avg_quantity) == (12.0, 3.5)
     assert r.scores == ["1", "2"]
+
+
+def test_histogram_range_bounds(spark):
+    from tillroll.operators.histogram import fixed_range_histogram
+    from tillroll.plans.customers import ORDER_GAP_RANGES
+    values = [0.0, 0.5, 3.999, 4.0, 6.99, 7.0, 14.9, 15.0, 29.0, 30.0, 59.9, 60.0, 99.99, 100.0, 1000.0]
+    df = spark.createDataFrame([(v,) for v in values], "g double")
+    got = [tuple(r) for r in fixed_range_histogram(df, "g", ORDER_GAP_RANGES, "range_label", "n")
+           .select("range_label", "n").collect()]
+    # 0.0 is in no range (the first range excludes its lower bound)
+    assert got == [("0 to 4", 2), ("4 to 7", 2), ("7 to 15", 2), ("15 to 30", 2),
+                   ("30 to 60", 2), ("60 to 100", 2), ("100+", 2)]
