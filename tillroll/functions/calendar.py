@@ -17,7 +17,10 @@ WEEKDAY_NAMES = ["sunday", "monday", "tuesday", "wednesday", "thursday", "friday
 SLOT_HOURS = [0, 2, 4, 6, 8, 10, 12, 14, 16, 18, 20, 22]
 
 # Fixed value: the pattern the created-at text is matched with; group 2 is the
-# clock time.
+# clock time.  With greedy groups, group 2 is the text between the last two
+# blanks, i.e. the second-to-last blank-separated token (no match, so no hour,
+# with fewer than two blanks); ``created_hour`` takes that token with a split
+# instead of running the regex.
 CREATED_AT_PATTERN = r"(.*) (.*) (.*).*"
 
 
@@ -36,7 +39,8 @@ def created_date(created_at) -> Column:
 
 def created_hour(created_at) -> Column:
     """Hour of the clock time in the created-at text (offset ignored)."""
-    clock = F.regexp_extract(_col(created_at), CREATED_AT_PATTERN, 2)
+    tokens = F.split(_col(created_at), " ")
+    clock = F.when(F.size(tokens) >= 3, F.try_element_at(tokens, F.lit(-2)))
     return F.split(clock, ":").getItem(0).try_cast("int")
 
 
