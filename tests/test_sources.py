@@ -76,3 +76,18 @@ def test_sink_parquet_and_csv(spark, tmp_dir):
     sinks.write_view(df, os.path.join(tmp_dir, "c"), fmt="csv")
     back = spark.read.option("header", "true").csv(os.path.join(tmp_dir, "c")).collect()[0]
     assert (back.email, back.scores, back.v) == ("a", "1|2", "1.5")
+
+
+def test_order_export_many_files(spark, tmp_dir):
+    header = "Name,Email,Financial Status,Paid at,Fulfillment Status" + ",c" * 16
+    for f in range(3):
+        rows = [header]
+        for o in range(5):
+            rows.append(f"#{f}{o},u{o}@x,paid,,fulfilled" + "," * 11
+                        + f"2015-0{f + 1}-0{o + 1} 09:00:00 -0500,{o + 1},P{o},1.00,,S{o}")
+        rows.append("")  # blank trailing line
+        _write(os.path.join(tmp_dir, f"export_{f}.csv"), rows)
+    got = exports.read_order_export(spark, tmp_dir).collect()
+    assert len(got) == 15
+    assert sorted({r.order_id[:2] for r in got}) == ["#0", "#1", "#2"]
+    assert sum(r.qty for r in got) == 3 * 15
