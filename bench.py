@@ -67,6 +67,7 @@ def shuffle_bytes_by_group(log_dir: str) -> dict[str, dict[str, int]]:
 
 
 def main() -> None:
+    wall0 = time.perf_counter()
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
@@ -119,6 +120,7 @@ def main() -> None:
         "rows": rows,
         "shuffle_bytes": {k: shuffles.get(k, {"shuffle_write": 0, "shuffle_read": 0}) for k in timings},
         "stage_inputs_sec": round(stage_seconds, 3),
+        "bench_wall_sec": round(time.perf_counter() - wall0, 1),
         "sf": float(os.path.basename(sf_dir).replace("sf", "") or 0),
         "cpus": cpus,
         "repeats": repeats,
