@@ -119,7 +119,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     want = 4 * (sample_chars // piece_chars)
     # hashes only: the texts themselves are read again for the few rows that are drawn
     drawn = (rows.select("lang", F.xxhash64("text").alias("h")).distinct()
-             .withColumn("bucket", F.pmod("h", F.lit(256)).cast("int"))
+             .withColumn("bucket", F.pmod("h", F.lit(16)).cast("int"))
              .withColumn("r", F.row_number().over(Window.partitionBy("lang", "bucket").orderBy("h"))).where(f"r <= {want}")
              .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(f"r <= {want}")
              .groupBy("lang").agg(F.max("h").alias("most")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontam, langid, quality, simhash
+from tillroll.llm import ann, bpe, chat, decontam, langid, licenses, lm, quality, simhash, urls
 from tillroll.llm.common import held_out
 
 
@@ -35,11 +35,26 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+# The rule list of the query (action, host, path).
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document (3-word shingles, 3 bits)."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, max_bits=3)
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found of every vector whose id is divisible by 100."""
+    return (ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+            .select("query_id", "rank", F.col("id").alias("vec_id"), "score"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; a quarter of the documents is held out of the learning."""
     docs = table(spark, sf_dir, "documents")
@@ -48,10 +63,30 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", out.alias("held_out"), "lang_pred", "score", "bits"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one full of control strings, rebuilt from its event log, rendered and read back."""
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.read_back(chat.rendered(chat.messages(chat.events_of(rows))))
+
+
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base score and log-bilinear model score of every document; a fifth is held out."""
+    return lm.scores(table(spark, sf_dir, "documents"), held_out("doc_id", 5, 1))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of every document in which a licence family is recognised."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of every document."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file(), word_pattern())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_decontamination, op4_simhash, op6_language, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_decontamination, op3_url_filter, op4_simhash, op5_neighbours, op6_language,
+                                  op7_chat, op8_lm_scores, op9_licenses, op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}
