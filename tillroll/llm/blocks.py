@@ -20,14 +20,21 @@ BLOCK_BYTES = 8 << 20
 PACKED = "block long, payload binary"
 
 
-def pack(part: pa.RecordBatch) -> tuple[int, bytes]:
-    """(block id, compressed rows).  The id is a hash of the rows: the same rows get the same block
-    however often a task runs."""
+def serial(part: pa.RecordBatch) -> pa.Buffer:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, part.schema) as out:
         out.write_batch(part)
-    raw = sink.getvalue()
-    return xxhash.xxh64_intdigest(raw, 7) >> 1, zstandard.ZstdCompressor(level=1).compress(raw)
+    return sink.getvalue()
+
+
+def block_id(part: pa.RecordBatch) -> int:
+    """A hash of the rows: the same rows get the same block however often a task runs."""
+    return xxhash.xxh64_intdigest(serial(part), 7) >> 1
+
+
+def pack(part: pa.RecordBatch) -> tuple[int, bytes]:
+    """(block id, compressed rows)."""
+    return block_id(part), zstandard.ZstdCompressor(level=3).compress(serial(part))
 
 
 def unpack(payload: bytes) -> pa.RecordBatch:

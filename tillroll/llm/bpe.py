@@ -1,15 +1,15 @@
 """BPE encoding and decoding through a distinct-word table.
 
 Split: texts are cut into the tokenizer's words (special-token strings whole), as its pre-tokenizer
-cuts them.  Every block of texts sends each of its distinct words once to the word's partition (one
+cuts them.  Every block of texts numbers its distinct words and sends each once to the word's partition (one
 partition holds all rows of a word, sorted), where each distinct word of the whole corpus is
-encoded exactly once.  The ids return to the blocks and are joined back to the texts by
-position.  Decoding joins each id of a text with the id-to-piece table and reads the bytes as UTF-8.
+encoded exactly once.  The ids return to the blocks and are joined by word number to the texts, which
+travel as word numbers by position.  Decoding joins each id of a text with the id-to-piece table and reads the bytes as UTF-8.
 
 Merges never cross words, so a word's ids do not depend on its text.  The only table that is sent
 to all tasks is the tokenizer's own fixed vocabulary.  Null text counts as empty: no ids, empty
-decoded text.  Repeated rows keep their rows.  A word that does not come back to its block (a source that
-deals its rows anew when a lost task is repeated) is encoded where it stands.
+decoded text.  Repeated rows keep their rows.  Blocks are read twice and must hold the same
+rows each time, as blocks of files and written tables do; if they do not, the query stops with an error.
 """
 
 from __future__ import annotations
@@ -20,13 +20,14 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.blocks import BLOCK_BYTES, gathered, pack, packed, unpack
+from tillroll.llm.blocks import block_id, gathered
 
+BLOCK_BYTES = 16 << 20
 _LOADED: dict = {}
 
 
@@ -38,6 +39,17 @@ def byte_of_char() -> dict[str, int]:
     return table | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _ranges(chars: list[str]) -> str:
+    """The characters as ranges of a regular expression's class."""
+    out: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in out)
+
+
 class Vocabulary:
     """A byte-level BPE tokenizer file: splitting, one word's ids, the piece of an id."""
 
@@ -52,10 +64,16 @@ class Vocabulary:
         chars = byte_of_char()
         self.pieces = {i: bytes(chars[c] for c in t) for t, i in spec["model"]["vocab"].items()}
         self.pieces |= {i: t.encode() for t, i in self.special.items()}
-        self.split = regex.compile(pattern).findall
+        self.names = {i: str(i) for i in self.pieces}
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        # below U+0250 the pattern's letter and number classes are the same in every Unicode version
-        self.settled = re.compile("[\\x00-\\u024f\\u2010-\\u2027\\u20ac]*").fullmatch
+        # in these ranges every Unicode version has the same letters, numbers and spaces, so the pattern's classes can
+        # be written out and the standard library's faster matcher cuts the words
+        plain = [chr(c) for c in (*range(0x250), *range(0x2010, 0x2028), 0x20AC)]
+        letter, number, space = (_ranges([c for c in plain if regex.match(x, c)]) for x in (r"\p{L}", r"\p{N}", r"\s"))
+        spelled = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letter}{number}]").replace(r"\p{L}", f"[{letter}]")
+        spelled = spelled.replace(r"\p{N}", f"[{number}]").replace(r"\s", f"[{space}]").replace(r"\S", f"[^{space}]")
+        self.split = re.compile(spelled).findall
+        self.settled = re.compile(f"[{_ranges(plain)}]*").fullmatch
 
     def words(self, text: str) -> list[str]:
         """The words of a text, in order; together they are the text."""
@@ -78,40 +96,95 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
     return _LOADED["of"]
 
 
+def numbered(part: pa.RecordBatch, vocab: Vocabulary) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct words in order of appearance, number of the word at every position, words per text)."""
+    number: dict[str, int] = {}
+    at, sizes = [], []
+    for text in part.column("text").to_pylist():
+        words = vocab.words(text or "")
+        sizes.append(len(words))
+        at += [number.setdefault(w, len(number)) for w in words]
+    return list(number), np.array(at, "<u4"), np.array(sizes, "<u4")
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """Unsigned integers as compressed byte planes."""
+    return zstandard.ZstdCompressor(level=3).compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def opened(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def block_words(rows: DataFrame, path: str, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, word): the distinct words of every block."""
+    """(block, number, word): the distinct words of every block."""
     def run(batches):
         vocab = vocabulary(path, pattern)
         for part in gathered(batches, "text", block_bytes):
-            block, _ = pack(part)
-            seen: set[str] = set()
+            seen: dict[str, None] = {}
             for text in part.column("text").to_pylist():
-                seen.update(vocab.words(text or ""))
-            word = pa.array(sorted(seen), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), block)), word], ["block", "word"])
+                seen.update(dict.fromkeys(vocab.words(text or "")))
+            words = list(seen)  # in the order in which ``numbered`` numbers them
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), block_id(part))), pa.array(np.arange(len(words), dtype=np.int32)),
+                                              pa.array(words, pa.string())], ["block", "number", "word"])
 
-    return rows.mapInArrow(run, "block long, word string")
+    return rows.mapInArrow(run, "block long, number int, word string")
 
 
-def word_table(words: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(block, word, ids): each distinct word is encoded once, where all its rows meet."""
+def block_positions(rows: DataFrame, path: str, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(block, docs, sizes, at): the texts of every block as word numbers by position."""
     def run(batches):
         vocab = vocabulary(path, pattern)
-        last, last_ids = None, None  # a word's rows may go on in the next batch
-        for batch in batches:
-            for lo in range(0, len(batch), 50_000):
-                part = batch.slice(lo, 50_000)
-                runs = part.column("word").dictionary_encode()
-                known = runs.dictionary.to_pylist()
-                first = known and known[0] == last
-                ids = ([last_ids] if first else []) + vocab.encode(known[1:] if first else known)
-                if known:
-                    last, last_ids = known[-1], ids[-1]
-                table = pa.array([np.array(i, "<u4").tobytes() for i in ids], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("block"), part.column("word"), table.take(runs.indices)],
-                                                 ["block", "word", "ids"])
+        for part in gathered(batches, "text", block_bytes):
+            _, at, sizes = numbered(part, vocab)
+            yield pa.RecordBatch.from_arrays([pa.array([block_id(part)], pa.int64()), pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                                              pa.array([squeezed(sizes)]), pa.array([squeezed(at)])], ["block", "docs", "sizes", "at"])
 
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(run, "block long, word string, ids binary")
+    return rows.mapInArrow(run, "block long, docs array<long>, sizes binary, at binary")
+
+
+def word_ids(words: DataFrame, path: str, pattern: str, rows_at_once: int = 300_000) -> DataFrame:
+    """(block, number[], n_ids[], ids[]), packed: each distinct word is encoded once, where all its rows meet;
+    the ids go back in one row for each block and stretch of rows."""
+    def run(batches):
+        vocab = vocabulary(path, pattern)
+        last: list = [None, None]  # a word's rows may go on in the next stretch
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size >= rows_at_once:
+                yield encoded(pa.Table.from_batches(held).combine_chunks(), vocab, last)
+                held, size = [], 0
+        if size:
+            yield encoded(pa.Table.from_batches(held).combine_chunks(), vocab, last)
+
+    def encoded(table, vocab, last):
+        word = table.column("word").combine_chunks().dictionary_encode()
+        word = word.chunk(0) if isinstance(word, pa.ChunkedArray) else word
+        known = word.dictionary.to_pylist()
+        ids = ([last[1]] + vocab.encode(known[1:])) if known[0] == last[0] else vocab.encode(known)
+        last[:] = known[-1], ids[-1]
+        n_of = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter((i for x in ids for i in x), np.int64, int(n_of.sum()))
+        start_of = np.cumsum(n_of) - n_of
+        block, number = (table.column(c).to_numpy() for c in ("block", "number"))
+        order = np.lexsort((number, block))
+        code = word.indices.to_numpy()[order]
+        block, number = block[order], number[order]
+        first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        out = [(int(block[lo]), squeezed(number[lo:hi]), squeezed(n_of[code[lo:hi]]), squeezed(flat[ragged(start_of[code[lo:hi]], n_of[code[lo:hi]])]))
+               for lo, hi in zip(first, np.r_[first[1:], len(block)])]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["block", "number", "n_ids", "ids"])
+
+    return (words.repartition("word").sortWithinPartitions("word")
+            .mapInArrow(run, "block long, number binary, n_ids binary, ids binary"))
+
+
+def ragged(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Indices start[0], start[0] + 1, ... (n[0] of them), start[1], ..."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -140,30 +213,34 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def _joined(docs, path, pattern, id_col, text_col, block_bytes, schema, result):
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+    out_schema = to_arrow_schema(StructType.fromDDL(schema))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = word_table(block_words(rows, path, pattern, block_bytes), path, pattern)
+    table = word_ids(block_words(rows, path, pattern, block_bytes), path, pattern)
+    texts = block_positions(rows, path, pattern, block_bytes)
 
     def join(words: pa.Table, texts: pa.Table):
-        if not texts.num_rows:
-            return pa.table({n: [] for n in names}, schema=out_schema)
         vocab = vocabulary(path, pattern)
-        ids_of = dict(zip(words.column("word").to_pylist(), words.column("ids").to_pylist()))
+        number, n, ids = (np.concatenate([opened(x) for x in words.column(c).to_pylist()] or [np.empty(0, "<u4")]).astype(np.int64)
+                          for c in ("number", "n_ids", "ids"))
+        # equal blocks (repeated rows) send the same words more than once
+        number, order = np.unique(number, return_index=True)
+        start, n = (np.cumsum(n) - n)[order], n[order]
         out = []
-        for payload in texts.column("payload").to_pylist():
-            part = unpack(payload)
-            for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                at = vocab.words(text or "")
-                if (lost := [w for w in set(at) if w not in ids_of]):
-                    ids_of.update(zip(lost, (np.array(i, "<u4").tobytes() for i in vocab.encode(lost))))
-                out.append((doc, *result(np.frombuffer(b"".join(map(ids_of.__getitem__, at)), "<u4"), vocab)))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), out_schema.types)], schema=out_schema)
+        for row in texts.to_pylist():
+            at, sizes = opened(row["at"]).astype(np.int64), opened(row["sizes"]).astype(np.int64)
+            if len(at) and int(at.max()) + 1 != len(number):
+                raise RuntimeError("a block and its words differ: the source deals its rows anew when it is read again")
+            each = n[at]
+            found = ids[ragged(start[at], each)]
+            ends = np.r_[0, np.cumsum(each)][np.cumsum(sizes)]
+            for doc, lo, hi in zip(row["docs"], np.r_[0, ends[:-1]], ends):
+                out.append((doc, *result(found[lo:hi], vocab)))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), out_schema.types)] if out else [pa.array([], t) for t in out_schema.types],
+                        schema=out_schema)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-    out_schema = to_arrow_schema(StructType.fromDDL(schema))
-    names = out_schema.names
-    blocks = packed(rows, "text", block_bytes)
-    return table.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(join, schema)
+    return table.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(join, schema)
 
 
 def _ids(ids, vocab):
@@ -173,4 +250,4 @@ def _ids(ids, vocab):
 def _digests(ids, vocab):
     ids = ids.tolist()
     text = b"".join(map(vocab.pieces.__getitem__, ids)).decode("utf-8", "replace")
-    return (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+    return (len(ids), hashlib.sha256(",".join(map(vocab.names.__getitem__, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
