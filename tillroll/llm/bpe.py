@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.blocks import block_id, gathered
+from tillroll.llm.common import texts
 
 BLOCK_BYTES = 16 << 20
 _LOADED: dict = {}
@@ -144,7 +145,7 @@ def block_positions(rows: DataFrame, path: str, pattern: str, block_bytes: int =
     return rows.mapInArrow(run, "block long, docs array<long>, sizes binary, at binary")
 
 
-def word_ids(words: DataFrame, path: str, pattern: str, rows_at_once: int = 300_000) -> DataFrame:
+def word_ids(words: DataFrame, path: str, pattern: str, rows_at_once: int = 150_000) -> DataFrame:
     """(block, number[], n_ids[], ids[]), packed: each distinct word is encoded once, where all its rows meet;
     the ids go back in one row for each block and stretch of rows."""
     def run(batches):
@@ -216,11 +217,11 @@ def _joined(docs, path, pattern, id_col, text_col, block_bytes, schema, result):
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
     out_schema = to_arrow_schema(StructType.fromDDL(schema))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = texts(docs, id_col, text_col)
     table = word_ids(block_words(rows, path, pattern, block_bytes), path, pattern)
-    texts = block_positions(rows, path, pattern, block_bytes)
+    positions = block_positions(rows, path, pattern, block_bytes)
 
-    def join(words: pa.Table, texts: pa.Table):
+    def join(words: pa.Table, rows: pa.Table):
         vocab = vocabulary(path, pattern)
         number, n, ids = (np.concatenate([opened(x) for x in words.column(c).to_pylist()] or [np.empty(0, "<u4")]).astype(np.int64)
                           for c in ("number", "n_ids", "ids"))
@@ -228,19 +229,18 @@ def _joined(docs, path, pattern, id_col, text_col, block_bytes, schema, result):
         number, order = np.unique(number, return_index=True)
         start, n = (np.cumsum(n) - n)[order], n[order]
         out = []
-        for row in texts.to_pylist():
-            at, sizes = opened(row["at"]).astype(np.int64), opened(row["sizes"]).astype(np.int64)
+        for row in rows.to_pylist():
+            at, sizes = opened(row["at"]), opened(row["sizes"])
             if len(at) and int(at.max()) + 1 != len(number):
                 raise RuntimeError("a block and its words differ: the source deals its rows anew when it is read again")
-            each = n[at]
-            found = ids[ragged(start[at], each)]
-            ends = np.r_[0, np.cumsum(each)][np.cumsum(sizes)]
+            ends = np.cumsum(sizes, dtype=np.int64)
             for doc, lo, hi in zip(row["docs"], np.r_[0, ends[:-1]], ends):
-                out.append((doc, *result(found[lo:hi], vocab)))
+                words = at[lo:hi]
+                out.append((doc, *result(ids[ragged(start[words], n[words])], vocab)))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), out_schema.types)] if out else [pa.array([], t) for t in out_schema.types],
                         schema=out_schema)
 
-    return table.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(join, schema)
+    return table.groupBy("block").cogroup(positions.groupBy("block")).applyInArrow(join, schema)
 
 
 def _ids(ids, vocab):

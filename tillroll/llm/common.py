@@ -3,6 +3,7 @@ connected components."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -13,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # One slice of texts handled at a time by a Python task (bytes of UTF-8).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+# Bytes of one Arrow batch between Spark and a Python task, where the session allows more.
+BATCH_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -32,6 +35,24 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session's Arrow batches bounded by ``BATCH_BYTES``: texts differ in length by
+    orders of magnitude, so a number of rows does not bound what a task holds."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    try:
+        now = int(re.sub(r"\D", "", conf.get(key)))
+    except ValueError:
+        now = 0
+    if not 0 < now <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
+def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id long, text string) of ``docs``, whatever other columns it has."""
+    return small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+
+
 def held_out(id_col: str, modulus: int, remainder: int):
     """crc32 of the id's decimal text, modulo ``modulus``, equals ``remainder`` (a null id: false)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus == remainder, F.lit(False))

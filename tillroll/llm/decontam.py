@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import slices
+from tillroll.llm.common import slices, small_batches, texts
 
 EDGE = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "¿¡«»“”‘’„–—…"
 SHINGLE = 5
@@ -187,7 +187,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(doc_id, item_id, score, question_overlap, answer_overlap): one row for each confirmed match."""
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    rows = texts(docs, id_col, text_col).where("text is not null")
     found = spark.createDataFrame([], schema)
     for items in _items(benchmark, max_items):
         index = Index(items)
@@ -210,7 +210,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
                 dirty = {d for d, _, _, _, _ in _matches(shared.value, part.column(text_col), width, threshold, min_question, min_answer)}
                 yield part.filter(pa.array([d not in dirty for d in range(len(part))]))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = small_batches(docs).mapInArrow(run, docs.schema)
     return docs
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import slices
+from tillroll.llm.common import slices, small_batches, texts
 
 BLOCK = 1024
 SAMPLE_CHARS = 32768
@@ -158,7 +158,7 @@ class Parser:
     def __init__(self, models: list[dict]):
         self.langs = [m["lang"] for m in models]
         self.bits = [float(np.log2(max(2, m["n_symbols"]))) for m in models]
-        alphabet = sorted({c for m in models for c in m["symbol"]})
+        alphabet = np.unique(np.concatenate([m["symbol"] for m in models] or [np.empty(0, np.int32)])).tolist()
         self.code = np.full(sys.maxunicode + 1, 1, np.uint8 if len(alphabet) < 250 else np.int32)
         self.code[alphabet] = np.arange(2, len(alphabet) + 2)
         self.width = w = len(alphabet) + 2
@@ -219,12 +219,19 @@ class Parser:
 
 
 def _collected(model: DataFrame) -> list[dict]:
-    return sorted((r.asDict() for r in model.collect() if r["n_symbols"]), key=lambda m: m["lang"])
+    out = []
+    for r in model.toArrow().to_pylist():
+        if r["n_symbols"]:
+            arrays = {c: np.array(r[c], np.int32) for c in ("state", "symbol", "next")}
+            key = hash((r["lang"], *(a.tobytes() for a in arrays.values())))
+            out.append({"lang": r["lang"], "n_symbols": r["n_symbols"], "n_states": r["n_states"], "key": key, **arrays})
+    return sorted(out, key=lambda m: m["lang"])
 
 
 def _parser(models: list[dict]) -> Parser:
-    if _TABLES.get("of") != models:
-        _TABLES.update(of=models, parser=Parser(models))
+    key = [m["key"] for m in models]
+    if _TABLES.get("of") != key:
+        _TABLES.update(of=key, parser=Parser(models))
     return _TABLES["parser"]
 
 
@@ -235,13 +242,13 @@ def identify(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col
 
     def run(batches):
         parser = _parser(shared.value)
-        for part in slices(batches, "text", 2 << 20):
+        for part in slices(batches, "text"):
             lang, score, bits = parser.judge(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(lang, pa.string()), pa.array(score), pa.array(bits)],
                 ["doc_id", "lang_pred", "score", "bits"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = texts(docs, id_col, text_col)
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, bits double")
 
 
@@ -254,10 +261,10 @@ def accepted(docs: DataFrame, model: DataFrame, text_col: str = "text") -> DataF
     def run(batches):
         parser = _parser(shared.value)
         ceiling = np.log2(parser.width)
-        for part in slices(batches, text_col, 2 << 20):
+        for part in slices(batches, text_col):
             texts = part.column(text_col).to_pylist()
             lang, _, bits = parser.judge(texts)
             slack = np.array([max(parser.bits, default=0.0) / max(1, len(t or "")) for t in texts])
             yield part.filter(pa.array(np.array([x != UND for x in lang], bool) & (bits <= ceiling + slack)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

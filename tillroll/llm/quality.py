@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import slices
+from tillroll.llm.common import slices, small_batches, texts
 
 BUCKETS = 1 << 18
 PREFIX = 5
@@ -115,10 +115,11 @@ def fit(row: np.ndarray, bucket: np.ndarray, grade: np.ndarray, grades: int, min
             gap = np.abs(a / per[k] - b / (n - per[k]))
             clear = np.maximum(clear, gap / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / per[k] + 1 / (n - per[k]))))
     held = np.flatnonzero((docs.sum(0) >= min_docs) & (clear >= min_errors))
-    place = np.full(BUCKETS, -1)
+    place = np.full(BUCKETS, -1, np.int32)
     place[held] = np.arange(len(held))
     used = place[bucket] >= 0
     row, at = row[used], place[bucket[used]]
+    del bucket
     weight = (np.maximum(per, 1) / n) ** -power
     weight = (weight / weight[grade].mean())[grade]
     w, first, gaps = np.zeros(len(held)), -1.0, np.zeros(max(0, grades - 2))
@@ -147,7 +148,7 @@ def fit(row: np.ndarray, bucket: np.ndarray, grade: np.ndarray, grades: int, min
 
 
 def train(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_id", text_col: str = "text",
-          fit_rows: int = 24000, min_docs: int = 6) -> dict:
+          fit_rows: int = 12000, min_docs: int = 6) -> dict:
     """The model from ``ratings`` (doc_id, grade 0 .. grades - 1).  ``fit_rows`` bounds the fit."""
     rated = (ratings.where(f"doc_id is not null and grade between 0 and {grades - 1}").groupBy(F.col("doc_id").alias("rated_id"))
              .agg(F.min("grade").cast("int").alias("grade")))
@@ -171,8 +172,8 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_i
     if not got.num_rows:
         return {"bucket": np.empty(0, np.int32), "weight": np.empty(0, np.float32), "theta": np.arange(grades - 1, dtype=float)}
     lists = got.column("buckets").combine_chunks() if isinstance(got.column("buckets"), pa.ChunkedArray) else got.column("buckets")
-    row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-    return fit(row, lists.flatten().to_numpy().astype(np.int64), got.column("grade").to_numpy().astype(np.int64), grades, min_docs)
+    row = np.repeat(np.arange(len(lists), dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return fit(row, lists.flatten().to_numpy(), got.column("grade").to_numpy().astype(np.int64), grades, min_docs)
 
 
 def _judge(model: dict):
@@ -202,7 +203,7 @@ def grade(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                 [part.column("doc_id"), pa.array(p @ np.arange(p.shape[1])), pa.array(tail), pa.array(tail >= keep_at)],
                 ["doc_id", "expected_grade", "tail_probability", "keep"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = texts(docs, id_col, text_col)
     return rows.mapInArrow(run, "doc_id long, expected_grade double, tail_probability double, keep boolean")
 
 
@@ -217,7 +218,7 @@ def selected(docs: DataFrame, model: dict, text_col: str = "text", keep_grade: i
         for part in slices(batches, text_col):
             yield part.filter(pa.array(judge(part.column(text_col).cast(pa.string()))[:, top:].sum(1) >= keep_at))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def graded(labels: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import components, slices, written
+from tillroll.llm.common import components, slices, texts, written
 
 SEED = 42
 
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.fromiter((fingerprint(t or b"", n) for t in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = texts(docs, id_col, text_col)
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
