@@ -359,6 +359,19 @@ def test_chat_round_trip(spark):
     assert chat.read_back(chat.rendered(chat.messages(chat.events_of(df.limit(0))))).count() == 0
 
 
+def test_chat_equals_its_sql(spark):
+    from checks.compare import digest, duck
+    con = duck(SF)
+    got = queries.op7_chat(spark, SF)
+    cur = con.execute(queries.ORACLE_SQL["op7_chat"])
+    assert digest(got.columns, [tuple(r) for r in got.collect()]) == digest([c[0] for c in cur.description], cur.fetchall())
+    assert [str(t) for t in con.sql(queries.ORACLE_SQL["op7_chat"]).types] == ["BIGINT", "BIGINT", "VARCHAR", "BIGINT", "VARCHAR", "BIGINT"]
+    cases = ["<|x", "<\\|x", "a<\\\\|<|", "\\<|\n"]
+    sql = "SELECT regexp_replace(?, '<(\\\\*)\\|', '<\\1\\\\|', 'g')"
+    for r in spark.createDataFrame([(c,) for c in cases], "t string").select("t", chat.escaped(F.col("t")).alias("e")).collect():
+        assert chat.unescaped(r.e) == r.t and con.execute(sql, [r.t]).fetchall()[0][0] == r.e
+
+
 # 8 language model
 
 def test_base_scores_equal_brute_force(spark, sf_docs):

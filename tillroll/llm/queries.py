@@ -89,4 +89,17 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_decontamination, op3_url_filter, op4_simhash, op5_neighbours, op6_language,
                                   op7_chat, op8_lm_scores, op9_licenses, op10_bpe)}
-ORACLE_SQL: dict[str, str] = {}
+# The other queries rest on learnt models, XXH64 or a tokenizer, which SQL cannot express; tests/llm holds
+# their brute-force versions.
+ORACLE_SQL: dict[str, str] = {"op7_chat": r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(8 + length(replace(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'), chr(10), '<|nl|>')) + 1
+                + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + 8) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id"""}
