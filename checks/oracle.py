@@ -39,20 +39,19 @@ cx AS (
          CAST(CAST(c.c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS attr12,
          'cust' || CAST(c.c_custkey AS VARCHAR) || '@example.com' AS email
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-                  JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE c.c_acctbal >= 0)"""
+                  JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 SEGMENTS = """
 seg AS (
   SELECT 'cust' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email, c_mktsegment AS segment
-  FROM customer WHERE c_acctbal >= 1000)"""
+  FROM customer)"""
 
 SCORES = """
 sc AS (
   SELECT 'cust' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email,
          CAST(c_nationkey AS VARCHAR) || '|' || c_mktsegment AS scores,
          CAST(c_nationkey AS VARCHAR) AS first_score
-  FROM customer WHERE c_acctbal < 9000)"""
+  FROM customer)"""
 
 EVENTS = """
 ev AS (

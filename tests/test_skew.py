@@ -2,48 +2,27 @@
 
 import itertools
 
-import pytest
-
 from tests.conftest import line, order_lines
 from tillroll import plans
-
-SKEW_CONF = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
-    "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    "spark.sql.shuffle.partitions": "8",
-}
-
-
-@pytest.fixture
-def skew_conf(spark):
-    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
-    for k, v in SKEW_CONF.items():
-        spark.conf.set(k, v)
-    yield
-    for k, v in old.items():
-        if v is None:
-            spark.conf.unset(k)
-        else:
-            spark.conf.set(k, v)
-
+from tillroll.operators.cooccurrence import blocked, pair_counts
 
 def _executed_plan(df) -> str:
     df._jdf.queryExecution().toRdd().count()
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_basket_is_split_across_tasks(spark, skew_conf):
-    # one basket holds a third of all rows
+def test_hot_basket_is_cut_into_blocks(spark):
+    # one basket holds a third of all rows; session defaults, no lowered thresholds
     hot = [line("#hot", f"P{i:04d}") for i in range(1000)]
     small = [line(f"#{o}", f"P{(o * 7) % 1000:04d}") for o in range(1000)]
     small += [line(f"#{o}", f"P{(o * 11 + 1) % 1000:04d}") for o in range(1000)]
-    df = plans.bought_together(order_lines(spark, hot + small), sort=False)
-    plan = _executed_plan(df)
-    assert "SortMergeJoin(skew=true)" in plan
+    lines = order_lines(spark, hot + small)
+    df = pair_counts(lines, ["order_id"], "product", block=100)
+    left, right = blocked(lines.select("order_id", "product").distinct(), ["order_id"], "product", "a", "b", 100)
+    held = left.groupBy("order_id", "block").count()
+    assert held.where("order_id = '#hot'").count() == 10
+    assert held.agg({"count": "max"}).first()[0] < 200
+    assert right.where("order_id = '#hot'").count() == 10_000
 
     baskets = {}
     for r in hot + small:

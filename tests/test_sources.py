@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from tests.conftest import rows_of
 from tillroll.sources import exports, reports, sinks
 
@@ -91,3 +93,37 @@ def test_order_export_many_files(spark, tmp_dir):
     assert len(got) == 15
     assert sorted({r.order_id[:2] for r in got}) == ["#0", "#1", "#2"]
     assert sum(r.qty for r in got) == 3 * 15
+
+
+def test_csv_sink_round_trip(spark, tmp_dir):
+    rows = [(1, 'say "hi", ok'), (2, "a,b"), (3, '"'), (4, "plain é")]
+    sinks.write_view(spark.createDataFrame(rows, "i int, t string"), os.path.join(tmp_dir, "q"), fmt="csv")
+    back = spark.read.csv(os.path.join(tmp_dir, "q"), header=True, schema="i int, t string", escape='"')
+    assert sorted(tuple(r) for r in back.collect()) == rows
+
+
+def test_values_that_do_not_fit_stop_the_query(spark):
+    from tests.conftest import line, order_lines
+    assert order_lines(spark, [line("#1", qty="2.0")]).first().qty == 2
+    for bad in (line("#1", qty="1.5"), line("#1", qty="x"), line("#1", price="1.005"), line("#1", price="12345678901.00")):
+        with pytest.raises(Exception, match="cannot be kept exactly"):
+            order_lines(spark, [bad]).collect()
+
+
+def test_positional_reports_of_two_files_stop_the_query(spark):
+    from tillroll.plans.reports import daily_sales_summary
+    from tests.conftest import report_df
+    two = report_df(spark, ["a"], "x").union(report_df(spark, ["a"], "y"))
+    with pytest.raises(Exception, match="must be one file"):
+        daily_sales_summary(two).collect()
+
+
+def test_checkpoint_dir_without_the_setting():
+    from tillroll.session import checkpoint_dir
+
+    class Unset:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+    assert os.path.isdir(checkpoint_dir(Unset, allow_local_default=True))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Unset)

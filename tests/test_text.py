@@ -37,3 +37,11 @@ def test_naive_split_is_plain_split(spark):
     df = spark.createDataFrame([(line,) for line in lines], "line string")
     got = [r[0] for r in df.select(naive_fields("line")).collect()]
     assert got == [line.split(",") for line in lines]
+
+
+def test_long_quoted_field_needs_no_deep_stack(spark):
+    long = "x" * 1_000_000
+    rows = [(f'a,"{long}",b',), ('a,"' + '""' * 100_000 + '",b',)]
+    got = spark.createDataFrame(rows, "line string").select(csv_fields("line").alias("f")).collect()
+    assert [len(r.f) for r in got] == [3, 3]
+    assert got[0].f[1] == long and got[1].f[1] == '"' * 100_000

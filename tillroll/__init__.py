@@ -7,7 +7,6 @@ Layout:
   operators/  reusable relational building blocks (pair counting, indicator
               counts, gaps, growth, reshaping, histograms)
   plans/      the user-facing views, one pure function per view
-  streaming/  incremental (Structured Streaming) runner for the order views
 """
 
 __version__ = "0.1.0"

@@ -16,12 +16,6 @@ from pyspark.sql import functions as F
 WEEKDAY_NAMES = ["sunday", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday"]
 SLOT_HOURS = [0, 2, 4, 6, 8, 10, 12, 14, 16, 18, 20, 22]
 
-# Fixed value: the pattern the created-at text is matched with; group 2 is the
-# clock time.  With greedy groups, group 2 is the text between the last two
-# blanks, i.e. the second-to-last blank-separated token (no match, so no hour,
-# with fewer than two blanks); ``created_hour`` takes that token with a split
-# instead of running the regex.
-CREATED_AT_PATTERN = r"(.*) (.*) (.*).*"
 
 
 def _col(c) -> Column:

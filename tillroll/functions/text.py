@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 # One CSV field preceded by its comma: either a double-quoted field (doubled
 # quotes inside) or a run of non-comma characters.  The line gets a leading
 # comma so every field has one; each match then consumes at least that comma,
-# and matching left to right keeps the split linear in the line length.
-_CSV_FIELD = r',("(?:[^"]|"")*"|[^,]*)'
+# and matching left to right keeps the split linear in the line length.  The
+# possessive loops need no backtracking stack, however long a field is.
+_CSV_FIELD = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*)'
 
 
 def _col(c) -> Column:

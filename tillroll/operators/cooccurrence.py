@@ -8,9 +8,10 @@ the basket key with ``left.item < right.item``, then a grouped count:
 * deduplicating first makes each (basket, item_1, item_2) row unique, so a
   plain count is the distinct-basket count;
 * the grouped count aggregates map-side before its shuffle;
-* a basket holding a large share of all rows is split across tasks by AQE's
-  skew-join handling (both join sides read the same shuffle, so the hot
-  partition is cut into slices that are joined pairwise).
+* the work inside a basket is quadratic, so a basket of more than ``block`` items
+  is cut: each left item lies in one of its blocks, the right items are sent to all
+  of them, and the join runs per (basket, block).  A task then joins at most about
+  ``block`` left items of a basket, whatever the basket's size; none is dropped.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 
 def pair_counts(baskets: DataFrame, basket_keys: Sequence[str], item: str, *,
                 group_keys: Sequence[str] = (), first: str = "product_1",
-                second: str = "product_2", count: str = "n_orders") -> DataFrame:
+                second: str = "product_2", count: str = "n_orders",
+                block: int = 1000) -> DataFrame:
     """Count baskets per unordered item pair (``first < second``).
 
     ``baskets`` holds one row per (basket_keys..., item); duplicates are removed
@@ -31,7 +33,17 @@ def pair_counts(baskets: DataFrame, basket_keys: Sequence[str], item: str, *,
     """
     keys = list(basket_keys)
     dedup = baskets.select(*keys, item).distinct()
-    left = dedup.select(*keys, F.col(item).alias(first))
-    right = dedup.select(*keys, F.col(item).alias(second))
-    pairs = left.join(right, on=keys, how="inner").where(F.col(first) < F.col(second))
+    left, right = (side.drop("n_blocks") for side in blocked(dedup, keys, item, first, second, block))
+    pairs = left.join(right, on=[*keys, "block"], how="inner").where(F.col(first) < F.col(second))
     return pairs.groupBy(*group_keys, first, second).agg(F.count(F.lit(1)).alias(count))
+
+
+def blocked(dedup: DataFrame, keys: list[str], item: str, first: str, second: str, block: int) -> tuple[DataFrame, DataFrame]:
+    """Left rows in their block, right rows in every block of their basket (one unless it is large)."""
+    large = (dedup.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n_blocks"))
+             .where("n_blocks > 1"))
+    sized = dedup.join(large, keys, "left").withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1)))
+    left = sized.select(*keys, "n_blocks", F.col(item).alias(first),
+                        F.pmod(F.xxhash64(item), F.col("n_blocks")).cast("int").alias("block"))
+    right = sized.select(*keys, "n_blocks", F.col(item).alias(second), F.explode(F.expr("sequence(0, n_blocks - 1)")).alias("block"))
+    return left, right

@@ -36,13 +36,13 @@ def product_daily(lines: DataFrame) -> DataFrame:
     return daily.repartition(*KEYS)
 
 
-def line_month_axis(lines: DataFrame):
+def daily_month_axis(daily: DataFrame):
     """Sorted distinct months of all order lines, as one array value.
 
-    Computed from the created-at column alone: each task keeps a set of at most
-    one entry per calendar month, so only those small sets are shuffled.
+    Read from the daily table that the view needs anyway; each task keeps a set
+    of at most one entry per calendar month.
     """
-    months = lines.select(month_start(created_date("created_at")).alias("month"))
+    months = daily.select(month_start("order_date").alias("month"))
     return month_axis(months)
 
 
@@ -64,20 +64,22 @@ def product_month_revenue(lines: DataFrame) -> DataFrame:
 
 def product_month_dense(lines: DataFrame) -> DataFrame:
     """Every product x every month seen anywhere; missing or non-positive -> 0."""
-    d = dense_months(_monthly(product_daily(lines)), KEYS, axis=line_month_axis(lines))
+    daily = product_daily(lines)
+    d = dense_months(_monthly(daily), KEYS, axis=daily_month_axis(daily))
     return d.select(*KEYS, "month", money(F.col("revenue")).alias("revenue"))
 
 
 def product_cmgr(lines: DataFrame) -> DataFrame:
     """product, sku, cmgr, n_periods (see ``tillroll.operators.growth``)."""
-    g = cmgr(_monthly(product_daily(lines)), KEYS, axis=line_month_axis(lines))
+    daily = product_daily(lines)
+    g = cmgr(_monthly(daily), KEYS, axis=daily_month_axis(daily))
     return g.select(*KEYS, "cmgr", "n_periods")
 
 
 def product_series(lines: DataFrame) -> DataFrame:
     """product, sku, series: comma-joined dense monthly revenues in month order."""
-    monthly = _monthly(product_daily(lines))
-    s = month_series(dense_months(monthly, KEYS, axis=line_month_axis(lines)), KEYS)
+    daily = product_daily(lines)
+    s = month_series(dense_months(_monthly(daily), KEYS, axis=daily_month_axis(daily)), KEYS)
     return s.select(*KEYS, F.array_join(F.transform("series", money_text), ",").alias("series"))
 
 
@@ -89,14 +91,12 @@ def product_week_revenue(lines: DataFrame) -> DataFrame:
     """
     daily = product_daily(lines)
     monthly = _monthly(daily)
-    growth = cmgr(monthly, KEYS, axis=line_month_axis(lines))
+    growth = cmgr(monthly, KEYS, axis=daily_month_axis(daily))
     weekly = _weekly(daily)
     totals = scalar_struct(weekly, total=F.sum("revenue"), rows=F.count(F.lit(1)))
     total = money(totals.getField("total"))
-    # Both sides are already partitioned by (product, sku); the growth side has
-    # one row per product, so hash it per partition instead of sorting the
-    # (much larger) weekly side for a sort-merge join.
-    out = weekly.join(growth.select(*KEYS, "cmgr", "n_periods").hint("shuffle_hash"), KEYS, "left")
+    # Both sides are already partitioned by (product, sku).
+    out = weekly.join(growth.select(*KEYS, "cmgr", "n_periods"), KEYS, "left")
     return out.select(
         *KEYS, "week", money(F.col("revenue")).alias("revenue"), "cmgr", "n_periods",
         F.try_divide(money(F.col("revenue")) * 100, total).alias("pct_total"),

@@ -42,11 +42,20 @@ def _cells(report: DataFrame, fields_fn, first_pos: int = 1) -> DataFrame:
     return explode_positions(body, F.col("fields"), ["line_no", "label"], first_pos)
 
 
+def one_report(lines: DataFrame) -> DataFrame:
+    """``lines``, if they are of one file: rows of several would match by position."""
+    files = lines.select(F.count_distinct("file")).scalar()
+    stop = F.raise_error(F.lit("a positional report must be one file")).cast("boolean")
+    return lines.where(F.when(files > 1, stop).otherwise(F.lit(True)))
+
+
 def revenue_by_type_long(revenue_report: DataFrame, profit_report: DataFrame) -> DataFrame:
     """month, revenue, gross_profit, type from two type-by-month reports.
 
-    The two reports are matched by row and column position.
+    The two reports are matched by row and column position, so each is one file;
+    more than one stops the query.
     """
+    revenue_report, profit_report = one_report(revenue_report), one_report(profit_report)
     header = line_at(revenue_report, 0)
     months = header_axis(naive_fields(F.col("line")), header, parse_month_header,
                          trailing=HEADER_TRAILING_COLUMNS, key_col="month").select("pos", "month")
@@ -60,7 +69,9 @@ def revenue_by_type_long(revenue_report: DataFrame, profit_report: DataFrame) ->
 
 
 def daily_sales_summary(report: DataFrame) -> DataFrame:
-    """date, revenue, cost_of_goods, gross_profit, margin from the daily report."""
+    """date, revenue, cost_of_goods, gross_profit, margin from the daily report
+    (one file; more than one stops the query)."""
+    report = one_report(report)
     header = line_at(report, 0)
     days = header_axis(naive_fields(F.col("line")), header, parse_day_header,
                        trailing=HEADER_TRAILING_COLUMNS, key_col="date").select("pos", "date")

@@ -22,6 +22,8 @@ def customer_retention(lines: DataFrame, as_of=None, *, repeat_days: int = 30,
     dated = lines.select("email", created_date("created_at").alias("order_date"))
     active = (dated.where(F.col("order_date") <= ref)
                    .select("email", month_start("order_date").alias("month"))
+                   # earlier months can change no counter
+                   .where(F.col("month") >= F.date_sub(ref, max(repeat_days, recent_days, year_days)))
                    .distinct())
     per_customer = active.groupBy("email").agg(
         F.count_if(F.col("month") >= F.date_sub(ref, repeat_days)).alias("months_repeat"),

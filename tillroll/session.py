@@ -50,7 +50,6 @@ def checkpoint_dir(spark: SparkSession, *, allow_local_default: bool = False) ->
         if not allow_local_default:
             raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
         path = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 

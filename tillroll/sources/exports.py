@@ -51,16 +51,30 @@ _CSV_OPTIONS = {"escape": '"', "mode": "PERMISSIVE"}
 
 
 def typed_order_lines(df: DataFrame) -> DataFrame:
-    """String export columns to canonical types; empty text stays ``''``."""
+    """String export columns to canonical types; empty text stays ``''``.
+
+    An absent quantity or price is null.  One that its type cannot hold exactly
+    (text, a fraction of a piece, more than two decimals or ten digits before
+    the point) stops the query: a silent null or a rounded price would change
+    every sum.
+    """
     text_cols = ["order_id", "email", "status", "created_at", "product", "sku"]
     out = df.select(
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in text_cols],
-        F.col("qty").try_cast("int").alias("qty"),
-        F.col("price").try_cast(PRICE_TYPE).alias("price"),
+        _exact("qty", T.IntegerType()),
+        _exact("price", PRICE_TYPE),
     )
     return out.select(*ORDER_LINE_COLUMNS)
 
 
+def _exact(name: str, to: T.DataType) -> Column:
+    text = F.trim(F.col(name).cast("string"))
+    wide, out = text.try_cast("decimal(38,10)"), text.try_cast("decimal(38,10)").try_cast(to)
+    kept = out.isNotNull() & (out.cast("decimal(38,10)") == wide) & text.rlike(r"^[^.]*(\.\d{0,10})?$")
+    return (F.when(text.isNull() | (text == ""), F.lit(None).cast(to)).when(kept, out)
+            .otherwise(F.raise_error(F.concat(F.lit(f"{name} cannot be kept exactly: "), text)).cast(to)).alias(name))
+
+
 def parse_order_export(text: DataFrame, line_col: str = "value") -> DataFrame:
     """Raw export lines -> typed order lines (quote-aware, header dropped)."""
     rows = text.where(F.col(line_col).startswith("#"))

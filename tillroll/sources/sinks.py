@@ -9,6 +9,7 @@ def write_view(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "erro
                partition_by: list[str] | None = None) -> None:
     """Write a view as parquet (default) or CSV with a header for BI tools.
 
+    Quotes inside CSV fields are doubled, as the library's readers expect.
     Arrays are joined into ``|``-separated text for CSV, which has no list type.
     """
     writer_df = df
@@ -22,6 +23,6 @@ def write_view(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "erro
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", "true").csv(path)
+        writer.option("header", "true").option("escape", '"').csv(path)
     else:
         writer.format(fmt).save(path)

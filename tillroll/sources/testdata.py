@@ -58,12 +58,11 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer export columns; accounts with a negative balance are absent."""
+    """Customer export columns of every customer."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    c = c.where(F.col("c_acctbal") >= 0)
     return c.join(geo, c.c_nationkey == geo.n_nationkey).select(
         F.col("c_mktsegment").alias("first_name"),
         F.col("c_name").alias("last_name"),
@@ -76,15 +75,14 @@ def customers_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segment file; only accounts with a balance of at least 1000 are segmented."""
-    c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 1000)
+    """Segment file of every customer."""
+    c = table(spark, sf_dir, "customer")
     return c.select(_email("c_custkey").alias("email"), F.col("c_mktsegment").alias("segment"))
 
 
 def score_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score file body lines ``email,score,score``; accounts with a balance of
-    9000 or more are not scored."""
-    c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 9000)
+    """Score file body lines ``email,score,score`` of every customer."""
+    c = table(spark, sf_dir, "customer")
     return c.select(F.concat_ws(",", _email("c_custkey"), F.col("c_nationkey").cast("string"),
                                 F.col("c_mktsegment")).alias("line"))
 
