@@ -106,9 +106,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     schema = "key long, id long, vec array<double>"
     index = points.select(F.col("pid").alias("id"), "vec").mapInArrow(post(False), schema)
     size = index.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    held = (index.join(size, "key").select("key", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("blk"),
+    # the planner takes a task's output for as large as its input, and would broadcast the visits of few queries
+    held = (index.hint("merge").join(size, "key").select("key", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("blk"),
                                            F.lit(0).alias("kind"), "id", "vec"))
-    visits = (wanted.select(F.col("qid").alias("id"), "vec").mapInArrow(post(True), schema).join(size, "key")
+    visits = (wanted.select(F.col("qid").alias("id"), "vec").mapInArrow(post(True), schema).hint("merge").join(size, "key")
               .select("key", F.explode(F.expr("sequence(0, blocks - 1)")).alias("blk"), F.lit(1).alias("kind"), "id", "vec"))
 
     def search(batches):
