@@ -323,7 +323,11 @@ SELECT label_0, label_3, label_5, revenue, gross_profit, cmgr, n_periods,
 FROM rows CROSS JOIN g"""
 
 CSV_ORDER_LINES = _with(ORDER_LINES) + """
-SELECT order_id, email, status, created_at, qty, product, CAST(price AS DOUBLE) AS price, sku FROM ol"""
+SELECT order_id, email, status, created_at, CAST(qty AS DOUBLE) AS qty, product, CAST(price AS DOUBLE) AS price, sku FROM ol"""
+
+EXPORT_FILES = _with(ORDER_LINES) + """
+SELECT order_id, email, status, created_at, CAST(qty AS DOUBLE) AS qty, 'Café ' || product AS product,
+       CAST(price AS DOUBLE) AS price, sku FROM ol"""
 
 ORACLE_SQL: dict[str, str] = {
     "bought_together": _pairs_sql(False),
@@ -356,4 +360,6 @@ ORACLE_SQL: dict[str, str] = {
     "daily_sales_summary": DAILY_SUMMARY,
     "product_growth_report": GROWTH_REPORT,
     "csv_order_lines": CSV_ORDER_LINES,
+    "order_export_files": EXPORT_FILES,
+    "daily_summary_file": DAILY_SUMMARY,
 }

@@ -218,3 +218,46 @@ def test_histogram_range_bounds(spark):
     # 0.0 is in no range (the first range excludes its lower bound)
     assert got == [("0 to 4", 2), ("4 to 7", 2), ("7 to 15", 2), ("15 to 30", 2),
                    ("30 to 60", 2), ("60 to 100", 2), ("100+", 2)]
+
+
+def test_fractions_are_exact_in_sums_and_text(spark):
+    lines = order_lines(spark, [line("#1", "P", "2015-01-05", qty="1.5", price="1.005"),
+                                line("#2", "P", "2015-02-05", qty="2.0", price="12345678901.00"),
+                                line("#3", "P", "2015-03-05", qty="2", price="2.50")])
+    assert plans.product_series(lines).first().series == "1.5075,24691357802.00,5.00"
+    month = {r.month.month: r.revenue for r in plans.product_month_revenue(lines).collect()}
+    assert month == {1: 1.5075, 2: 24691357802.0, 3: 5.0}
+    assert plans.population_averages(lines).first().avg_quantity == 5.5
+
+
+def test_large_amounts_round_once(spark):
+    from decimal import Decimal
+    from pyspark.sql import functions as F
+    from tillroll.plans._common import money, total_of
+    units = [2**53 + 1, 9_007_199_254_740_993_777, -(2**60 + 7), 5]
+    df = spark.createDataFrame([(u,) for u in units], "u long")
+    assert [r[0] for r in df.select(money(F.col("u"))).collect()] == [float(Decimal(u) / 10**6) for u in units]
+    many = df.crossJoin(spark.range(10)).agg(total_of(F.col("u"))).first()[0]
+    assert int(many) == 10 * sum(units)  # beyond a long
+
+
+def test_a_line_without_a_date_stops_every_dated_view(spark):
+    with pytest.raises(Exception, match="holds no date"):
+        order_lines(spark, [line("#1", created="01/02/2015 9h")]).collect()
+    blank = order_lines(spark, [line("#1", created=""), line("#2")])
+    assert blank.count() == 2
+    views = [plans.bought_together_monthly, plans.customer_retention, plans.order_gap, plans.recency, plans.day_hour_profile,
+             plans.weekly_visits, plans.product_month_revenue, plans.product_week_revenue, plans.product_series,
+             plans.unfulfilled_by_day, plans.unfulfilled_by_month]
+    for view in views:
+        with pytest.raises(Exception, match="has no date"):
+            view(blank).collect()
+
+
+def test_daily_dedupe_and_retention_grain_are_options(spark):
+    twice = order_lines(spark, [line("#1", qty=1, price="5.00"), line("#2", qty=1, price="5.00")])
+    assert plans.product_month_revenue(twice).first().revenue == 5.0
+    assert plans.product_month_revenue(twice, dedupe=False).first().revenue == 10.0
+    days = order_lines(spark, [line("#1", email="a", created="2015-04-20"), line("#2", email="a", created="2015-04-25")])
+    assert plans.customer_retention(days, "2015-05-01").first().n_repeat_30 == 0
+    assert plans.customer_retention(days, "2015-05-01", grain="day").first().n_repeat_30 == 1

@@ -56,3 +56,39 @@ def test_product_rollups_share_one_partitioning(spark):
 def test_weekly_views_share_the_distinct_lines(spark):
     s = _summary(spark, catalog.QUERIES["customer_week_profile"](spark, SMOKE))
     assert s["main"][1] + s["sub"][1] >= 1
+
+
+def _scans(df, table="lineitem") -> int:
+    """Scans of a table that really ran: those outside the initial plans and reused subqueries."""
+    df._jdf.queryExecution().toRdd().count()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    found, skip = 0, None
+    for text in plan.split("\n"):
+        depth = len(text) - len(text.lstrip(" :+-"))
+        if skip is not None and depth >= skip:
+            continue
+        skip = depth if "== Initial Plan ==" in text else None
+        found += "FileScan" in text and f"{table}.parquet" in text
+    return found
+
+
+@pytest.mark.parametrize("name", ["product_month_revenue", "product_month_dense", "product_cmgr", "product_series",
+                                  "product_week_revenue", "global_averages", "customer_value_segment", "customer_week_profile"])
+def test_the_lines_are_scanned_once(spark, name):
+    assert _scans(catalog.QUERIES[name](spark, SMOKE)) == 1
+
+
+def test_the_profile_scans_the_lines_twice(spark):
+    assert _scans(catalog.QUERIES["customer_profile"](spark, SMOKE)) == 2
+
+
+@pytest.mark.parametrize("name", ["unfulfilled_by_day", "unfulfilled_by_month", "customer_retention"])
+def test_date_bounds_reach_the_scan_of_stored_lines(spark, tmp_dir, name):
+    from tillroll.sources import sinks
+    inp = catalog.TestDataInputs(spark, SMOKE)
+    sinks.store_order_lines(inp.lines(), tmp_dir + "/lines", 4)
+    stored = spark.read.parquet(tmp_dir + "/lines")
+    inp.lines = lambda: stored
+    plan = _plan(catalog.VIEWS[name](inp))
+    pushed = plan[plan.index("PushedFilters: "):].split("ReadSchema")[0]
+    assert "GreaterThan" in pushed and "order_date" in pushed, pushed

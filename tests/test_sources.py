@@ -104,8 +104,10 @@ def test_csv_sink_round_trip(spark, tmp_dir):
 
 def test_values_that_do_not_fit_stop_the_query(spark):
     from tests.conftest import line, order_lines
-    assert order_lines(spark, [line("#1", qty="2.0")]).first().qty == 2
-    for bad in (line("#1", qty="1.5"), line("#1", qty="x"), line("#1", price="1.005"), line("#1", price="12345678901.00")):
+    good = [line("#1", qty="2.0"), line("#2", qty="1.5", price="1.005"), line("#3", price="12345678901.00")]
+    kept = {r.order_id: (float(r.qty), str(r.price)) for r in order_lines(spark, good).collect()}
+    assert kept == {"#1": (2.0, "1.000"), "#2": (1.5, "1.005"), "#3": (1.0, "12345678901.000")}
+    for bad in (line("#1", qty="x"), line("#1", qty="0.1234"), line("#1", price="1.0005"), line("#1", price="1234567890123.00")):
         with pytest.raises(Exception, match="cannot be kept exactly"):
             order_lines(spark, [bad]).collect()
 

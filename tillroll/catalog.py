@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tillroll import plans
 from tillroll.functions import calendar as cal
 from tillroll.functions.text import upper_label
-from tillroll.sources import exports, report_fixtures, testdata
+from tillroll.session import run_folder
+from tillroll.sources import exports, report_fixtures, sinks, testdata
 from tillroll.sources import reports as report_lines
 
 # Fixed parameters of the bound queries.
@@ -78,7 +79,10 @@ class StagedInputs:
         export would be; each report stays one file."""
         root = root.rstrip("/")
         n_files = n_files or 2 * source.spark.sparkContext.defaultParallelism
+        sinks.store_order_lines(source.lines(), f"{root}/lines", n_files)
         for name in cls.TABLES:
+            if name == "lines":
+                continue
             getattr(source, name)().repartition(n_files).write.mode("errorifexists").parquet(
                 f"{root}/{name}")
         source.export_text().repartition(n_files).write.mode("errorifexists").text(
@@ -272,7 +276,28 @@ def q_product_growth_report(inp):
 
 def q_csv_order_lines(inp):
     parsed = exports.parse_order_export(inp.export_text())
-    return parsed.withColumn("price", F.col("price").cast("double"))
+    return _plain_lines(parsed)
+
+
+def _plain_lines(lines):
+    return lines.select("order_id", "email", "status", "created_at", F.col("qty").cast("double").alias("qty"),
+                        "product", F.col("price").cast("double").alias("price"), "sku")
+
+
+def q_order_export_files(inp):
+    """The order lines written as export CSV files into a new shared folder, products with a
+    non-ASCII word in front, and read back from there by the library's reader."""
+    rows = inp.lines().withColumn("product", F.concat(F.lit("Café "), "product"))
+    path = run_folder(inp.spark, "order-export", allow_local_default=True)
+    testdata.export_text_of(inp.spark, rows).write.text(path)
+    return _plain_lines(exports.read_order_export(inp.spark, path))
+
+
+def q_daily_summary_file(inp):
+    """The daily report written as one text file into a new shared folder, numbered and read back."""
+    path = run_folder(inp.spark, "daily-report", allow_local_default=True)
+    inp.daily_report().orderBy("line_no").select("line").coalesce(1).write.text(path)
+    return plans.daily_sales_summary(report_lines.read_numbered_lines(inp.spark, path))
 
 
 VIEWS: dict[str, View] = {
@@ -306,6 +331,8 @@ VIEWS: dict[str, View] = {
     "daily_sales_summary": q_daily_sales_summary,
     "product_growth_report": q_product_growth_report,
     "csv_order_lines": q_csv_order_lines,
+    "order_export_files": q_order_export_files,
+    "daily_summary_file": q_daily_summary_file,
 }
 
 

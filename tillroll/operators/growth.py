@@ -58,27 +58,35 @@ def cmgr(monthly: DataFrame, keys: Sequence[str], month: str = "month",
     )
 
 
+def _by_month(monthly: DataFrame, keys: Sequence[str], month: str, revenue: str) -> DataFrame:
+    """keys..., by_month: each key's observed months (at most one entry per axis month) as a map."""
+    entry = F.when(F.col(month).isNotNull(), F.struct(F.col(month), F.col(revenue)))
+    return monthly.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("by_month"))
+
+
+def _filled(at: Column, monthly: DataFrame, revenue: str) -> Column:
+    value = F.try_element_at(F.col("by_month"), at)
+    return F.when(value > 0, value).otherwise(F.lit(0).cast(monthly.schema[revenue].dataType))
+
+
 def dense_months(monthly: DataFrame, keys: Sequence[str], month: str = "month",
                  revenue: str = "revenue", axis: Column | None = None) -> DataFrame:
     """Every key x every axis month; missing or non-positive revenue becomes 0.
 
-    Each key's observed months (at most one entry per axis month) go into a
-    map; the axis array is exploded per key and looked up in the map.  This is
+    The axis array is exploded per key and looked up in the key's month map:
     output-sized work with no cartesian product and no join, and when
     ``monthly`` is already partitioned by ``keys`` there is no shuffle either.
     """
     axis = month_axis(monthly, month) if axis is None else axis
-    entry = F.when(F.col(month).isNotNull(), F.struct(F.col(month), F.col(revenue)))
-    per_key = monthly.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_by_month"))
-    grid = per_key.select(*keys, "_by_month", F.explode(axis).alias(month))
-    value = F.try_element_at(F.col("_by_month"), F.col(month))
-    zero = F.lit(0).cast(monthly.schema[revenue].dataType)
-    return grid.select(*keys, month, F.when(value > 0, value).otherwise(zero).alias(revenue))
-
-
-def month_series(dense: DataFrame, keys: Sequence[str], month: str = "month",
-                 revenue: str = "revenue") -> DataFrame:
-    """keys..., series: the dense revenues in month order (one value per axis month)."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(month).alias("m"),
-                                                   F.col(revenue).alias("r"))))
-    return dense.groupBy(*keys).agg(F.transform(ordered, lambda x: x["r"]).alias("series"))
+    grid = _by_month(monthly, keys, month, revenue).select(*keys, "by_month", F.explode(axis).alias(month))
+    return grid.select(*keys, month, _filled(F.col(month), monthly, revenue).alias(revenue))
+
+
+def month_series(monthly: DataFrame, keys: Sequence[str], month: str = "month",
+                 revenue: str = "revenue", axis: Column | None = None) -> DataFrame:
+    """keys..., series: the dense revenues as one array, a value per axis month in month order.
+    The axis is mapped through the key's month map; nothing is exploded or sorted."""
+    axis = month_axis(monthly, month) if axis is None else axis
+    per_key = _by_month(monthly, keys, month, revenue).select("*", axis.alias("axis"))
+    return per_key.select(
+        *keys, F.transform("axis", lambda m: _filled(m, monthly, revenue)).alias("series"))

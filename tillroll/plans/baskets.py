@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.calendar import created_date, month_start
+from tillroll.functions.calendar import month_start
 from tillroll.operators.cooccurrence import pair_counts
+from tillroll.plans._common import purchase_date
 
 
 def bought_together(lines: DataFrame, sort: bool = True) -> DataFrame:
@@ -24,7 +25,7 @@ def bought_together(lines: DataFrame, sort: bool = True) -> DataFrame:
 
 def bought_together_monthly(lines: DataFrame, sort: bool = True) -> DataFrame:
     """Like ``bought_together`` within the calendar month of the order line."""
-    baskets = lines.select("order_id", month_start(created_date("created_at")).alias("month"),
+    baskets = lines.select("order_id", month_start(purchase_date(lines)).alias("month"),
                            "product")
     out = pair_counts(baskets, ["order_id", "month"], "product", group_keys=["month"])
     out = out.select("month", "product_1", "product_2", "n_orders")

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.calendar import (
-    created_date, created_hour, two_hour_slot, weekday_number,
-)
+from tillroll.functions.calendar import created_hour, two_hour_slot, weekday_number
 from tillroll.operators.gaps import gap_summary
 from tillroll.operators.histogram import fixed_range_histogram
 from tillroll.operators.indicators import INDICATOR_COLUMNS, weekday_slot_aggs
-from tillroll.plans._common import as_of_col, line_cents, money
+from tillroll.plans._common import (
+    as_of_col, line_units, money, pieces, purchase_date, quantity, total_of,
+)
 from tillroll.sources.exports import customer_details
 
 # The order-gap histogram ranges (label, low, high, low inclusive);
@@ -28,7 +28,7 @@ ORDER_GAP_RANGES = [
 
 
 def _purchase_dates(lines: DataFrame) -> DataFrame:
-    return lines.select("email", created_date("created_at").alias("order_date"))
+    return lines.select("email", purchase_date(lines).alias("order_date"))
 
 
 def _date_summary(lines: DataFrame) -> DataFrame:
@@ -67,16 +67,16 @@ def day_hour_profile(lines: DataFrame) -> DataFrame:
     """
     stamped = lines.select(
         "order_id", "email",
-        weekday_number(created_date("created_at")).alias("weekday"),
+        weekday_number(purchase_date(lines)).alias("weekday"),
         two_hour_slot(created_hour("created_at")).alias("slot"),
     ).distinct()
     return stamped.groupBy("email").agg(*weekday_slot_aggs("weekday", "slot"))
 
 
 def _customer_value(lines: DataFrame) -> DataFrame:
-    agg = lines.groupBy("email").agg(F.sum(line_cents()).alias("revenue_cents"),
+    agg = lines.groupBy("email").agg(F.sum(line_units()).alias("units"),
                                      F.count_distinct("order_id").alias("n_orders"))
-    return agg.select("email", money(F.col("revenue_cents")).alias("revenue"), "n_orders")
+    return agg.select("email", money(F.col("units")).alias("revenue"), "n_orders")
 
 
 def customer_value_segment(lines: DataFrame, customers: DataFrame,
@@ -109,8 +109,19 @@ def customer_score_attach(keys: DataFrame, scores: DataFrame) -> DataFrame:
     return keys.select("email").join(scores.select("email", "scores"), "email")
 
 
-def _line_totals(lines: DataFrame):
-    return lines.agg(F.sum(line_cents()).alias("revenue"), F.sum("qty").alias("qty"))
+def _totals(lines: DataFrame, customers: DataFrame) -> DataFrame:
+    """One row: revenue (millionths) and qty (thousandths) of every order line, and n_known, the
+    customers that both ordered and appear in the customer export.  The lines are read once."""
+    spent = lines.groupBy("email").agg(total_of(line_units()).alias("units"), total_of(quantity()).alias("qty"))
+    known = customers.select("email", F.lit(True).alias("known")).distinct()
+    return spent.join(known, "email", "left").agg(
+        F.sum("units").cast("decimal(31,0)").alias("revenue"), F.sum("qty").cast("decimal(31,0)").alias("qty"),
+        F.count_if("known").alias("n_known"))
+
+
+def _averages(revenue, qty, n_known) -> list:
+    return [F.try_divide(money(revenue), n_known).alias("avg_revenue"),
+            F.try_divide(pieces(qty), n_known).alias("avg_quantity")]
 
 
 def global_averages(lines: DataFrame, customers: DataFrame) -> DataFrame:
@@ -119,12 +130,35 @@ def global_averages(lines: DataFrame, customers: DataFrame) -> DataFrame:
     Totals run over every order line; the divisor is the number of customers
     that both ordered and appear in the customer export.
     """
-    n_customers = known_customers(lines, customers).select(F.count(F.lit(1))).scalar()
-    totals = _line_totals(lines)
-    return totals.select(
-        F.try_divide(money(F.col("revenue")), n_customers).alias("avg_revenue"),
-        F.try_divide(F.col("qty").cast("double"), n_customers).alias("avg_quantity"),
-    )
+    return _totals(lines, customers).select(*_averages(F.col("revenue"), F.col("qty"), F.col("n_known")))
+
+
+def customer_rollup(lines: DataFrame) -> DataFrame:
+    """Everything the profile knows of a customer from the order lines, in one pass: email, units,
+    n_orders, n_dates, first_date, last_date and the 19 habit counts.
+
+    A line counts for three distinct keys of its customer: (order, weekday, slot), order, and date.
+    Each becomes a tagged row; the rows are made distinct (map-side first, so copies and hot
+    customers shrink to their distinct keys) and then counted per customer.
+    """
+    rows = lines.select("email", "order_id", purchase_date(lines).alias("order_date"),
+                        two_hour_slot(created_hour("created_at")).alias("slot"), line_units().alias("units"))
+    tagged = rows.select("*", F.explode(F.array(*map(F.lit, ("habit", "order", "date")))).alias("tag"))
+
+    def only(column, *tags):
+        return F.when(F.col("tag").isin(*tags), column)
+
+    keys = tagged.select(
+        "email", "tag", only(F.col("order_id"), "habit", "order").alias("order_id"),
+        only(F.col("order_date"), "date").alias("order_date"),
+        only(weekday_number("order_date"), "habit").alias("weekday"), only(F.col("slot"), "habit").alias("slot"),
+        only(F.col("units"), "order").alias("units"))
+    distinct = keys.groupBy("email", "tag", "order_id", "order_date", "weekday", "slot").agg(F.sum("units").alias("units"))
+    return distinct.groupBy("email").agg(
+        F.sum("units").alias("units"),
+        F.count(only(F.col("order_id"), "order")).alias("n_orders"), F.count("order_date").alias("n_dates"),
+        F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"),
+        *weekday_slot_aggs("weekday", "slot"))
 
 
 def customer_profile(lines: DataFrame, customers: DataFrame, segments: DataFrame,
@@ -132,26 +166,22 @@ def customer_profile(lines: DataFrame, customers: DataFrame, segments: DataFrame
     """Wide row per customer: identity, value, segment, recency, frequency,
     weekday/slot habits, population averages and the score list.
 
-    Every per-customer part is one grouped aggregation keyed by email, so the
-    joins between them are joins of one-row-per-email tables.
+    The order lines are read twice: once for all per-customer columns
+    (``customer_rollup``) and once, three columns wide, for the population totals.
     """
     ref = as_of_col(as_of)
-    dates = _date_summary(lines).select(
-        "email", "n_dates", "avg_gap",
-        F.datediff(ref, "first_date").alias("days_since_first_order"),
-        F.datediff(ref, "last_date").alias("days_since_last_order"))
-    habits = day_hour_profile(lines)
-    value = customer_value_segment(lines, customers, segments)
-    base = value.join(dates, "email").join(habits, "email")
-    n_customers = known_customers(lines, customers).select(F.count(F.lit(1))).scalar()
-    totals = _line_totals(lines).select(F.struct("revenue", "qty")).scalar()
-    avg_revenue = F.try_divide(money(totals.getField("revenue")), n_customers)
-    avg_quantity = F.try_divide(totals.getField("qty").cast("double"), n_customers)
-    out = base.join(scores.select("email", "scores"), "email")
+    t = _totals(lines, customers).select(F.struct("revenue", "qty", "n_known")).scalar()
+    revenue = money(F.col("units"))
+    gap = F.datediff("last_date", "first_date").cast("double")
+    out = (customer_rollup(lines).join(customer_details(customers), "email")
+           .join(segments.select("email", "segment"), "email", "left")
+           .join(scores.select("email", "scores"), "email"))
     return out.select(
-        "name", "revenue", "basket_value", "segment", "location", "attr12",
-        "n_dates", "avg_gap", "email", "days_since_first_order", "days_since_last_order",
+        "name", revenue.alias("revenue"), F.try_divide(revenue, F.col("n_orders")).alias("basket_value"),
+        "segment", "location", "attr12", "n_dates", F.try_divide(gap, F.col("n_dates")).alias("avg_gap"), "email",
+        F.datediff(ref, "first_date").alias("days_since_first_order"),
+        F.datediff(ref, "last_date").alias("days_since_last_order"),
         *INDICATOR_COLUMNS,
-        avg_revenue.alias("avg_revenue"), avg_quantity.alias("avg_quantity"),
+        *_averages(t.getField("revenue"), t.getField("qty"), t.getField("n_known")),
         "scores",
     )

@@ -9,7 +9,7 @@ from tillroll.functions.calendar import (
     created_date, created_hour, two_hour_slot, week_start_thursday, weekday_number,
 )
 from tillroll.operators.indicators import INDICATOR_COLUMNS, weekday_slot_aggs
-from tillroll.plans._common import line_cents, money
+from tillroll.plans._common import line_units, money, pieces, quantity, required_date, total_of
 from tillroll.sources.exports import customer_details
 
 def _distinct_lines(lines: DataFrame) -> DataFrame:
@@ -26,18 +26,18 @@ def _distinct_lines(lines: DataFrame) -> DataFrame:
 def _visits(lines: DataFrame) -> DataFrame:
     """One row per distinct (email, created_at) with the revenue of its lines."""
     return _distinct_lines(lines).groupBy("email", "created_at").agg(
-        F.sum(line_cents()).alias("revenue_cents"))
+        F.sum(line_units()).alias("units"))
 
 
 def _weekly(lines: DataFrame) -> DataFrame:
     v = _visits(lines)
-    d = created_date("created_at")
-    v = v.select("email", "revenue_cents", week_start_thursday(d).alias("week"),
+    d = required_date(created_date("created_at"))
+    v = v.select("email", "units", week_start_thursday(d).alias("week"),
                  weekday_number(d).alias("weekday"),
                  two_hour_slot(created_hour("created_at")).alias("slot"))
     return v.groupBy("email", "week").agg(
         F.count(F.lit(1)).alias("n_visits"),
-        F.sum("revenue_cents").alias("revenue_cents"),
+        F.sum("units").alias("units"),
         *weekday_slot_aggs("weekday", "slot"))
 
 
@@ -49,14 +49,14 @@ def weekly_visits(lines: DataFrame) -> DataFrame:
 def weekly_basket(lines: DataFrame) -> DataFrame:
     """email, week, revenue, basket_value (revenue / visits)."""
     w = _weekly(lines)
-    return w.select("email", "week", money(F.col("revenue_cents")).alias("revenue"),
-                    F.try_divide(money(F.col("revenue_cents")), F.col("n_visits"))
+    return w.select("email", "week", money(F.col("units")).alias("revenue"),
+                    F.try_divide(money(F.col("units")), F.col("n_visits"))
                      .alias("basket_value"))
 
 
 def _population(lines: DataFrame) -> DataFrame:
     return _distinct_lines(lines).agg(
-        F.sum("qty").alias("qty"), F.sum(line_cents()).alias("revenue"),
+        total_of(quantity()).alias("qty"), total_of(line_units()).alias("revenue"),
         F.count_distinct("email").alias("n_customers"))
 
 
@@ -64,7 +64,7 @@ def population_averages(lines: DataFrame) -> DataFrame:
     """One row: avg_quantity, avg_revenue per distinct customer email."""
     p = _population(lines)
     return p.select(
-        F.try_divide(F.col("qty").cast("double"), F.col("n_customers")).alias("avg_quantity"),
+        F.try_divide(pieces(F.col("qty")), F.col("n_customers")).alias("avg_quantity"),
         F.try_divide(money(F.col("revenue")), F.col("n_customers")).alias("avg_revenue"))
 
 
@@ -74,13 +74,13 @@ def customer_week_profile(lines: DataFrame, customers: DataFrame) -> DataFrame:
     w = _weekly(lines)
     details = customer_details(customers)
     pop = _population(lines).select(F.struct("qty", "revenue", "n_customers")).scalar()
-    avg_quantity = F.try_divide(pop.getField("qty").cast("double"), pop.getField("n_customers"))
+    avg_quantity = F.try_divide(pieces(pop.getField("qty")), pop.getField("n_customers"))
     avg_revenue = F.try_divide(money(pop.getField("revenue")), pop.getField("n_customers"))
     out = details.join(w, "email")
     return out.select(
         "name", "location", "attr12", "email", "week", "n_visits",
-        money(F.col("revenue_cents")).alias("revenue"),
-        F.try_divide(money(F.col("revenue_cents")), F.col("n_visits")).alias("basket_value"),
+        money(F.col("units")).alias("revenue"),
+        F.try_divide(money(F.col("units")), F.col("n_visits")).alias("basket_value"),
         *INDICATOR_COLUMNS,
         avg_quantity.alias("avg_quantity"), avg_revenue.alias("avg_revenue"),
     )

@@ -7,7 +7,7 @@ kept as empty strings (they group and compare as a value).
 
 Every reader returns the canonical column names used by the views:
 
-  order lines  order_id, email, status, created_at, qty, product, price, sku
+  order lines  order_id, email, status, created_at, qty, product, price, sku, order_date
   customers    first_name, last_name, email, address1, city, province, attr12
   segments     email, segment
   scores       email, scores (array<string>)
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.functions.calendar import created_date
 from tillroll.functions.text import csv_fields, joined_with_blank
 from tillroll.sources.reports import body_lines, read_numbered_lines
 
@@ -31,8 +32,10 @@ CUSTOMER_EXPORT_POSITIONS = {
     "first_name": 0, "last_name": 1, "email": 2, "address1": 4, "city": 5,
     "province": 6, "attr12": 12,
 }
-ORDER_LINE_COLUMNS = ["order_id", "email", "status", "created_at", "qty", "product", "price", "sku"]
-PRICE_TYPE = T.DecimalType(12, 2)
+ORDER_LINE_COLUMNS = ["order_id", "email", "status", "created_at", "qty", "product", "price", "sku", "order_date"]
+# Exact types with three decimals each, so that qty x price is a whole number of millionths.
+QTY_TYPE = T.DecimalType(12, 3)
+PRICE_TYPE = T.DecimalType(15, 3)
 
 
 def positional_schema(width: int, names: dict[str, int]) -> T.StructType:
@@ -53,16 +56,19 @@ _CSV_OPTIONS = {"escape": '"', "mode": "PERMISSIVE"}
 def typed_order_lines(df: DataFrame) -> DataFrame:
     """String export columns to canonical types; empty text stays ``''``.
 
-    An absent quantity or price is null.  One that its type cannot hold exactly
-    (text, a fraction of a piece, more than two decimals or ten digits before
-    the point) stops the query: a silent null or a rounded price would change
-    every sum.
+    An absent quantity, price or date is null.  A quantity or price that its
+    type cannot hold exactly (text, more than three decimals, more than nine or
+    twelve digits before the point) and a created-at text that does not start
+    with a date stop the query: a silent null or a rounded price would change
+    every sum.  ``order_date`` is the date of ``created_at``, parsed once here so
+    that stored lines can be pruned by it.
     """
     text_cols = ["order_id", "email", "status", "created_at", "product", "sku"]
     out = df.select(
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in text_cols],
-        _exact("qty", T.IntegerType()),
+        _exact("qty", QTY_TYPE),
         _exact("price", PRICE_TYPE),
+        _order_date(),
     )
     return out.select(*ORDER_LINE_COLUMNS)
 
@@ -75,6 +81,12 @@ def _exact(name: str, to: T.DataType) -> Column:
             .otherwise(F.raise_error(F.concat(F.lit(f"{name} cannot be kept exactly: "), text)).cast(to)).alias(name))
 
 
+def _order_date() -> Column:
+    text, date = F.col("created_at").cast("string"), created_date("created_at")
+    return (F.when(date.isNotNull() | text.isNull() | (text == ""), date)
+            .otherwise(F.raise_error(F.concat(F.lit("created_at holds no date: "), text)).cast("date")).alias("order_date"))
+
+
 def parse_order_export(text: DataFrame, line_col: str = "value") -> DataFrame:
     """Raw export lines -> typed order lines (quote-aware, header dropped)."""
     rows = text.where(F.col(line_col).startswith("#"))

@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def store_order_lines(lines: DataFrame, path: str, n_files: int) -> None:
+    """Order lines as parquet in ``n_files`` ranges of ``order_date``: a filter on the date skips whole
+    files and row groups.  Lines of one date may spread over files by their order."""
+    lines.repartitionByRange(n_files, "order_date", "order_id").sortWithinPartitions("order_date").write.parquet(path)
+
+
 def write_view(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
                partition_by: list[str] | None = None) -> None:
     """Write a view as parquet (default) or CSV with a header for BI tools.

@@ -2,9 +2,7 @@
 
 They only produce rows in the export layout; every view computation happens in
 ``tillroll.plans`` on whatever rows arrive.  The customer, segment and score
-exports each cover the customers meeting an account-balance rule (as exports
-from different tools would), so inner and left joins meet real misses; every
-order line is kept.
+exports hold every customer and every order line is kept.
 """
 
 from __future__ import annotations
@@ -12,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.sources.exports import PRICE_TYPE, typed_order_lines
+from tillroll.sources.exports import typed_order_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,7 +50,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         created.alias("created_at"),
         F.col("l_quantity").cast("int").cast("string").alias("qty"),
         F.col("p_name").alias("product"),
-        F.col("p_retailprice").cast(PRICE_TYPE).cast("string").alias("price"),
+        F.col("p_retailprice").cast("decimal(12,2)").cast("string").alias("price"),
         F.concat(F.lit("sku"), F.col("p_partkey").cast("string")).alias("sku"),
     ))
 
@@ -70,7 +68,7 @@ def customers_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("address1"),
         F.col("c_nationkey").cast("string").alias("city"),
         F.col("r_name").alias("province"),
-        F.col("c_acctbal").cast(PRICE_TYPE).cast("string").alias("attr12"),
+        F.col("c_acctbal").cast("decimal(12,2)").cast("string").alias("attr12"),
     )
 
 
@@ -120,8 +118,12 @@ def _csv_field(c: F.Column) -> F.Column:
 def order_export_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order lines rendered as raw export CSV text (one ``value`` per line),
     with a header line."""
+    return export_text_of(spark, order_lines(spark, sf_dir))
+
+
+def export_text_of(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """Order lines as raw export CSV text."""
     from tillroll.sources.exports import ORDER_EXPORT_POSITIONS
-    lines = order_lines(spark, sf_dir)
     by_pos = {pos: F.col(name).cast("string") for name, pos in ORDER_EXPORT_POSITIONS.items()}
     width = max(ORDER_EXPORT_POSITIONS.values()) + 1
     fields = [_csv_field(by_pos.get(i, F.lit(_EXPORT_FILLER.get(i, "")))) for i in range(width)]
