@@ -119,6 +119,13 @@ def test_decontamination_planted(spark):
     kept = decontam.clean(docs, bench, max_items=3)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {0, 1, 2, 3, 4, 5, 10}
     assert decontam.contaminated(awkward(spark), bench.limit(0)).count() == 0
+    # a very long item has its own index and windows; the short ones keep theirs
+    long = " ".join(word() for _ in range(30_000))
+    more = bench.union(spark.createDataFrame([(20, long)], "item_id long, text string"))
+    shards = list(decontam._items(more, 4000, 128))
+    assert [len(s) for s in shards] == [3, 1, 1] and shards[-1][0][0] == (20,)
+    texts = docs.union(docs_df(spark, [f"{clean[0]} {long} {clean[1]}"]).withColumn("doc_id", F.lit(50).cast("long")))
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(texts, more).collect()} == got | {(50, 20)}
     assert decontam.clean(awkward(spark), bench).count() == 11
 
 
@@ -220,6 +227,9 @@ def test_simhash_awkward(spark):
     kept = simhash.one_of_each(awkward(spark), near)
     assert {r.doc_id for r in kept.collect()} == {None, 0, 3, 4, 6, 7, 8} and kept.columns == awkward(spark).columns
     assert simhash.near_duplicates(awkward(spark).limit(0)).count() == 0
+    named = awkward(spark).withColumn("gone_id", F.lit("x")).withColumn("Gone_ID_", F.lit(1)).withColumn("fp", F.lit(2))
+    kept = simhash.one_of_each(named, simhash.near_duplicates(named))
+    assert {r.doc_id for r in kept.collect()} == {None, 0, 3, 4, 6, 7, 8} and kept.columns == named.columns
 
 
 # 5 neighbours
@@ -407,6 +417,16 @@ def test_model_learns_order():
     assert lm.log_probabilities(model, ctx, word)[4:].mean() > math.log(0.6)
 
 
+def test_the_fit_draws_pieces_from_anywhere_in_long_texts(spark):
+    text = " ".join(f"w{i}" for i in range(60_000))
+    rows = spark.createDataFrame([(text + f" t{i}",) for i in range(8)], "text string")
+    place = {f"w{i}": i for i in range(60_000)}
+    got = lm._sample(rows, place, 60_000, 4, 60_005, 8, 10**6)
+    first = [[c for c in seq.tolist() if c < 60_000][1] for seq in got]  # a cut word may stand first
+    assert len(got) == 8 and len(set(first)) == 8 and max(first) > 3_000
+    assert all(len(seq) < lm.PIECE_CHARS for seq in got)
+
+
 def test_language_model_awkward(spark):
     rows = lm.scores(awkward(spark), held_out("doc_id", 5, 1)).collect()
     assert len(rows) == 11 and all(np.isfinite(r.score) and np.isfinite(r.base_score) for r in rows)

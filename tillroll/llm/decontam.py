@@ -15,8 +15,10 @@ the words) must share at least ``min_question`` of its five-word shingles with t
 answer (its own column, or the last fifth) at least ``min_answer`` of its words with one stretch of the
 text as long as the item.  Items of fewer words than a shingle use the whole question as one.
 
-The items are read in shards of at most ``max_items`` distinct texts; each shard's index is bounded and
-sent to the tasks, and a larger benchmark makes further passes, never a larger broadcast.  Null or
+The items are read in shards of at most about ``max_items`` distinct texts and ``max_words`` words (one item
+at least); each shard's index is bounded and sent to the tasks, and a larger benchmark makes further
+passes, never a larger broadcast.  Items too long for half a window have shards of their own with wider
+windows, so one long item does not widen the passages that the others are held against.  Null or
 empty texts and items match nothing; repeated rows give repeated results; ties need no rule, since
 all items above the threshold are returned.
 """
@@ -119,9 +121,10 @@ class Index:
         start = np.repeat(first, per) + (np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)) * half
         end = np.minimum(start + window, np.repeat(first + size, per))
         near, best = threshold * (1 - 1e-4), {}
-        for lo in range(0, len(start), 512):
-            at = start[lo: lo + 512, None] + np.arange(window)
-            inside = at < end[lo: lo + 512, None]
+        step = max(1, (1 << 16) // window)  # passages handled at a time
+        for lo in range(0, len(start), step):
+            at = start[lo: lo + step, None] + np.arange(window)
+            inside = at < end[lo: lo + step, None]
             terms = np.sort(np.where(inside, rows[np.where(inside, at, 0)], 0), axis=1)
             terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = 0  # each distinct term once
             left = np.flatnonzero(self.top[terms].sum(1) >= near)
@@ -158,19 +161,20 @@ class Index:
         return (asked, answered) if answered >= min_answer else None
 
 
-def _items(benchmark: DataFrame, max_items: int):
-    """Shards of distinct items as lists of (ids, question words, answer words)."""
+def _items(benchmark: DataFrame, max_items: int, window: int, max_words: int = 100_000):
+    """Shards of distinct items of like length as lists of (ids, question words, answer words)."""
     text = "text" if "text" in benchmark.columns else None
     q = F.col("question") if "question" in benchmark.columns else (F.col(text) if text else None)
     a = F.col("answer") if "question" in benchmark.columns and "answer" in benchmark.columns else F.lit(None).cast("string")
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), q.cast("string").alias("q"), a.cast("string").alias("a"))
     one = rows.where("item_id is not null and (q is not null or a is not null)").groupBy("q", "a").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
-    n = one.count()
-    shards = max(1, -(-n // max_items))
-    one = one.withColumn("shard", F.pmod(F.xxhash64("q", "a"), F.lit(shards)))
-    for k in range(shards):
+    one = one.withColumn("words", F.size(F.split(F.concat_ws(" ", "q", "a"), r"\s+")))
+    # windows of the first class hold its items twice, those of each further class are four times as wide
+    one = one.withColumn("span", F.ceil(F.greatest(F.lit(0.0), F.log2(F.col("words") * 2 / window) / 2)).cast("int"))
+    sizes = one.groupBy("span").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words")).orderBy("span").collect()
+    for span, shards, k in [(s["span"], m, k) for s in sizes for m in [max(-(-s["n"] // max_items), -(-s["words"] // max_words))] for k in range(m)]:
         out = []
-        for r in one.where(F.col("shard") == k).toLocalIterator():
+        for r in one.where((F.col("span") == span) & (F.pmod(F.xxhash64("q", "a"), F.lit(shards)) == k)).toLocalIterator():
             question, answer = tokens(r["q"]), tokens(r["a"])
             if r["a"] is None:
                 cut = len(question) - len(question) // 5
@@ -189,7 +193,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spark = docs.sparkSession
     rows = texts(docs, id_col, text_col).where("text is not null")
     found = spark.createDataFrame([], schema)
-    for items in _items(benchmark, max_items):
+    for items in _items(benchmark, max_items, window):
         index = Index(items)
         # an item must lie whole inside one window
         found = found.unionByName(rows.mapInArrow(_task(spark.sparkContext.broadcast(index), max(window, 2 * index.longest),
@@ -200,7 +204,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = 128, threshold: float = 0.6,
           min_question: float = 0.5, min_answer: float = 0.5, max_items: int = 4000) -> DataFrame:
     """The rows of ``docs``, all columns, without a confirmed match."""
-    for items in _items(benchmark, max_items):
+    for items in _items(benchmark, max_items, window):
         index = Index(items)
         shared = docs.sparkSession.sparkContext.broadcast(index)
         width = max(window, 2 * index.longest)

@@ -178,5 +178,8 @@ def one_of_each(docs: DataFrame, near: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document that names it, and rows without
     an id.  The ids that go are a written table, so the planner knows its size: small ones are
     broadcast, others joined by a shuffle.  Ids are keys; rows that repeat an id stay or go together."""
-    gone = written(near.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    name = "gone_id"
+    while name in [c.lower() for c in docs.columns]:
+        name += "_"
+    gone = written(near.where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct(), "gone")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
