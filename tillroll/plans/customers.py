@@ -119,18 +119,15 @@ def _totals(lines: DataFrame, customers: DataFrame) -> DataFrame:
         F.count_if("known").alias("n_known"))
 
 
-def _averages(revenue, qty, n_known) -> list:
-    return [F.try_divide(money(revenue), n_known).alias("avg_revenue"),
-            F.try_divide(pieces(qty), n_known).alias("avg_quantity")]
-
-
 def global_averages(lines: DataFrame, customers: DataFrame) -> DataFrame:
     """One row: avg_revenue, avg_quantity.
 
     Totals run over every order line; the divisor is the number of customers
     that both ordered and appear in the customer export.
     """
-    return _totals(lines, customers).select(*_averages(F.col("revenue"), F.col("qty"), F.col("n_known")))
+    return _totals(lines, customers).select(
+        F.try_divide(money(F.col("revenue")), F.col("n_known")).alias("avg_revenue"),
+        F.try_divide(pieces(F.col("qty")), F.col("n_known")).alias("avg_quantity"))
 
 
 def customer_rollup(lines: DataFrame) -> DataFrame:
@@ -170,7 +167,7 @@ def customer_profile(lines: DataFrame, customers: DataFrame, segments: DataFrame
     (``customer_rollup``) and once, three columns wide, for the population totals.
     """
     ref = as_of_col(as_of)
-    t = _totals(lines, customers).select(F.struct("revenue", "qty", "n_known")).scalar()
+    averages = global_averages(lines, customers).select(F.struct("avg_revenue", "avg_quantity")).scalar()
     revenue = money(F.col("units"))
     gap = F.datediff("last_date", "first_date").cast("double")
     out = (customer_rollup(lines).join(customer_details(customers), "email")
@@ -182,6 +179,6 @@ def customer_profile(lines: DataFrame, customers: DataFrame, segments: DataFrame
         F.datediff(ref, "first_date").alias("days_since_first_order"),
         F.datediff(ref, "last_date").alias("days_since_last_order"),
         *INDICATOR_COLUMNS,
-        *_averages(t.getField("revenue"), t.getField("qty"), t.getField("n_known")),
+        averages.getField("avg_revenue").alias("avg_revenue"), averages.getField("avg_quantity").alias("avg_quantity"),
         "scores",
     )

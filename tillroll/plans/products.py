@@ -97,8 +97,8 @@ def product_week_revenue(lines: DataFrame, dedupe: bool = True) -> DataFrame:
     monthly = _monthly(daily)
     growth = cmgr(monthly, KEYS, axis=daily_month_axis(daily))
     weekly = _weekly(daily)
-    totals = scalar_struct(weekly, total=total_of(F.col("revenue")), rows=F.count(F.lit(1)))
-    total = money(totals.getField("total"))
+    totals = scalar_struct(weekly, total=money(total_of(F.col("revenue"))), rows=F.count(F.lit(1)))
+    total = totals.getField("total")
     # Both sides are already partitioned by (product, sku).
     out = weekly.join(growth.select(*KEYS, "cmgr", "n_periods"), KEYS, "left")
     return out.select(

@@ -73,14 +73,12 @@ def customer_week_profile(lines: DataFrame, customers: DataFrame) -> DataFrame:
     counts, customer details and the population averages."""
     w = _weekly(lines)
     details = customer_details(customers)
-    pop = _population(lines).select(F.struct("qty", "revenue", "n_customers")).scalar()
-    avg_quantity = F.try_divide(pieces(pop.getField("qty")), pop.getField("n_customers"))
-    avg_revenue = F.try_divide(money(pop.getField("revenue")), pop.getField("n_customers"))
+    averages = population_averages(lines).select(F.struct("avg_quantity", "avg_revenue")).scalar()
     out = details.join(w, "email")
     return out.select(
         "name", "location", "attr12", "email", "week", "n_visits",
         money(F.col("units")).alias("revenue"),
         F.try_divide(money(F.col("units")), F.col("n_visits")).alias("basket_value"),
         *INDICATOR_COLUMNS,
-        avg_quantity.alias("avg_quantity"), avg_revenue.alias("avg_revenue"),
+        averages.getField("avg_quantity").alias("avg_quantity"), averages.getField("avg_revenue").alias("avg_revenue"),
     )
