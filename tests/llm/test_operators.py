@@ -270,6 +270,24 @@ def test_neighbours_small_tables(spark):
     assert ann.nearest(two.limit(0), F.col("id") == 0).count() == 0
 
 
+def test_neighbours_of_mixed_norms_and_isolated_queries(spark):
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(2000, 16))
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    data[::100] *= rng.choice([2.0, 3.0, 5.0], 20)[:, None]
+    data[500] *= 1000  # meets no other vector in any bucket
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.nearest(df, F.col("id") % 100 == 0, k=10, block=300).collect():
+        got[r.query_id].append(r.id)
+    hits = []
+    for q in range(0, 2000, 100):
+        order = np.argsort(np.linalg.norm(data - data[q], axis=1))
+        assert len(got[q]) == 10
+        hits.append(len(set(got[q]) & set(order[order != q][:10].tolist())))
+    assert np.mean(hits) >= 9 and set(got[500]) == set(np.argsort(np.linalg.norm(data - data[500], axis=1))[1:11].tolist())
+
+
 # 6 language
 
 def brute_phrases(piece_texts, text):

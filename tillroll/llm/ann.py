@@ -7,6 +7,11 @@ norm, from a bounded sample.  Query: in each table the query's own bucket and th
 distances to the boundaries crossed (shift and expand on a heap), ``probes`` in all.  The candidates of
 all tables are merged and ranked by exact Euclidean distance in double precision.
 
+A query is ranked exactly against all vectors, in blocks, where its list stays short, or where a
+vector at the distance of the last one listed would lie in a visited bucket with a probability under
+``cover`` (from the query's places in its buckets, over the Gaussian projections): queries far from
+the others, or of a larger norm.  So a list is short only if there are fewer candidates than k.
+
 A bucket with more than ``block`` vectors is cut into blocks that are searched apart, so no bucket
 meets in one task and no candidate is dropped; a task returns only the k + 1 nearest of each
 (query, block).  Equal vectors are one posting with their k + 1 smallest ids, which is all that a
@@ -20,6 +25,7 @@ id; repeated (id, vector) rows count once; fewer candidates than k give shorter
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +54,21 @@ def perturbations(x: np.ndarray, probes: int) -> list[list[tuple[int, int]]]:
     return out
 
 
+def chance(place: np.ndarray, far: float, probes: int) -> float:
+    """Probability that a vector ``far`` away (in bucket widths) lies in a visited bucket of some table;
+    ``place``: (tables, projections) of the query inside its buckets."""
+    missed = 1.0
+    for x in place:
+        edges = np.stack((-1 - x, -x, 1 - x, 2 - x))  # of the buckets -1, 0, +1
+        below = 0.5 * (1 + np.array([[math.erf(e / (far * math.sqrt(2))) for e in row] for row in edges])) if far > 0 else (edges > 0).astype(float)
+        lands = np.diff(below, axis=0)
+        stay = lands[1].prod()
+        missed *= max(0.0, 1 - sum(stay if not moves else math.prod(lands[1 + d][j] for j, d in moves)
+                                   * math.prod(lands[1][j] for j in range(len(x)) if j not in {m[0] for m in moves})
+                                   for moves in perturbations(x, probes)))
+    return 1 - missed
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, vec array<double>) of the rows that take part."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
@@ -58,7 +79,8 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", tables: int = 7,
-            hashes: int = 5, width: float = 1.5, probes: int = 40, block: int = 4096, sample_rows: int = 2000, seed: int = 11) -> DataFrame:
+            hashes: int = 5, width: float = 1.5, probes: int = 40, block: int = 4096, sample_rows: int = 2000, seed: int = 11,
+            cover: float = 0.9) -> DataFrame:
     """(query_id, rank, id, score): the ``k`` nearest found of every row for which ``is_query`` (of
     the column ``id``) holds, its own id left out."""
     rows = usable(vectors, id_col, vec_col)
@@ -139,10 +161,36 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["qid", "pid", "score"])
 
-    found = (held.unionByName(visits).repartition("key", "blk").sortWithinPartitions("key", "blk", "kind")
-             .mapInArrow(search, "qid long, pid long, score double"))
-    best = (found.groupBy("qid", "pid").agg(F.min("score").alias("score"))
-            .withColumn("r", F.row_number().over(Window.partitionBy("qid").orderBy("score", "pid"))).where(f"r <= {k + 1}"))
+    def ranked(held: DataFrame, visits: DataFrame) -> DataFrame:
+        found = (held.unionByName(visits).repartition("key", "blk").sortWithinPartitions("key", "blk", "kind")
+                 .mapInArrow(search, "qid long, pid long, score double"))
+        return (found.groupBy("qid", "pid").agg(F.min("score").alias("score"))
+                .withColumn("r", F.row_number().over(Window.partitionBy("qid").orderBy("score", "pid"))).where(f"r <= {k + 1}"))
+
+    def uncovered(batches):
+        a, b = shared.value
+        for batch in batches:
+            vec = matrix(batch.column("vec"), a.shape[1])
+            n, far = batch.column("n").to_numpy(zero_copy_only=False), batch.column("far").to_numpy(zero_copy_only=False)
+            place = np.stack([(vec @ a[t] + b[t]) / width for t in range(tables)], 1) if len(batch) else np.empty((0, tables, hashes))
+            place -= np.floor(place)
+            keep = [n[i] <= k or chance(place[i], far[i] / unit / width, probes) < cover for i in range(len(batch))]
+            yield batch.select(["qid", "vec"]).filter(pa.array(keep, pa.bool_()))
+
+    best = written(ranked(held, visits), "ann-found")
+    # a query's own vector is always found: a list of k other ids has k + 1
+    lengths = (best.join(points.select("pid", F.size("ids").alias("n")), "pid").groupBy("qid")
+               .agg(F.sum("n").alias("n"), F.max("score").alias("far")))
+    failed = written(wanted.join(lengths, "qid", "left").select("qid", "vec", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("far", F.lit(0.0)).alias("far"))
+                     .mapInArrow(uncovered, "qid long, vec array<double>"), "ann-failed")
+    n_failed = failed.count()
+    if n_failed:  # groups of queries against all points in blocks
+        groups, blocks = -(-n_failed // block), -(-points.count() // block)
+        every = points.select(F.explode(F.expr(f"sequence(0L, {groups - 1}L)")).alias("key"),
+                              F.pmod(F.xxhash64("pid"), F.lit(blocks)).cast("int").alias("blk"), F.lit(0).alias("kind"), F.col("pid").alias("id"), "vec")
+        each = failed.select(F.pmod(F.xxhash64("qid"), F.lit(groups)).cast("long").alias("key"),
+                             F.explode(F.expr(f"sequence(0, {blocks - 1})")).alias("blk"), F.lit(1).alias("kind"), F.col("qid").alias("id"), "vec")
+        best = best.join(failed.select("qid"), "qid", "left_anti").unionByName(ranked(every, each))
     named = best.join(points.select("pid", F.explode("ids").alias("found_id")), "pid")
     # the list of each distinct query vector serves every query that has it
     lists = (named.withColumn("r", F.row_number().over(Window.partitionBy("qid").orderBy("score", "found_id"))).where(f"r <= {k + 1}")
