@@ -445,6 +445,12 @@ def test_the_fit_draws_pieces_from_anywhere_in_long_texts(spark):
     assert all(len(seq) < lm.PIECE_CHARS for seq in got)
 
 
+def test_the_model_learns_from_texts_outside_its_sample(spark):
+    rows = docs_df(spark, [" ".join("abcde"[(i + j) % 5] for j in range(200)) for i in range(100)])
+    got = lm.scores(rows, held_out("doc_id", 5, 1), fit_tokens=5).where("held_out").collect()
+    assert sum(r.score for r in got) / sum(r.n_tokens for r in got) > math.log10(0.6)
+
+
 def test_language_model_awkward(spark):
     rows = lm.scores(awkward(spark), held_out("doc_id", 5, 1)).collect()
     assert len(rows) == 11 and all(np.isfinite(r.score) and np.isfinite(r.base_score) for r in rows)
