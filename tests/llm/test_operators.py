@@ -83,6 +83,14 @@ def test_quality_awkward(spark):
     assert quality.grade(awkward(spark).limit(0), model).count() == 0
 
 
+def test_the_fit_takes_8000_documents_of_a_grade(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda row, bucket, grade, *a, **k: seen.append(np.bincount(grade)))
+    docs = spark.range(18_000).selectExpr("id AS doc_id", "concat('word', id % 3) AS text")
+    quality.train(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS grade"), 3)
+    assert seen[0].tolist() == [8000, 8000]
+
+
 # 2 decontamination
 
 def test_wand_finds_all_items_above_the_threshold():

@@ -101,20 +101,24 @@ def grade_probabilities(score: np.ndarray, theta: np.ndarray) -> np.ndarray:
     return np.diff(below, axis=1, prepend=0.0, append=1.0)
 
 
-def fit(row: np.ndarray, bucket: np.ndarray, grade: np.ndarray, grades: int, min_docs: int = 6, epochs: int = 300,
-        rate: float = 0.05, l2: float = 3e-4, power: float = 0.5, min_errors: float = 5.0) -> dict:
-    """Weights and thresholds.  A grade weighs as its number of documents to the power 1 - ``power``."""
-    n = len(grade)
-    per = np.bincount(grade, minlength=grades)
-    docs = np.stack([np.bincount(bucket[grade[row] == k], minlength=BUCKETS) for k in range(grades)])
-    clear = np.zeros(BUCKETS)
-    for k in range(grades):  # each grade against the others: difference of shares in standard errors
+def clear_buckets(docs: np.ndarray, per: np.ndarray, min_docs: int, min_errors: float) -> np.ndarray:
+    """The buckets that keep a weight; ``docs``: (grades, buckets) documents, ``per``: documents of each grade."""
+    n, clear = per.sum(), np.zeros(BUCKETS)
+    for k in range(len(per)):  # each grade against the others: difference of shares in standard errors
         a, b = docs[k], docs.sum(0) - docs[k]
         if 0 < per[k] < n:
             share = (a + b) / n
             gap = np.abs(a / per[k] - b / (n - per[k]))
             clear = np.maximum(clear, gap / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / per[k] + 1 / (n - per[k]))))
-    held = np.flatnonzero((docs.sum(0) >= min_docs) & (clear >= min_errors))
+    return np.flatnonzero((docs.sum(0) >= min_docs) & (clear >= min_errors))
+
+
+def fit(row: np.ndarray, bucket: np.ndarray, grade: np.ndarray, grades: int, min_docs: int = 6, epochs: int = 300,
+        rate: float = 0.05, l2: float = 3e-4, power: float = 0.5, min_errors: float = 5.0) -> dict:
+    """Weights and thresholds.  A grade weighs as its number of documents to the power 1 - ``power``."""
+    n = len(grade)
+    per = np.bincount(grade, minlength=grades)
+    held = clear_buckets(np.stack([np.bincount(bucket[grade[row] == k], minlength=BUCKETS) for k in range(grades)]), per, min_docs, min_errors)
     place = np.full(BUCKETS, -1, np.int32)
     place[held] = np.arange(len(held))
     used = place[bucket] >= 0
@@ -148,7 +152,7 @@ def fit(row: np.ndarray, bucket: np.ndarray, grade: np.ndarray, grades: int, min
 
 
 def train(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_id", text_col: str = "text",
-          fit_rows: int = 12000, min_docs: int = 6) -> dict:
+          fit_rows: int = 24000, min_docs: int = 6, min_errors: float = 5.0) -> dict:
     """The model from ``ratings`` (doc_id, grade 0 .. grades - 1).  ``fit_rows`` bounds the fit."""
     rated = (ratings.where(f"doc_id is not null and grade between 0 and {grades - 1}").groupBy(F.col("doc_id").alias("rated_id"))
              .agg(F.min("grade").cast("int").alias("grade")))
@@ -168,12 +172,33 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_i
             lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(bucket, pa.int32()))
             yield pa.RecordBatch.from_arrays([part.column("grade"), lists], ["grade", "buckets"])
 
-    got = rows.select("grade", "text").mapInArrow(run, "grade int, buckets array<int>").toArrow().combine_chunks()
+    got = rows.select("grade", "text").mapInArrow(run, "grade int, buckets array<int>").toArrow()
     if not got.num_rows:
         return {"bucket": np.empty(0, np.int32), "weight": np.empty(0, np.float32), "theta": np.arange(grades - 1, dtype=float)}
-    lists = got.column("buckets").combine_chunks() if isinstance(got.column("buckets"), pa.ChunkedArray) else got.column("buckets")
-    row = np.repeat(np.arange(len(lists), dtype=np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-    return fit(row, lists.flatten().to_numpy(), got.column("grade").to_numpy().astype(np.int64), grades, min_docs)
+    # batch by batch, so that the pairs of buckets without a weight are never copied
+    docs_of, per = np.zeros((grades, BUCKETS), np.int64), np.zeros(grades, np.int64)
+    for grade, row, bucket in _pairs(got):
+        per += np.bincount(grade, minlength=grades)
+        for k in range(grades):
+            docs_of[k] += np.bincount(bucket[grade[row] == k], minlength=BUCKETS)
+    wanted = np.zeros(BUCKETS, bool)
+    wanted[clear_buckets(docs_of, per, min_docs, min_errors)] = True
+    parts, n = [], 0
+    for grade, row, bucket in _pairs(got):
+        keep = wanted[bucket]
+        parts.append((grade, (row[keep] + n).astype(np.int32), bucket[keep]))
+        n += len(grade)
+    del got
+    grade, row, bucket = (np.concatenate(x) for x in zip(*parts))
+    return fit(row, bucket, grade, grades, min_docs, min_errors=min_errors)
+
+
+def _pairs(got: pa.Table):
+    """(grades, row, bucket) of each batch."""
+    for batch in got.to_batches():
+        lists = batch.column("buckets")
+        row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        yield batch.column("grade").to_numpy().astype(np.int64), row, lists.flatten().to_numpy()
 
 
 def _judge(model: dict):
