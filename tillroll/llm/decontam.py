@@ -10,10 +10,11 @@ descend to the blocks by the sums of block maxima; in a block that is left, bloc
 pivots over the postings and scores each item in full.  Every item at or above ``threshold`` is
 retrieved: the bounds are true upper bounds, so nothing above it is lost.
 
-Verification on the whole text: the item's question (its own column, or all but the last fifth of
-the words) must share at least ``min_question`` of its five-word shingles with the text, and the
-answer (its own column, or the last fifth) at least ``min_answer`` of its words with one stretch of the
-text as long as the item.  Items of fewer words than a shingle use the whole question as one.
+Verification: the item's question (its own column, or all but the last fifth of the words) must share at
+least ``min_question`` of its five-word shingles with the whole text, and the answer (its own column, or the last
+fifth) at least ``min_answer`` of its words with one stretch, twice as long as the item, of a passage that the
+search returned; every such passage and every stretch of it is looked at.  Items of fewer words than a shingle use
+the whole question as one.  Texts and items are lower-cased by the same function, in which a Greek final sigma is a sigma.
 
 The items are read in shards of at most about ``max_items`` distinct texts and ``max_words`` words (one item
 at least); each shard's index is bounded and sent to the tasks, and a larger benchmark makes further
@@ -40,9 +41,14 @@ EDGE = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "¿¡«
 SHINGLE = 5
 
 
+def lowered(text: pa.Array) -> pa.Array:
+    """Lists of the lower-case words between white space; the one lower-casing of texts and items."""
+    return pc.utf8_split_whitespace(pc.replace_substring(pc.utf8_lower(pc.fill_null(text.cast(pa.string()), "")), "ς", "σ"))
+
+
 def tokens(text: str | None) -> list[str]:
     """Words of a text as the index knows them."""
-    return [w for w in (t.strip(EDGE) for t in (text or "").lower().split()) if w]
+    return [w for w in (t.strip(EDGE) for t in lowered(pa.array([text], pa.string()))[0].as_py()) if w]
 
 
 class Index:
@@ -111,9 +117,9 @@ class Index:
                     while x[0] < len(x[1]) and x[1][x[0]] < pivot:
                         x[0] += 1
 
-    def search(self, rows: np.ndarray, doc: np.ndarray, window: int, threshold: float) -> dict[tuple[int, int], float]:
-        """(doc, item) -> best score over the doc's passages.  rows: block_max row of every word in
-        order; doc: non-decreasing number of its text."""
+    def search(self, rows: np.ndarray, doc: np.ndarray, window: int, threshold: float) -> dict[tuple[int, int], tuple[float, list[tuple[int, int]]]]:
+        """(doc, item) -> best score over the doc's passages, and the passages (first word, end) that reach the
+        threshold.  rows: block_max row of every word in order; doc: non-decreasing number of its text."""
         half = window // 2
         first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.empty(0, np.int64)
         size = np.diff(np.r_[first, len(doc)])
@@ -132,32 +138,36 @@ class Index:
             for p, blk in zip(*np.nonzero(bounds >= near)):
                 mine = terms[left[p]]
                 for item, score in self.wand(mine[mine > 0].tolist(), int(blk), threshold):
-                    key = (int(doc[start[lo + left[p]]]), item)
-                    best[key] = max(best.get(key, 0.0), float(score))
+                    p0 = int(start[lo + left[p]])
+                    key, origin = (int(doc[p0]), item), int(first[np.searchsorted(first, p0, side="right") - 1])
+                    top, where = best.get(key, (0.0, []))
+                    best[key] = max(top, float(score)), [*where, (p0 - origin, int(end[lo + left[p]]) - origin)]
         return best
 
-    def verify(self, words: list[str], item: int, min_question: float, min_answer: float):
-        """(question overlap, answer overlap) of a whole text, or None."""
+    def verify(self, words: list[str], item: int, passages: list[tuple[int, int]], min_question: float, min_answer: float):
+        """(question overlap, answer overlap) of a whole text in which search found the item in ``passages``, or None."""
         _, question, answer = self.items[item]
         want = self.shingles[item]
         n = len(want[0]) if want else 0
-        have, where = set(want), []
-        seen = set()
-        for i in range(len(words) - n + 1 if n else 0):
-            s = tuple(words[i: i + n])
-            if s in have:
-                seen.add(s)
-                where.append(i)
+        have = set(want)
+        seen = {s for i in range(len(words) - n + 1) if (s := tuple(words[i: i + n])) in have} if n else set()
         asked = len(seen) / len(want) if want else 1.0
         if asked < min_question:
             return None
         need, span = Counter(answer), 2 * (len(question) + len(answer))
-        answered = 1.0 if not need else 0.0
-        for at in (where or [0])[:: max(1, len(question) // 4)] + where[-1:] if need else []:
-            near = Counter(words[max(0, at - span // 2): at + span])
-            answered = max(answered, sum((need & near).values()) / len(answer))
+        answered = 0.0 if need else 1.0
+        for lo, hi in passages:
             if answered == 1.0:
                 break
+            near, shared = Counter(), 0  # answer words in the stretch that ends at i
+            for i in range(lo, hi):
+                if i - span >= lo and (w := words[i - span]) in need:
+                    near[w] -= 1
+                    shared -= near[w] < need[w]
+                if (w := words[i]) in need:
+                    shared += near[w] < need[w]
+                    near[w] += 1
+                    answered = max(answered, shared / len(answer))
         return (asked, answered) if answered >= min_answer else None
 
 
@@ -220,18 +230,19 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
 
 def _matches(index: Index, text: pa.Array, window, threshold, min_question, min_answer):
     """(row, item, score, question overlap, answer overlap) of every confirmed match of some texts."""
-    words = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(text, "")))
+    words = lowered(text)
     flat = words.flatten().dictionary_encode()
-    row_of = np.fromiter((-1 if not (w := t.strip(EDGE)) else index.terms.get(w, -2) for t in flat.dictionary.to_pylist()),
-                         np.int64, len(flat.dictionary)) + 1
+    bare = [t.strip(EDGE) for t in flat.dictionary.to_pylist()]
+    row_of = np.fromiter((-1 if not w else index.terms.get(w, -2) for w in bare), np.int64, len(bare)) + 1
     doc = np.repeat(np.arange(len(text)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
-    row = row_of[flat.indices.to_numpy(zero_copy_only=False)]
-    real = row != 0  # nothing but punctuation is no word
+    word = flat.indices.to_numpy(zero_copy_only=False)
+    real = row_of[word] != 0  # nothing but punctuation is no word
+    doc, word = doc[real], word[real]
     at, known = -1, []
-    for (d, item), score in sorted(index.search(np.maximum(row[real], 0), doc[real], window, threshold).items()):
+    for (d, item), (score, passages) in sorted(index.search(np.maximum(row_of[word], 0), doc, window, threshold).items()):
         if d != at:
-            at, known = d, tokens(text[d].as_py())
-        if (got := index.verify(known, item, min_question, min_answer)):
+            at, known = d, [bare[i] for i in word[np.searchsorted(doc, d): np.searchsorted(doc, d, side="right")].tolist()]
+        if (got := index.verify(known, item, passages, min_question, min_answer)):
             yield d, item, min(1.0, score), *got
 
 
