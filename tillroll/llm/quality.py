@@ -153,17 +153,22 @@ def fit(row: np.ndarray, bucket: np.ndarray, grade: np.ndarray, grades: int, min
 
 def train(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_id", text_col: str = "text",
           fit_rows: int = 24000, min_docs: int = 6, min_errors: float = 5.0) -> dict:
-    """The model from ``ratings`` (doc_id, grade 0 .. grades - 1).  ``fit_rows`` bounds the fit."""
+    """The model from ``ratings`` (doc_id, grade 0 .. grades - 1).  ``fit_rows`` bounds the fit: that many ids, each
+    with its lowest grade and, where it has several texts, the first of them in order."""
     rated = (ratings.where(f"doc_id is not null and grade between 0 and {grades - 1}").groupBy(F.col("doc_id").alias("rated_id"))
              .agg(F.min("grade").cast("int").alias("grade")))
     # the rows of the fit are chosen among the ratings, so that texts are joined with a bounded table
     each = -(-fit_rows // grades)
-    rated = rated.withColumn("h", F.xxhash64("rated_id")).withColumn("part", F.pmod("h", F.lit(64)))
-    chosen = (rated.withColumn("r", F.row_number().over(Window.partitionBy("grade", "part").orderBy("h"))).where(f"r <= {each}")
-              .withColumn("r", F.row_number().over(Window.partitionBy("grade").orderBy("h"))).where(f"r <= {each}")
-              .select("rated_id", "grade"))
+    rated = rated.withColumn("h", F.xxhash64("rated_id")).withColumn("part", F.shiftright("h", 56))
+    # the smallest hashes of each grade: whole ranges of hashes, and the range that holds the limit in part
+    sizes = rated.groupBy("grade", "part").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("grade").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sizes = sizes.select("grade", "part", (upto - F.col("n")).alias("before")).where(f"before < {each}")
+    chosen = (rated.join(sizes, ["grade", "part"]).withColumn("r", F.row_number().over(Window.partitionBy("grade", "part").orderBy("h")))
+              .where(f"before + r <= {each}").select("rated_id", "grade"))
+    # one row for each rated id, whose copies are combined before the shuffle
     rows = (docs.select(F.col(id_col).cast("long").alias("rated_id"), F.col(text_col).cast("string").alias("text"))
-            .join(F.broadcast(chosen), "rated_id"))
+            .join(F.broadcast(chosen), "rated_id").groupBy("rated_id").agg(F.min("text").alias("text"), F.min("grade").alias("grade")))
 
     def run(batches):
         for part in slices(batches, "text"):
