@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -83,6 +84,28 @@ def test_quality_awkward(spark):
     assert quality.grade(awkward(spark).limit(0), model).count() == 0
 
 
+def test_registered_quality_equals_one_text_at_a_time(spark, sf_docs):
+    labels = quality.graded(spark.read.parquet(f"{SF}/labels.parquet"))
+    model = quality.train(sf_docs, labels, 3)
+    weight = dict(zip(model["bucket"].tolist(), model["weight"].tolist()))
+    got = {r.doc_id: r for r in queries.op1_quality(spark, SF).collect()}
+    assert len(got) == sf_docs.count()
+    for r in sf_docs.collect():
+        _, buckets = quality.features(pa.array([r.text], pa.string()))
+        score = sum(weight.get(b, 0.0) for b in buckets.tolist())
+        below = [0.0, *[1 / (1 + math.exp(score - t)) for t in model["theta"]], 1.0]
+        p = [b - a for a, b in zip(below, below[1:])]
+        assert got[r.doc_id].expected_grade == pytest.approx(p[1] + 2 * p[2], abs=1e-4) and got[r.doc_id].tail_probability == pytest.approx(p[2], abs=1e-4)
+
+
+def test_the_fit_takes_one_row_of_each_rated_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda row, bucket, grade, *a, **k: seen.append(grade.tolist()))
+    docs = spark.range(300).selectExpr("id % 3 AS doc_id", "concat('word', id % 2) AS text")
+    quality.train(docs, spark.createDataFrame([(0, 0), (1, 1), (2, 0), (2, 1), (None, 1), (9, 0)], "doc_id long, grade int"), 3, fit_rows=6)
+    assert [sorted(s) for s in seen] == [[0, 0, 1]]
+
+
 def test_the_fit_takes_8000_documents_of_a_grade(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(quality, "fit", lambda row, bucket, grade, *a, **k: seen.append(np.bincount(grade)))
@@ -109,7 +132,7 @@ def test_wand_finds_all_items_above_the_threshold():
             if score >= 0.6:
                 expect[item] = score
         assert {k[1] for k in got} == set(expect)
-        assert all(abs(got[(0, i)] - s) < 1e-4 for i, s in expect.items())
+        assert all(abs(got[(0, i)][0] - s) < 1e-4 for i, s in expect.items())
 
 
 def test_decontamination_planted(spark):
@@ -137,6 +160,65 @@ def test_decontamination_planted(spark):
     assert decontam.clean(awkward(spark), bench).count() == 11
 
 
+def test_answers_are_looked_for_where_search_found_the_item(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("klmnopqrst"), 5))
+    fill = [" ".join(word() for _ in range(n)) for n in (700, 50, 900)]
+    asked, answer = " ".join(word() for _ in range(18)), " ".join(word() for _ in range(7))
+    bench = spark.createDataFrame([(0, None, answer), (1, asked, answer), (2, asked, None), (3, None, None), (4, "", " ")],
+                                  "item_id long, question string, answer string")
+    parts = [(f"{fill[0]} {answer}", {0}), (f"{asked} {answer} {fill[0]}", {0, 1, 2}), (f"{fill[2]} {asked} {fill[1]}", {2}),
+             (f"{fill[0]} {asked} {asked} {asked} {fill[1]} {asked} {answer}", {0, 1, 2}), (f"{asked} {fill[2]} {answer}", {0, 2}), (fill[0], set())]
+    docs = docs_df(spark, [t for t, _ in parts])
+    got = defaultdict(set)
+    for r in decontam.contaminated(docs, bench).collect():
+        got[r.doc_id].add(r.item_id)
+    assert [got[i] for i in range(len(parts))] == [want for _, want in parts]
+
+
+def test_one_lower_casing_for_texts_and_items(spark):
+    items = ["ΟΔΟΣ ΚΑΙ ΝΟΜΟΣ ΤΗΣ ΠΟΛΗΣ ΜΑΣ", "οδός και λόγος της νέας πόλης", "İSTANBUL'DA BİR İYİ GÜN İÇİN KÜÇÜK BİR ŞİİR", "GROẞE STRAẞE UND GROẞER PLATZ"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = docs_df(spark, [*items, *[f"x {decontam.lowered(pa.array([t]))[0].as_py()}".replace("'", "").replace(",", "") for t in items],
+                           items[0].lower(), items[1].upper().replace("Ό", "ό"), "nothing of the kind here at all"])
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(docs, bench).collect()}
+    assert all(got[i, i] == pytest.approx(1) for i in range(4)) and got[8, 0] == pytest.approx(1) and (9, 1) not in got or got[9, 1] > 0.6
+    assert not any(d == 10 for d, _ in got)
+
+
+def brute_matches(docs, bench, window=128, threshold=0.6, least=0.5):
+    """(doc, item) by scoring every half-overlapping passage against every item with plain sums."""
+    items = [((i,), *(lambda w: (w[: len(w) - len(w) // 5], w[len(w) - len(w) // 5:]))(decontam.tokens(t))) for i, t in bench if t]
+    index = decontam.Index([x for x in items if x[1]])
+    width = max(window, 2 * index.longest)
+    impact = [{} for _ in index.items]
+    for term, i in index.terms.items():
+        for item, value in zip(*index.postings[i]):
+            impact[item][term] = value
+    out = set()
+    for doc, text in docs:
+        words = decontam.tokens(text)
+        shingles = {n: {tuple(words[i: i + n]) for i in range(len(words) - n + 1)} for n in range(1, decontam.SHINGLE + 1)}
+        for k, (ids, question, answer) in enumerate(index.items):
+            n = min(decontam.SHINGLE, len(question))
+            want = {tuple(question[i: i + n]) for i in range(len(question) - n + 1)}
+            if len(want & shingles[n]) < least * len(want):
+                continue
+            for lo in range(0, max(1, len(words) - width // 2), width // 2):
+                passage = words[lo: lo + width]
+                span = 2 * (len(question) + len(answer))
+                if sum(v for t, v in impact[k].items() if t in set(passage)) >= threshold and (not answer or max(
+                        sum((Counter(answer) & Counter(passage[i: i + span])).values()) for i in range(max(1, len(passage) - span + 1))) >= least * len(answer)):
+                    out |= {(doc, i) for i in ids}
+    return out
+
+
+def test_registered_decontamination_equals_brute_force(spark, sf_docs):
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    got = {(r.doc_id, r.item_id) for r in queries.op2_decontamination(spark, SF).collect()}
+    assert got and got == brute_matches([(r.doc_id, r.text) for r in sf_docs.collect()], bench)
+
+
 # 3 URLs
 
 RULES = queries.URL_RULES
@@ -232,12 +314,21 @@ def test_simhash_awkward(spark):
     by = {r.doc_id: r for r in rows if r.doc_id is not None}
     assert by[0].fingerprint == "0" * 16 and {by[i].component_id for i in (0, 1, 2)} == {0}
     assert by[5].component_id == 4 and by[6].fingerprint == f"{brute_fingerprint('é ' * 40_000):016x}"
-    kept = simhash.one_of_each(awkward(spark), near)
-    assert {r.doc_id for r in kept.collect()} == {None, 0, 3, 4, 6, 7, 8} and kept.columns == awkward(spark).columns
+    kept = simhash.one_of_each(awkward(spark))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 3, 4, 6, 7, 8] and kept.columns == awkward(spark).columns
     assert simhash.near_duplicates(awkward(spark).limit(0)).count() == 0
     named = awkward(spark).withColumn("gone_id", F.lit("x")).withColumn("Gone_ID_", F.lit(1)).withColumn("fp", F.lit(2))
-    kept = simhash.one_of_each(named, simhash.near_duplicates(named))
-    assert {r.doc_id for r in kept.collect()} == {None, 0, 3, 4, 6, 7, 8} and kept.columns == named.columns
+    named = named.withColumn("row", F.lit(3)).withColumn("Row_", F.lit("y"))
+    kept = simhash.one_of_each(named)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 3, 4, 6, 7, 8] and kept.columns == named.columns
+    assert simhash.one_of_each(named.limit(0)).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    a, b = "the quick brown fox jumps over it", "quite another text with words of its own"
+    docs = spark.createDataFrame([(1, a), (2, a), (1, a), (2, b), (None, a), (None, a), (None, "a third one, alone")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in simhash.one_of_each(docs.repartition(3)).collect()), key=str)
+    assert got == [(1, a), (2, b), (None, "a third one, alone")]
 
 
 # 5 neighbours
@@ -514,7 +605,7 @@ def test_bpe_encode_decode(spark):
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert all(any(re.match(rf"op{n}_", k) for k in names) for n in range(1, 11)) and "pipeline" in names
+    assert all(any(re.match(rf"op{n}_", k) for k in names) for n in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_stages(spark):
@@ -535,3 +626,27 @@ def test_pipeline_stages(spark):
             holds = {i for i, t in had.items() for b in bench.values() if b and f" {' '.join(b)} " in f" {' '.join(decontam.tokens(t))} "}
             assert holds and not holds & set(kept)
     assert {r.doc_id for r in at.collect()} == {r.doc_id for r in before.collect()}
+    whole = corpus_pipeline.run(spark, SF)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, at.select(whole.columns).collect()))
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(queries.tokenizer_file())
+    left = {r.doc_id: r.text or "" for r in before.collect()}
+    for r in whole.collect():
+        ids = tok.encode(left[r.doc_id], add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+
+
+def test_registered_neighbours_recall(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    ids, v = np.array([i for i, _ in rows]), np.array([x for _, x in rows], float)
+    got = defaultdict(list)
+    for r in sorted(queries.op5_neighbours(spark, SF).collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append((r.vec_id, r.score))
+    assert set(got) == {i for i in ids.tolist() if i % 100 == 0}
+    hits = 0
+    for q, found in got.items():
+        exact = np.sqrt(((v - v[ids == q][0]) ** 2).sum(1))
+        order = [i for i in np.lexsort((ids, exact)) if ids[i] != q][:10]
+        hits += len({i for i, _ in found} & set(ids[order].tolist()))
+        assert len(found) == 10 and all(s == pytest.approx(exact[ids == i][0]) for i, s in found)
+    assert hits >= 0.9 * 10 * len(got)

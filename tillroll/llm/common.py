@@ -17,12 +17,18 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2 << 20
 # Bytes of one Arrow batch between Spark and a Python task, where the session allows more.
 BATCH_BYTES = 4 << 20
+# Keys with more than 1 / HEAVY of all uses are joined by a broadcast: there are fewer than HEAVY of them.
+HEAVY = 4096
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared ``spark.checkpoint.dir`` of the session.  Only where that
-    is unset (local tests) a scratch folder of this machine stands in."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tillroll-llm-")
+    is unset and all of Spark runs on this machine (local tests) a scratch folder stands in."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        root = tempfile.mkdtemp(prefix="tillroll-llm-")
     return f"{root.rstrip('/')}/llm-{purpose}-{uuid.uuid4().hex}"
 
 
@@ -35,6 +41,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def looked_up(rows: DataFrame, table: DataFrame, by: list[str], value: list[str]) -> DataFrame:
+    """``rows`` (a written table) with the columns ``value`` of ``table``, whose ``n`` says how many rows have the key."""
+    uses = table.agg(F.sum("n")).first()[0] or 0
+    many = F.col("n") * HEAVY > uses  # less than HEAVY keys can be above this share
+    cols = table.select(*by, *value, F.lit(True).alias("found_"))
+    tried = rows.join(F.broadcast(cols.where(many)), by, "left")
+    rest = tried.where("found_ is null").drop("found_", *value).join(cols.where(~many).drop("found_"), by)
+    return tried.where("found_").drop("found_").unionByName(rest)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, with its session's Arrow batches bounded by ``BATCH_BYTES``: texts differ in length by
     orders of magnitude, so a number of rows does not bound what a task holds."""

@@ -27,9 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import written
+from tillroll.llm.common import HEAVY, looked_up, written
 
-HEAVY = 4096
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,16 +45,6 @@ def named(keys: DataFrame, by: list[str], purpose: str) -> DataFrame:
     return written(distinct.sortWithinPartitions(*by).withColumn("name", F.monotonically_increasing_id()), purpose)
 
 
-def looked_up(rows: DataFrame, table: DataFrame, by: list[str], value: list[str]) -> DataFrame:
-    """``rows`` (a written table) with the columns ``value`` of ``table``, whose ``n`` says how many rows have the key."""
-    uses = table.agg(F.sum("n")).first()[0] or 0
-    many = F.col("n") * HEAVY > uses  # less than HEAVY keys can be above this share
-    cols = table.select(*by, *value, F.lit(True).alias("found_"))
-    tried = rows.join(F.broadcast(cols.where(many)), by, "left")
-    rest = tried.where("found_ is null").drop("found_", *value).join(cols.where(~many).drop("found_"), by)
-    return tried.where("found_").drop("found_").unionByName(rest)
-
-
 def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 4096, hash_bits: int = 64) -> DataFrame:
     """(row, doc_id, text_sha256, level, name): the identity of every row's text; ``row`` numbers the rows of
     the result.  ``hash_bits``: bits of the block hash that are used (fewer make collisions, for tests)."""

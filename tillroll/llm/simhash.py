@@ -27,8 +27,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillroll.llm.common import components, slices, texts, written
+from tillroll.llm.common import components, looked_up, slices, small_batches, texts, written
 
 SEED = 42
 
@@ -174,12 +175,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def one_of_each(docs: DataFrame, near: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document that names it, and rows without
-    an id.  The ids that go are a written table, so the planner knows its size: small ones are
-    broadcast, others joined by a shuffle.  Ids are keys; rows that repeat an id stay or go together."""
-    name = "gone_id"
-    while name in [c.lower() for c in docs.columns]:
+def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int = 3, max_bits: int = 3, block: int = 1024) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: exactly one of each component, the one with the smallest id (null
+    ids last; of rows that repeat that id, one).  Rows are told apart by a number of their own, so null and
+    repeated ids go and stay like any others.  The numbers that go are a written table, so the planner knows its size: a
+    small one is broadcast, another joined by a shuffle."""
+    fp, row = (_free(name, docs.columns) for name in ("fp", "row"))
+
+    def run(batches):
+        for part in slices(batches, text_col):
+            found = part.column(text_col).cast(pa.string()).cast(pa.binary()).to_pylist()
+            fps = np.fromiter((fingerprint(t or b"", n) for t in found), np.uint64, len(found))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(fps.view(np.int64))], [*part.schema.names, fp])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())])
+    tagged = written(small_batches(docs).mapInArrow(run, schema).withColumn(row, F.monotonically_increasing_id()), "fingerprints")
+    rows = tagged.select(F.col(row).alias("row"), F.col(fp).alias("fp"), F.col(id_col).cast("long").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
+    points = written(rows.groupBy("fp").agg(first, F.count(F.lit(1)).alias("n")).select("fp", "n", "first", F.col("first.row").alias("node")), "points")
+    near = components(links(points.select("fp", "node"), max_bits, block))
+    joined = points.join(near, "node", "left").select("fp", "n", "first", F.coalesce("component", "node").alias("component"))
+    keep = joined.groupBy("component").agg(F.min("first").alias("keep")).select("component", F.col("keep.row").alias("keep"))
+    of = written(joined.join(keep, "component").select("fp", "n", "keep"), "kept")
+    gone = written(looked_up(rows, of, ["fp"], ["keep"]).where("row != keep").select(F.col("row").alias(row)), "gone")
+    return tagged.join(gone, row, "left_anti").drop(fp, row)
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    while name in {c.lower() for c in taken}:
         name += "_"
-    gone = written(near.where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
+    return name
