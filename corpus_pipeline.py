@@ -27,7 +27,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component (3-word shingles, 3 bits)."""
-    return simhash.one_of_each(docs, simhash.near_duplicates(docs, n=3, max_bits=3))
+    return simhash.one_of_each(docs, n=3, max_bits=3)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
