@@ -1,17 +1,18 @@
 """Co-occurrence counting: how many baskets hold both items of a pair.
 
 The count for a pair is the size of the intersection of the two items' basket
-sets.  It is computed as a self equi-join of deduplicated (basket, item) rows on
-the basket key with ``left.item < right.item``, then a grouped count:
-
-* the join is an equi-join, never a cartesian product of items;
-* deduplicating first makes each (basket, item_1, item_2) row unique, so a
-  plain count is the distinct-basket count;
-* the grouped count aggregates map-side before its shuffle;
-* the work inside a basket is quadratic, so a basket of more than ``block`` items
-  is cut: each left item lies in one of its blocks, the right items are sent to all
-  of them, and the join runs per (basket, block).  A task then joins at most about
-  ``block`` left items of a basket, whatever the basket's size; none is dropped.
+sets.  The rows are made distinct first (map-side, so copies collapse before the
+shuffle), which makes each (basket, item_1, item_2) unique: a plain count of
+pairs is the distinct-basket count, and it aggregates map-side before its shuffle.
+
+Light baskets, of at most ``block`` items and so nearly all, are gathered into one
+sorted array each on the basket's partitioning, and their pairs are expanded from it
+in place: no self-join, and no array above ``block`` items.
+
+The work inside a basket is quadratic, so only heavy baskets are cut, into parts of
+about ``block`` items, and joined with themselves part by part: every two parts of a
+basket meet on a key of their own, (basket, part, part).  A task then holds at most
+about ``block`` items of each side, whatever the basket's size; none is dropped.
 """
 
 from __future__ import annotations
@@ -22,28 +23,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def distinct_items(baskets: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
+    """One row per basket and item.  Rows with a null key or item are in no pair; saying so here keeps
+    all readers of the result alike, so that they share one scan and one shuffle."""
+    known = baskets.select(*keys, item)
+    for c in (*keys, item):
+        known = known.where(F.col(c).isNotNull())
+    return known.distinct()
+
+
+def heavy_baskets(dedup: DataFrame, keys: Sequence[str], block: int) -> DataFrame:
+    """(keys..., n_parts) of the baskets with more than ``block`` items."""
+    return (dedup.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_items")).where(F.col("n_items") > block)
+            .select(*keys, F.ceil(F.col("n_items") / block).cast("int").alias("n_parts")))
+
+
+def basket_arrays(dedup: DataFrame, heavy: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
+    """(keys..., items): the light baskets, each as the sorted array of its items."""
+    light = dedup.join(heavy.select(*keys), list(keys), "left_anti")
+    return light.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
+
+
+def blocked(dedup: DataFrame, heavy: DataFrame, keys: Sequence[str], item: str, first: str, second: str) -> tuple[DataFrame, DataFrame]:
+    """The heavy baskets' rows as left and right sides: a row meets every part from its own on (left) or
+    up to its own (right), so that two parts meet once in each order of their items."""
+    sized = dedup.join(heavy, list(keys)).withColumn("part", F.pmod(F.xxhash64(item), F.col("n_parts")).cast("int"))
+    left = sized.select(*keys, F.col("part").alias("left_part"), F.explode(F.expr("sequence(0, n_parts - 1)")).alias("right_part"), F.col(item).alias(first))
+    right = sized.select(*keys, F.explode(F.expr("sequence(0, n_parts - 1)")).alias("left_part"), F.col("part").alias("right_part"), F.col(item).alias(second))
+    return left, right
+
+
 def pair_counts(baskets: DataFrame, basket_keys: Sequence[str], item: str, *,
                 group_keys: Sequence[str] = (), first: str = "product_1",
                 second: str = "product_2", count: str = "n_orders",
-                block: int = 1000) -> DataFrame:
+                block: int = 256) -> DataFrame:
     """Count baskets per unordered item pair (``first < second``).
 
     ``baskets`` holds one row per (basket_keys..., item); duplicates are removed
     here.  ``group_keys`` (a subset of ``basket_keys``) are kept in the output.
     """
     keys = list(basket_keys)
-    dedup = baskets.select(*keys, item).distinct()
-    left, right = (side.drop("n_blocks") for side in blocked(dedup, keys, item, first, second, block))
-    pairs = left.join(right, on=[*keys, "block"], how="inner").where(F.col(first) < F.col(second))
-    return pairs.groupBy(*group_keys, first, second).agg(F.count(F.lit(1)).alias(count))
-
-
-def blocked(dedup: DataFrame, keys: list[str], item: str, first: str, second: str, block: int) -> tuple[DataFrame, DataFrame]:
-    """Left rows in their block, right rows in every block of their basket (one unless it is large)."""
-    large = (dedup.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n_blocks"))
-             .where("n_blocks > 1"))
-    sized = dedup.join(large, keys, "left").withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1)))
-    left = sized.select(*keys, "n_blocks", F.col(item).alias(first),
-                        F.pmod(F.xxhash64(item), F.col("n_blocks")).cast("int").alias("block"))
-    right = sized.select(*keys, "n_blocks", F.col(item).alias(second), F.explode(F.expr("sequence(0, n_blocks - 1)")).alias("block"))
-    return left, right
+    dedup = distinct_items(baskets, keys, item)
+    heavy = heavy_baskets(dedup, keys, block)
+    pairs = F.expr("flatten(transform(items, (x, i) -> transform(slice(items, i + 2, size(items)), y -> struct(x, y))))")
+    light = (basket_arrays(dedup, heavy, keys, item).where("size(items) > 1").select(*group_keys, F.explode(pairs).alias("pair"))
+             .select(*group_keys, F.col("pair.x").alias(first), F.col("pair.y").alias(second)))
+    left, right = blocked(dedup, heavy, keys, item, first, second)
+    cut = left.join(right, [*keys, "left_part", "right_part"]).where(F.col(first) < F.col(second)).select(*group_keys, first, second)
+    return light.unionByName(cut).groupBy(*group_keys, first, second).agg(F.count(F.lit(1)).alias(count))
