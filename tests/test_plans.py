@@ -83,15 +83,11 @@ def _scans(df, table="lineitem") -> int:
 
 
 @pytest.mark.parametrize("name", ["product_month_revenue", "product_month_dense", "product_cmgr", "product_series",
-                                  "product_week_revenue", "global_averages", "customer_value_segment", "customer_week_profile"])
+                                  "product_week_revenue", "global_averages", "customer_value_segment", "customer_week_profile", "customer_profile"])
 def test_the_lines_are_scanned_once(spark, name):
     assert _scans(catalog.QUERIES[name](spark, SMOKE)) == 1
 
 
-def test_the_profile_scans_the_lines_twice(spark):
-    assert _scans(catalog.QUERIES["customer_profile"](spark, SMOKE)) == 2
-
-
 @pytest.mark.parametrize("name", ["unfulfilled_by_day", "unfulfilled_by_month", "customer_retention"])
 def test_date_bounds_reach_the_scan_of_stored_lines(spark, tmp_dir, name):
     from tillroll.sources import sinks

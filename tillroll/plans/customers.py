@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import created_hour, two_hour_slot, weekday_number
+from tillroll.operators import bitsets
 from tillroll.operators.gaps import gap_summary
 from tillroll.operators.histogram import fixed_range_histogram
 from tillroll.operators.indicators import INDICATOR_COLUMNS, weekday_slot_aggs
@@ -131,31 +132,42 @@ def global_averages(lines: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def customer_rollup(lines: DataFrame) -> DataFrame:
-    """Everything the profile knows of a customer from the order lines, in one pass: email, units,
+    """Everything the profile knows of a customer from the order lines, in one pass: email, units, qty,
     n_orders, n_dates, first_date, last_date and the 19 habit counts.
 
-    A line counts for three distinct keys of its customer: (order, weekday, slot), order, and date.
-    Each becomes a tagged row; the rows are made distinct (map-side first, so copies and hot
-    customers shrink to their distinct keys) and then counted per customer.
+    A line counts for two distinct keys of its customer: its order, with the (weekday, slot) of its lines as a bit
+    set, and 64 days of the calendar, with the dates as a bit set.  Each becomes a tagged row; rows of one key are
+    merged (map-side first, so copies and hot customers shrink to their distinct keys) and then counted
+    per customer.
     """
-    rows = lines.select("email", "order_id", purchase_date(lines).alias("order_date"),
-                        two_hour_slot(created_hour("created_at")).alias("slot"), line_units().alias("units"))
-    tagged = rows.select("*", F.explode(F.array(*map(F.lit, ("habit", "order", "date")))).alias("tag"))
-
-    def only(column, *tags):
-        return F.when(F.col("tag").isin(*tags), column)
-
-    keys = tagged.select(
-        "email", "tag", only(F.col("order_id"), "habit", "order").alias("order_id"),
-        only(F.col("order_date"), "date").alias("order_date"),
-        only(weekday_number("order_date"), "habit").alias("weekday"), only(F.col("slot"), "habit").alias("slot"),
-        only(F.col("units"), "order").alias("units"))
-    distinct = keys.groupBy("email", "tag", "order_id", "order_date", "weekday", "slot").agg(F.sum("units").alias("units"))
-    return distinct.groupBy("email").agg(
-        F.sum("units").alias("units"),
-        F.count(only(F.col("order_id"), "order")).alias("n_orders"), F.count("order_date").alias("n_dates"),
-        F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"),
-        *weekday_slot_aggs("weekday", "slot"))
+    date = purchase_date(lines)
+    # a null email is an empty one, as in the exports; a key that cannot be null keeps both readers' plans alike
+    rows = lines.select(F.coalesce("email", F.lit("")).alias("email"), "order_id", date.alias("order_date"), two_hour_slot(created_hour("created_at")).alias("slot"),
+                        line_units().alias("units"), quantity().alias("qty"))
+    rows = rows.select("*", bitsets.day_number(F.col("order_date")).alias("day"), weekday_number("order_date").alias("weekday"))
+    tagged = rows.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("of_order"))
+    of_order = F.col("of_order")
+    keyed = tagged.select(
+        "email", F.when(of_order, F.col("order_id")).alias("order_id"), F.when(~of_order, bitsets.word_of(F.col("day"))).alias("word"),
+        F.when(~of_order, bitsets.bit_of(F.col("day"))).alias("days"), F.when(~of_order, F.col("order_date")).alias("order_date"),
+        *[F.when(of_order, c).alias(name) for name, c in zip(bitsets.HABIT_COLUMNS, bitsets.habit_words(F.col("weekday"), F.col("slot")))],
+        *[F.when(of_order, F.col(c)).alias(c) for c in ("units", "qty")], "of_order")
+    merged = keyed.groupBy("email", "of_order", "order_id", "word").agg(
+        F.bit_or("days").alias("days"), F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"),
+        *[F.bit_or(c).alias(c) for c in bitsets.HABIT_COLUMNS], F.sum("units").alias("units"), F.sum("qty").alias("qty"))
+    return merged.groupBy("email").agg(
+        F.sum("units").alias("units"), F.sum("qty").alias("qty"), F.count_if("of_order").alias("n_orders"),
+        F.sum(F.bit_count("days")).alias("n_dates"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
+        *bitsets.habit_counts())
+
+
+def _population(rollup: DataFrame, details: DataFrame) -> DataFrame:
+    """One row: the total of every figure of the rollup over all customers, and n_known, the customers that are also
+    in the customer export.  It uses all of the rollup, so its plan below is the profile's own and runs once."""
+    known = details.select("email", F.lit(True).alias("known")).distinct()
+    figures = [F.sum(F.col(c).cast("decimal(31,0)")).alias(c) for c in ("units", "qty", "n_orders", "n_dates", *INDICATOR_COLUMNS)]
+    return rollup.join(known, "email", "left").agg(
+        *figures, F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"), F.count_if("known").alias("n_known"))
 
 
 def customer_profile(lines: DataFrame, customers: DataFrame, segments: DataFrame,
@@ -163,14 +175,15 @@ def customer_profile(lines: DataFrame, customers: DataFrame, segments: DataFrame
     """Wide row per customer: identity, value, segment, recency, frequency,
     weekday/slot habits, population averages and the score list.
 
-    The order lines are read twice: once for all per-customer columns
-    (``customer_rollup``) and once, three columns wide, for the population totals.
+    The order lines are read once: the customers and the population totals share ``customer_rollup``.
     """
     ref = as_of_col(as_of)
-    averages = global_averages(lines, customers).select(F.struct("avg_revenue", "avg_quantity")).scalar()
+    # the filter is always true: it makes both readers use every figure, so that they share one shuffle of the rollup
+    rollup, details = customer_rollup(lines).where("n_orders > 0 or qty is not null"), customer_details(customers)
+    total = _population(rollup, details).select(F.struct("*")).scalar()
     revenue = money(F.col("units"))
     gap = F.datediff("last_date", "first_date").cast("double")
-    out = (customer_rollup(lines).join(customer_details(customers), "email")
+    out = (rollup.join(details, "email")
            .join(segments.select("email", "segment"), "email", "left")
            .join(scores.select("email", "scores"), "email"))
     return out.select(
@@ -179,6 +192,7 @@ def customer_profile(lines: DataFrame, customers: DataFrame, segments: DataFrame
         F.datediff(ref, "first_date").alias("days_since_first_order"),
         F.datediff(ref, "last_date").alias("days_since_last_order"),
         *INDICATOR_COLUMNS,
-        averages.getField("avg_revenue").alias("avg_revenue"), averages.getField("avg_quantity").alias("avg_quantity"),
+        F.try_divide(money(total.getField("units")), total.getField("n_known")).alias("avg_revenue"),
+        F.try_divide(pieces(total.getField("qty")), total.getField("n_known")).alias("avg_quantity"),
         "scores",
     )
