@@ -329,6 +329,28 @@ EXPORT_FILES = _with(ORDER_LINES) + """
 SELECT order_id, email, status, created_at, CAST(qty AS DOUBLE) AS qty, 'Café ' || product AS product,
        CAST(price AS DOUBLE) AS price, sku FROM ol"""
 
+
+
+def _gap_rows_sql(src_cte: str, src: str) -> str:
+    return _with(src_cte, f"""
+pd AS (SELECT DISTINCT email, d FROM {src}),
+g AS (SELECT email, d, lead(d) OVER (PARTITION BY email ORDER BY d) AS nd FROM pd)""") + """
+SELECT email, d AS order_date, nd AS next_date, CAST(COALESCE(date_diff('day', d, nd), 0) AS INTEGER) AS days FROM g"""
+
+
+SHARED_ORDERS = _with(ORDER_LINES, """
+ps AS (SELECT product, list(DISTINCT order_id) AS orders FROM ol WHERE product LIKE '% widget' GROUP BY product)""") + """
+SELECT a.product AS product_1, b.product AS product_2, CAST(len(list_intersect(a.orders, b.orders)) AS BIGINT) AS n_orders
+FROM ps a JOIN ps b ON a.product < b.product"""
+
+EXPORT_REJECTS = _with(ORDER_LINES) + """
+SELECT CASE CAST(substr(order_id, 2) AS BIGINT) % 20 WHEN 1 THEN 'qty' WHEN 2 THEN 'price' WHEN 3 THEN 'created_at' ELSE 'kept' END AS reason,
+       COUNT(*) AS n_lines, COUNT(DISTINCT order_id) AS n_orders
+FROM ol GROUP BY 1"""
+
+CUSTOMER_FILES = _with(CUSTOMERS, SEGMENTS, SCORES) + """
+SELECT email, name, '12 "Old", ' || location AS location, attr12, segment, scores FROM cx LEFT JOIN seg USING (email) LEFT JOIN sc USING (email)"""
+
 ORACLE_SQL: dict[str, str] = {
     "bought_together": _pairs_sql(False),
     "bought_together_monthly": _pairs_sql(True),
@@ -362,4 +384,12 @@ ORACLE_SQL: dict[str, str] = {
     "csv_order_lines": CSV_ORDER_LINES,
     "order_export_files": EXPORT_FILES,
     "daily_summary_file": DAILY_SUMMARY,
+    "order_gap_rows": _gap_rows_sql(ORDER_LINES, "ol"),
+    "order_gap_rows_events": _gap_rows_sql(EVENTS, "ev"),
+    "bought_together_basket_arrays": _pairs_sql(False),
+    "shared_orders": SHARED_ORDERS,
+    "bought_together_published": _pairs_sql(False),
+    "weekly_visits_published": WEEKLY_VISITS,
+    "export_rejects": EXPORT_REJECTS,
+    "customer_export_files": CUSTOMER_FILES,
 }

@@ -279,6 +279,78 @@ def q_csv_order_lines(inp):
     return _plain_lines(parsed)
 
 
+# A noun of the test products: the pairs of one product type.
+OVERLAP_TYPE = "widget"
+
+
+def q_order_gap_rows(inp):
+    return plans.order_gap_rows(inp.lines())
+
+
+def q_order_gap_rows_events(inp):
+    return plans.order_gap_rows(inp.events())
+
+
+def q_bought_together_basket_arrays(inp):
+    return plans.bought_together_basket_arrays(inp.lines())
+
+
+def q_shared_orders(inp):
+    """Orders shared by every two products of one type, pairs without a common order included."""
+    lines = inp.lines()
+    of_type = lines.where(F.col("product").endswith(" " + OVERLAP_TYPE)).select("product").distinct()
+    others = of_type.select(F.lit(OVERLAP_TYPE).alias("kind"), F.col("product").alias("product_2"))
+    pairs = of_type.select(F.lit(OVERLAP_TYPE).alias("kind"), F.col("product").alias("product_1")).join(others, "kind")
+    return plans.shared_orders(lines, pairs.where("product_1 < product_2"))
+
+
+def q_bought_together_published(inp):
+    """The sorted pair view published as parquet and read back from there."""
+    path = run_folder(inp.spark, "bought-together", allow_local_default=True)
+    sinks.publish_view(plans.bought_together(inp.lines()), path)
+    return inp.spark.read.parquet(path)
+
+
+def q_customer_week_published(inp):
+    """The weekly visits published as CSV and read back from there."""
+    path = run_folder(inp.spark, "weekly-visits", allow_local_default=True)
+    view = plans.weekly_visits(inp.lines())
+    sinks.publish_view(view, path, "csv")
+    return inp.spark.read.csv(path, schema=view.schema, header=True, escape='"')
+
+
+def q_export_rejects(inp):
+    """Lines of a damaged export file by what became of them: of every twenty orders one has a quantity in words, one a price with too many
+    decimals and one a date in another format."""
+    lines = inp.lines()
+    turn = F.pmod(F.substring("order_id", 2, 20).cast("long"), F.lit(20))
+    damaged = lines.select("order_id", "email", "status", F.when(turn == 3, F.concat(F.lit("on "), "created_at")).otherwise(F.col("created_at")).alias("created_at"),
+                           F.when(turn == 1, "a few").otherwise(F.col("qty").cast("string")).alias("qty"), "product",
+                           F.when(turn == 2, F.concat(F.col("price").cast("string"), F.lit("5"))).otherwise(F.col("price").cast("string")).alias("price"), "sku")
+    path = run_folder(inp.spark, "damaged-export", allow_local_default=True)
+    testdata.export_text_of(inp.spark, damaged).write.text(path)
+    kept, rejects = exports.split_order_export(inp.spark.read.text(path))
+    both = kept.select(F.col("order_id"), F.lit("kept").alias("reason")).unionByName(
+        rejects.select(F.substring_index("line", ",", 1).alias("order_id"), "reason"))
+    return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("order_id").alias("n_orders"))
+
+
+def q_customer_export_files(inp):
+    """The customer, segment and score exports written as CSV files into new shared folders, read back by the
+    library's readers and joined by customer."""
+    def folder(rows, name):
+        path = run_folder(inp.spark, name, allow_local_default=True)
+        rows.write.option("header", "true").option("escape", '"').csv(path)
+        return path
+
+    customers = exports.read_customers_export(inp.spark, folder(testdata.customer_export_columns(inp.customers()), "customers"))
+    segments = exports.read_segments(inp.spark, folder(inp.segments(), "segments"))
+    scores = inp.scores().select("email", F.col("scores")[0].alias("score_1"), F.col("scores")[1].alias("score_2"))
+    scores = exports.read_scores(inp.spark, folder(scores, "scores"))
+    joined = exports.customer_details(customers).join(segments, "email", "left").join(scores, "email", "left")
+    return _joined_scores(joined.select("email", "name", "location", "attr12", "segment", "scores"))
+
+
 def _plain_lines(lines):
     return lines.select("order_id", "email", "status", "created_at", F.col("qty").cast("double").alias("qty"),
                         "product", F.col("price").cast("double").alias("price"), "sku")
@@ -333,6 +405,14 @@ VIEWS: dict[str, View] = {
     "csv_order_lines": q_csv_order_lines,
     "order_export_files": q_order_export_files,
     "daily_summary_file": q_daily_summary_file,
+    "order_gap_rows": q_order_gap_rows,
+    "order_gap_rows_events": q_order_gap_rows_events,
+    "bought_together_basket_arrays": q_bought_together_basket_arrays,
+    "shared_orders": q_shared_orders,
+    "bought_together_published": q_bought_together_published,
+    "weekly_visits_published": q_customer_week_published,
+    "export_rejects": q_export_rejects,
+    "customer_export_files": q_customer_export_files,
 }
 
 

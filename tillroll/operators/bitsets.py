@@ -67,11 +67,11 @@ def packed(rows: DataFrame, keys: Sequence[str], number: str) -> DataFrame:
             .groupBy(*keys, "word").agg(F.bit_or("bits").alias("bits")))
 
 
-def intersection_sizes(sets: DataFrame, key: str, first: str, second: str, size: str) -> DataFrame:
-    """(first, second, size): for every two keys (first < second) whose packed sets share a number, how many they
-    share.  ``sets``: (key, word, bits); keys meet on a word, so the work follows the words that two keys share."""
-    left = sets.select("word", F.col(key).alias(first), F.col("bits").alias("left_bits"))
-    right = sets.select("word", F.col(key).alias(second), F.col("bits").alias("right_bits"))
+def intersection_sizes(sets: DataFrame, pairs: DataFrame, key: str, first: str, second: str, size: str) -> DataFrame:
+    """(first, second, size) of the ``pairs`` (distinct rows) whose packed sets share a number.  ``sets``: (key, word,
+    bits).  A pair's words meet on (key, word), so the work follows the words of the first set of each pair."""
+    left = sets.select(F.col(key).alias(first), "word", F.col("bits").alias("left_bits"))
+    right = sets.select(F.col(key).alias(second), "word", F.col("bits").alias("right_bits"))
     both = F.bit_count(F.col("left_bits").bitwiseAND(F.col("right_bits")))
-    met = left.join(right, "word").where(F.col(first) < F.col(second))
+    met = left.join(pairs.select(first, second), first).join(right, [second, "word"])
     return met.groupBy(first, second).agg(F.sum(both).alias(size)).where(F.col(size) > 0)

@@ -71,3 +71,31 @@ def pair_counts(baskets: DataFrame, basket_keys: Sequence[str], item: str, *,
     left, right = blocked(dedup, heavy, keys, item, first, second)
     cut = left.join(right, [*keys, "left_part", "right_part"]).where(F.col(first) < F.col(second)).select(*group_keys, first, second)
     return light.unionByName(cut).groupBy(*group_keys, first, second).agg(F.count(F.lit(1)).alias(count))
+
+
+def basket_sets(baskets: DataFrame, keys: Sequence[str], item: str, block: int = 256) -> DataFrame:
+    """(keys..., n_parts, part, piece, items): every basket as sorted arrays of its distinct items, none longer than
+    ``block``.  A light basket is one array; a heavy one is gathered by (basket, part), so none of it meets elsewhere."""
+    dedup = distinct_items(baskets, keys, item)
+    heavy = heavy_baskets(dedup, keys, block)
+    light = basket_arrays(dedup, heavy, keys, item).select(*keys, F.lit(1).alias("n_parts"), F.lit(0).alias("part"), "items")
+    parted = dedup.join(heavy, list(keys)).withColumn("part", F.pmod(F.xxhash64(item), F.col("n_parts")).cast("int"))
+    large = parted.groupBy(*keys, "n_parts", "part").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    pieces = light.unionByName(large).withColumn("piece", F.explode(F.expr(f"sequence(0, cast((size(items) - 1) div {block} as int))")))
+    return pieces.select(*keys, "n_parts", "part", "piece", F.expr(
+        f"if(size(items) <= {block}, items, slice(items, piece * {block} + 1, {block}))").alias("items"))
+
+
+def set_pairs(sets: DataFrame, keys: Sequence[str], kept: Sequence[str], first: str, second: str) -> DataFrame:
+    """(kept..., first, second): every pair of items of a basket once, from its arrays (``basket_sets``): pairs inside
+    an array in place, pairs of a heavy basket's arrays by a join in which every two parts have their own key."""
+    inside = sets.where("size(items) > 1").select(*kept, F.expr(
+        "flatten(transform(items, (x, i) -> transform(slice(items, i + 2, size(items)), y -> struct(x, y))))").alias("pairs"))
+    heavy = sets.where("n_parts > 1")
+    left = heavy.select(*keys, F.col("part").alias("lo"), F.explode(F.expr("sequence(part, n_parts - 1)")).alias("hi"),
+                        F.col("piece").alias("left_piece"), F.col("items").alias("left_items"))
+    right = heavy.select(*keys, F.explode(F.expr("sequence(0, part)")).alias("lo"), F.col("part").alias("hi"), "piece", "items")
+    across = left.join(right, [*keys, "lo", "hi"]).where("lo < hi or left_piece < piece").select(*kept, F.expr(
+        "flatten(transform(left_items, x -> transform(items, y -> struct(least(x, y) as x, greatest(x, y) as y))))").alias("pairs"))
+    pairs = inside.unionByName(across).select(*kept, F.explode("pairs").alias("pair"))
+    return pairs.select(*kept, F.col("pair.x").alias(first), F.col("pair.y").alias(second))

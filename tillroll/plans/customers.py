@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import created_hour, two_hour_slot, weekday_number
 from tillroll.operators import bitsets
-from tillroll.operators.gaps import gap_summary
+from tillroll.operators.gaps import gap_summary, next_dates
 from tillroll.operators.histogram import fixed_range_histogram
 from tillroll.operators.indicators import INDICATOR_COLUMNS, weekday_slot_aggs
 from tillroll.plans._common import (
@@ -41,6 +41,11 @@ def order_gap(lines: DataFrame) -> DataFrame:
     return _date_summary(lines).select("email", "n_dates", "avg_gap")
 
 
+def order_gap_rows(lines: DataFrame) -> DataFrame:
+    """email, order_date, next_date, days: every distinct purchase date with the days to the customer's next one."""
+    return next_dates(_purchase_dates(lines), "email", "order_date")
+
+
 def order_frequency_histogram(lines: DataFrame) -> DataFrame:
     """range_label, n_customers over customers with a non-zero average gap.
 

@@ -73,10 +73,20 @@ def typed_order_lines(df: DataFrame) -> DataFrame:
     return out.select(*ORDER_LINE_COLUMNS)
 
 
-def _exact(name: str, to: T.DataType) -> Column:
+def _number(name: str, to: T.DataType) -> tuple[Column, Column, Column]:
+    """Text, value and whether the value is exactly the text's number."""
     text = F.trim(F.col(name).cast("string"))
     wide, out = text.try_cast("decimal(38,10)"), text.try_cast("decimal(38,10)").try_cast(to)
-    kept = out.isNotNull() & (out.cast("decimal(38,10)") == wide) & text.rlike(r"^[^.]*(\.\d{0,10})?$")
+    return text, out, out.isNotNull() & (out.cast("decimal(38,10)") == wide) & text.rlike(r"^[^.]*(\.\d{0,10})?$")
+
+
+def _is_kept(name: str, to: T.DataType) -> Column:
+    text, _, kept = _number(name, to)
+    return text.isNull() | (text == "") | F.coalesce(kept, F.lit(False))
+
+
+def _exact(name: str, to: T.DataType) -> Column:
+    text, out, kept = _number(name, to)
     return (F.when(text.isNull() | (text == ""), F.lit(None).cast(to)).when(kept, out)
             .otherwise(F.raise_error(F.concat(F.lit(f"{name} cannot be kept exactly: "), text)).cast(to)).alias(name))
 
@@ -95,6 +105,21 @@ def parse_order_export(text: DataFrame, line_col: str = "value") -> DataFrame:
     return typed_order_lines(parsed.select(*[F.col("r." + c).alias(c) for c in ORDER_EXPORT_POSITIONS]))
 
 
+def split_order_export(text: DataFrame, line_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(order lines, rejects): the lines that ``parse_order_export`` would accept, and the others as they
+    stand, (line, reason).  The reason names the first field that cannot be kept: ``qty``, ``price`` or ``created_at``.
+    Both read the same parse; lines that are no order lines (header, notes) are in neither."""
+    rows = text.where(F.col(line_col).startswith("#"))
+    # the fields come out of a generator, so that filters on them do not repeat the parse
+    parse = F.from_csv(F.col(line_col), ORDER_EXPORT_SCHEMA.simpleString(), _CSV_OPTIONS)
+    fields = rows.select(F.col(line_col).alias("line"), F.inline(F.array(parse))).select("line", *ORDER_EXPORT_POSITIONS)
+    date = F.col("created_at").cast("string")
+    reason = (F.when(~_is_kept("qty", QTY_TYPE), "qty").when(~_is_kept("price", PRICE_TYPE), "price")
+              .when(created_date("created_at").isNull() & (F.coalesce(date, F.lit("")) != ""), "created_at"))
+    judged = fields.withColumn("reason", reason)
+    return typed_order_lines(judged.where("reason is null")), judged.where("reason is not null").select("line", "reason")
+
+
 def read_order_export(spark: SparkSession, path: str) -> DataFrame:
     """Order export CSV file(s); splittable, one task per file block."""
     return parse_order_export(spark.read.text(path))

@@ -72,6 +72,15 @@ def customers_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_export_columns(customers: DataFrame) -> DataFrame:
+    """Customers in the columns of the customer export, unread ones filled in, names with commas and quotes."""
+    from tillroll.sources.exports import CUSTOMER_EXPORT_POSITIONS
+    by_pos = {pos: F.col(name) for name, pos in CUSTOMER_EXPORT_POSITIONS.items()}
+    by_pos[CUSTOMER_EXPORT_POSITIONS["address1"]] = F.concat(F.lit('12 "Old", '), "address1")
+    return customers.select(*[by_pos.get(i, F.lit(_EXPORT_FILLER.get(i, ""))).alias(f"column_{i}")
+                              for i in range(max(CUSTOMER_EXPORT_POSITIONS.values()) + 1)])
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segment file of every customer."""
     c = table(spark, sf_dir, "customer")
