@@ -348,6 +348,13 @@ SELECT CASE CAST(substr(order_id, 2) AS BIGINT) % 20 WHEN 1 THEN 'qty' WHEN 2 TH
        COUNT(*) AS n_lines, COUNT(DISTINCT order_id) AS n_orders
 FROM ol GROUP BY 1"""
 
+STORED_VIEWS = f"""
+WITH gaps AS ({_gap_sql(ORDER_LINES, "ol")}),
+rec AS ({RECENCY}),
+habits AS ({_habits_sql(ORDER_LINES, "ol")})
+SELECT email, n_dates, avg_gap, days_since_first_order, days_since_last_order, sunday, h00
+FROM gaps JOIN rec USING (email) JOIN habits USING (email)"""
+
 CUSTOMER_FILES = _with(CUSTOMERS, SEGMENTS, SCORES) + """
 SELECT email, name, '12 "Old", ' || location AS location, attr12, segment, scores FROM cx LEFT JOIN seg USING (email) LEFT JOIN sc USING (email)"""
 
@@ -392,4 +399,5 @@ ORACLE_SQL: dict[str, str] = {
     "weekly_visits_published": WEEKLY_VISITS,
     "export_rejects": EXPORT_REJECTS,
     "customer_export_files": CUSTOMER_FILES,
+    "stored_lines_views": STORED_VIEWS,
 }

@@ -53,6 +53,50 @@ def _summary(spark, df):
     return summarise(qe.explainString(mode))
 
 
+def test_report_lines_meet_before_their_cells(spark):
+    plan = _plan(catalog.QUERIES["revenue_by_type_long"](spark, SMOKE)).split("Generate inline")
+    # the cells are spread above the join of the two reports, never below an exchange
+    assert len(plan) == 2 and "Join" in plan[1] and "Exchange" not in plan[0]
+
+
+def _without_broadcasts(spark, make):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        df = make()
+        df._jdf.queryExecution().toRdd().count()
+        return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_stored_buckets_need_no_shuffle(spark, tmp_dir):
+    from tillroll import plans
+    from tillroll.operators.cooccurrence import basket_arrays, distinct_items, heavy_baskets
+    from tillroll.sources import sinks
+    lines = catalog.TestDataInputs(spark, SMOKE).lines()
+    by_email = sinks.store_bucketed_lines(lines, "email", tmp_dir + "/e", 4)
+    assert "Exchange" not in _without_broadcasts(spark, lambda: plans.order_gap(by_email))
+    assert "Exchange" not in _without_broadcasts(spark, lambda: plans.order_gap(by_email).join(plans.recency(by_email, "2001-08-01"), "email"))
+    assert sorted(map(str, plans.order_gap(by_email).collect())) == sorted(map(str, plans.order_gap(lines).collect()))
+    by_order = sinks.store_bucketed_lines(lines, "order_id", tmp_dir + "/o", 4)
+
+    def arrays():
+        dedup = distinct_items(by_order, ["order_id"], "product")
+        return basket_arrays(dedup, heavy_baskets(dedup, ["order_id"], 256), ["order_id"], "product")
+    assert "Exchange" not in _without_broadcasts(spark, arrays)
+
+
+def test_a_hot_key_is_not_stored_in_buckets(spark, tmp_dir):
+    from tillroll.sources import sinks
+    lines = spark.range(9000).selectExpr("if(id % 3 = 0, 'hot', concat('c', id)) AS email", "id")
+    stored = sinks.store_bucketed_lines(lines, "email", tmp_dir + "/h", 16)
+    assert stored.count() == 9000 and "spread" in stored.inputFiles()[0]
+    even = sinks.store_bucketed_lines(lines.where("email != 'hot'"), "email", tmp_dir + "/v", 16)
+    assert even.count() == 6000 and "buckets" in even.inputFiles()[0]
+
+
 def test_product_rollups_share_one_partitioning(spark):
     s = _summary(spark, catalog.QUERIES["product_week_revenue"](spark, SMOKE))
     shuffles, reused, bhj, smj, shj = s["main"]

@@ -279,6 +279,15 @@ def q_csv_order_lines(inp):
     return _plain_lines(parsed)
 
 
+def q_stored_lines_views(inp):
+    """Gaps, recency and weekday habits of every customer, three views of order lines that were parsed and stored once."""
+    spark = inp.spark
+    stored = sinks.store_bucketed_lines(inp.lines(), "email", run_folder(spark, "lines-by-email", allow_local_default=True),
+                                        2 * spark.sparkContext.defaultParallelism)
+    habits = plans.day_hour_profile(stored).select("email", "sunday", "h00")
+    return plans.order_gap(stored).join(plans.recency(stored, AS_OF), "email").join(habits, "email")
+
+
 # A noun of the test products: the pairs of one product type.
 OVERLAP_TYPE = "widget"
 
@@ -413,6 +422,7 @@ VIEWS: dict[str, View] = {
     "weekly_visits_published": q_customer_week_published,
     "export_rejects": q_export_rejects,
     "customer_export_files": q_customer_export_files,
+    "stored_lines_views": q_stored_lines_views,
 }
 
 

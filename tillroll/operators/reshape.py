@@ -15,6 +15,12 @@ def explode_positions(df: DataFrame, fields: Column, keep: Sequence[str],
     return exploded.where(F.col(pos_col) >= first_pos)
 
 
+def zip_positions(arrays: dict[str, Column]) -> Column:
+    """Arrays matched by position, as one array of structs that ends with the shortest of them."""
+    n = F.least(*[F.size(a) for a in arrays.values()])
+    return F.arrays_zip(*[F.slice(a, F.lit(1), n).alias(name) for name, a in arrays.items()])
+
+
 def header_axis(header_fields: Column, header: DataFrame, parse, first_pos: int = 1,
                 trailing: int = 5, key_col: str = "key") -> DataFrame:
     """(file, pos, key) for header fields ``[first_pos : -trailing]``, parsed by ``parse``."""

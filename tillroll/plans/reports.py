@@ -8,13 +8,13 @@ header line, and only the positions the header names are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import parse_day_header, parse_month_header
 from tillroll.functions.text import csv_fields, naive_fields
 from tillroll.operators.growth import cmgr_expr
-from tillroll.operators.reshape import explode_positions, header_axis, rows_to_columns
+from tillroll.operators.reshape import explode_positions, header_axis, rows_to_columns, zip_positions
 from tillroll.operators.scalars import scalar_struct
 from tillroll.sources.reports import body_lines, line_at
 
@@ -56,18 +56,25 @@ def revenue_by_type_long(revenue_report: DataFrame, profit_report: DataFrame) ->
     more than one stops the query.
     """
     revenue_report, profit_report = one_report(revenue_report), one_report(profit_report)
-    header = line_at(revenue_report, 0)
-    months = header_axis(naive_fields(F.col("line")), header, parse_month_header,
-                         trailing=HEADER_TRAILING_COLUMNS, key_col="month").select("pos", "month")
-    rev = _cells(revenue_report, naive_fields).select(
-        "line_no", "pos", F.col("label").alias("type"), F.col("value").alias("rev_text"))
-    gp = _cells(profit_report, naive_fields).select(
-        "line_no", "pos", F.col("value").alias("gp_text"))
-    out = rev.join(months, "pos").join(gp, ["line_no", "pos"])
+    named = naive_fields(F.col("line"))
+    months = F.transform(F.slice(named, F.lit(2), F.greatest(F.size(named) - 1 - HEADER_TRAILING_COLUMNS, F.lit(0))), parse_month_header)
+    axis = line_at(revenue_report, 0).select(months).scalar()
+    rev, gp = _body_fields(revenue_report, "rev"), _body_fields(profit_report, "gp")
+    # lines meet on their number, and only then are their cells matched by position and spread into rows
+    cells = zip_positions({"month": axis, "rev_text": _after_label("rev"), "gp_text": _after_label("gp")})
+    out = rev.join(gp, "line_no").select(F.col("rev").getItem(0).alias("type"), F.inline(cells))
     return out.select("month", F.col("rev_text").try_cast("double").alias("revenue"),
                       F.col("gp_text").try_cast("double").alias("gross_profit"), "type")
 
 
+def _body_fields(report: DataFrame, name: str) -> DataFrame:
+    return body_lines(report, HEADER_LINES, FOOTER_LINES).select("line_no", naive_fields(F.col("line")).alias(name))
+
+
+def _after_label(fields: str) -> Column:
+    return F.slice(F.col(fields), F.lit(2), F.greatest(F.size(fields) - 1, F.lit(0)))
+
+
 def daily_sales_summary(report: DataFrame) -> DataFrame:
     """date, revenue, cost_of_goods, gross_profit, margin from the daily report
     (one file; more than one stops the query)."""

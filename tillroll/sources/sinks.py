@@ -15,6 +15,26 @@ def store_order_lines(lines: DataFrame, path: str, n_files: int) -> None:
     lines.repartitionByRange(n_files, "order_date", "order_id").sortWithinPartitions("order_date").write.parquet(path)
 
 
+def store_bucketed_lines(lines: DataFrame, by: str, path: str, n_buckets: int, max_share: float = 4.0) -> DataFrame:
+    """Parsed order lines stored once as a table of ``n_buckets`` hash buckets of ``by`` (``order_id`` or ``email``), sorted
+    by it; returns the table.  Views that group or join by that column read it without a shuffle, so several
+    views share one parse and one exchange.
+
+    A bucket is read by one task.  If one holds more than ``max_share`` times the average (a hot key), the
+    stored rows are written again without buckets, and views then shuffle them with their map-side combine.
+    """
+    spark = lines.sparkSession
+    name = f"lines_by_{by}_{uuid.uuid4().hex}"
+    (lines.repartition(n_buckets, by).write.bucketBy(n_buckets, by).sortBy(by).option("path", f"{path.rstrip('/')}/buckets").saveAsTable(name))
+    table = spark.table(name)
+    sizes = table.groupBy(F.pmod(F.hash(by), F.lit(n_buckets)).alias("bucket")).count().agg(F.max("count"), F.sum("count")).first()
+    if sizes[1] and sizes[0] * n_buckets > max_share * sizes[1]:
+        spread = f"{path.rstrip('/')}/spread"
+        table.repartition(n_buckets).write.parquet(spread)
+        return spark.read.schema(table.schema).parquet(spread)
+    return table
+
+
 def write_view(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
                partition_by: list[str] | None = None) -> None:
     """Write a view as parquet (default) or CSV with a header for BI tools.
