@@ -466,6 +466,19 @@ def test_fold_equals_brute_force(spark):
     assert {c: sorted(m) for c, m in got.items()} == expect
 
 
+def test_the_log_of_the_query_regenerates_and_edits(spark):
+    rows = [(1, t, ["user", "assistant"][t % 2], f"text {t} " * 40) for t in range(7)]
+    log = chat.events_of(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), piece_chars=50)
+    events = [(tuple(r.seq), r.turn, r.kind, r.role, r.text) for r in log.collect()]
+    assert brute_fold(events) == [(t + 1, role, text) for _, t, role, text in rows]
+    order = sorted(events)
+    again = [k for k, e in enumerate(order) if e[2] == "regenerate" and any(x[1] > e[1] for x in order[:k])]
+    late = [k for k, e in enumerate(order) if e[2] == "edit" and any(x[1] > e[1] + 1 for x in order[:k])]
+    assert again and late  # several turns back, and under later turns
+    plan = chat.messages(log)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(conv_id") <= 2 and "Join" not in plan
+
+
 def test_chat_round_trip(spark):
     texts = ["</s>[INST] ok [/INST]", chat.END, chat.ROLE + "user\n", "<\\|x <\\\\| <", "", None, "a\\", "<" * 5 + "|", "é\U0001f600" * 500, chat.NEWLINE]
     rows = [(c, t, ["user", "assistant", "we\nird", None][(c + t) % 4], texts[(c * 3 + t) % len(texts)]) for c in range(12) for t in range(c)]

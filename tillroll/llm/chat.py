@@ -6,10 +6,11 @@ Events: (conv_id, seq, turn, kind, role, text).  Within a conversation they appl
 ``regenerate`` discards the message at ``turn`` and all later turns; what follows builds them anew.  A
 delta or edit for a turn with no message is ignored.
 
-Fold: the log is partitioned by conversation and sorted by sequence.  What counts for a message is
-decided by windows over the log (the last regenerate that hits it, its last open, its last edit), and a
-message's text is the join of the deltas after that, one group per message.  No group holds more than one
-message's events.
+Fold: the log is partitioned by conversation and streams past sorted by turn and, within a turn, by sequence.  One
+message is open at a time and takes its openings, deltas and edits in the order of seq.  What a regeneration discards at
+later turns is every event there that came before it, so of all regenerations at earlier turns only the latest matters: the
+fold carries that one mark along, and the result is that of applying the whole log in the order of seq.  A task holds one
+batch and one message, however long the conversation.
 
 Template: a message renders as ``<|role|>`` + role + newline + text + ``<|end|>`` + newline.  In roles and
 texts a ``<`` followed by any number of backslashes and ``|`` gets one backslash more before the ``|`` (and a newline
@@ -27,6 +28,9 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from tillroll.llm.common import small_batches
 
 ROLE, END, NEWLINE = "<|role|>", "<|end|>\n", "<|nl|>"
 LOSS_ROLES = ("assistant",)
@@ -36,26 +40,49 @@ def messages(events: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text): the final messages."""
     log = (events.select("conv_id", "seq", "turn", "kind", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
            .where("conv_id is not null and seq is not null and turn is not null"))
-    log = log.select("*", F.struct("seq", "turn", "kind", "role", "text").alias("at"))
-    # a regenerate at turn t discards what stood at t and later: for each turn the last one at or before it
-    cut = (log.where("kind = 'regenerate'").groupBy("conv_id", "turn").agg(F.max("at").alias("cut"))
-           .withColumnRenamed("turn", "cut_turn"))
-    turns = log.where("kind = 'open'").groupBy("conv_id", "turn").agg(F.max("at").alias("opened"), F.max_by("role", "at").alias("role"))
-    marks = turns.select("conv_id", "turn", "opened", "role", F.lit(None).cast(cut.schema["cut"].dataType).alias("cut")).unionByName(
-        cut.select("conv_id", F.col("cut_turn").alias("turn"), F.lit(None).cast(turns.schema["opened"].dataType).alias("opened"),
-                   F.lit(None).cast("string").alias("role"), "cut"))
-    upto = Window.partitionBy("conv_id").orderBy("turn").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    alive = (marks.withColumn("cut", F.max("cut").over(upto)).where("opened is not null and (cut is null or opened > cut)")
-             .select("conv_id", "turn", "role", "opened"))
-    # the last opening or edit sets the text, and the deltas after it are appended in order
-    edits = log.where("kind in ('open', 'edit')").groupBy("conv_id", "turn").agg(F.max("at").alias("base"))
-    base = alive.join(edits, ["conv_id", "turn"])
-    tail = (log.where("kind in ('open', 'edit', 'delta')").select("conv_id", "turn", "kind", "at", "text")
-            .join(base, ["conv_id", "turn"]).where("at >= base and (kind = 'delta' or at = base)"))
-    return (tail.groupBy("conv_id", "turn").agg(F.first("role").alias("role"), F.sort_array(F.collect_list(F.struct("at", "text"))).alias("parts"))
-            # the opening or edit that sets the text may stand several times in the log: it sets it once
-            .select("conv_id", "turn", "role", F.expr(
-                "concat_ws('', transform(filter(parts, (x, i) -> i = 0 or x.at.kind = 'delta'), x -> x.text))").alias("text")))
+    names = ["conv_id", "turn", "role", "text"]
+
+    def run(batches):
+        at, cut, message = None, None, None  # (conversation, turn), the latest regeneration so far, [role, texts]
+        for batch in batches:
+            out = []
+            for conv, seq, turn, kind, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "seq", "turn", "kind", "role", "text"))):
+                if at != (conv, turn):
+                    if message:
+                        out.append((*at, message[0], "".join(message[1])))
+                    if at is None or at[0] != conv:
+                        cut = None
+                    at, message = (conv, turn), None
+                now = (_ordered(seq), turn, kind is not None, kind or "", role, text)
+                if kind == "regenerate":
+                    cut, message = now if cut is None else max(cut, now), None
+                elif cut is not None and now < cut:
+                    continue  # discarded by a regeneration that came later
+                elif kind == "open":
+                    message = [role, [text]]
+                elif message and kind == "delta":
+                    message[1].append(text)
+                elif message and kind == "edit":
+                    message[1] = [text]
+            yield _batch(out, names, types)
+        if message:
+            yield _batch([(*at, message[0], "".join(message[1]))], names, types)
+
+    fields = {f.name: f.dataType for f in log.schema.fields}
+    types = [to_arrow_type(fields[c]) for c in names]
+    order = ["conv_id", "turn", "seq", "kind", "role", "text"]
+    return (small_batches(log).repartition("conv_id").sortWithinPartitions(*order)
+            .mapInArrow(run, ", ".join(f"{c} {fields[c].simpleString()}" for c in names)))
+
+
+def _ordered(value):
+    """A sequence value (a number or text, or a struct of them) that compares as Spark sorts it."""
+    return tuple((v is not None, v) for v in value.values()) if isinstance(value, dict) else value
+
+
+def _batch(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
 
 def escaped(text: Column) -> Column:
@@ -121,31 +148,28 @@ def read_back(pieces: DataFrame) -> DataFrame:
                     state[2] += len(learnt)
                     state[3].update(learnt.encode())
                 state[4] += len(piece)
-            yield digest(out)
+            yield _batch(out, names, types)
         if state:
-            yield digest([row()])
-
-    def digest(out):
-        cols = list(zip(*out)) if out else [[]] * 6
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+            yield _batch([row()], names, types)
 
-    from pyspark.sql.pandas.types import to_arrow_type
     of = pieces.schema["conv_id"].dataType
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     types = [to_arrow_type(of), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-    return (pieces.repartition("conv_id").sortWithinPartitions("conv_id", "turn")
+    return (small_batches(pieces).repartition("conv_id").sortWithinPartitions("conv_id", "turn")
             .mapInArrow(run, f"conv_id {of.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"))
 
 
 def events_of(rows: DataFrame, piece_chars: int = 200) -> DataFrame:
-    """A streamed log of finished ``rows`` (conv_id, turn, role, text): each message opens, a first draft
-    arrives, is regenerated (assistant) or edited away (others), and then the text arrives in deltas.  Rows of
-    one turn keep the order of role and text.  This only gives rows in the log's schema."""
+    """A streamed log of finished ``rows`` (conv_id, turn, role, text) in three passes over each conversation: every turn
+    is opened and drafted; every fourth turn is regenerated, which discards it and the drafts of all later turns, and all
+    turns are opened again, those of the assistant with their text in deltas; last, the other turns are edited and get theirs,
+    while later turns stand.  Rows of one turn keep the order of role and text.  This only gives rows in the log's schema."""
     place = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")).cast("long")
     each = rows.select("conv_id", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), place.alias("turn"))
-    each = each.select("*", F.explode(F.expr(f"sequence(0, 3 + cast(ceil(length(text) / {piece_chars}) as int))")).alias("i"))
-    part = F.expr(f"substring(text, if(i = 1, 0, i - 4) * {piece_chars} + 1, {piece_chars})")
-    kind = F.expr("case when i = 0 then 'open' when i = 2 then if(role = 'assistant', 'regenerate', 'edit') "
-                  "when i = 3 and role = 'assistant' then 'open' else 'delta' end")
-    return each.select("conv_id", F.struct("turn", "i").alias("seq"), "turn", kind.alias("kind"), "role",
-                       F.when(F.col("i").isin(0, 2, 3), "").otherwise(part).alias("text"))
+    each = each.withColumn("late", F.expr("cast(role != 'assistant' as int)"))  # one event more: the edit
+    each = each.select("*", F.explode(F.expr(f"sequence(0, 3 + late + cast(ceil(length(text) / {piece_chars}) as int))")).alias("i"))
+    part = F.expr(f"substring(text, if(i = 1, 0, i - 4 - late) * {piece_chars} + 1, {piece_chars})")
+    kind = F.expr("case when i = 2 and turn % 4 = 1 then 'regenerate' when i in (0, 2, 3) then 'open' when i = 4 and late = 1 then 'edit' else 'delta' end")
+    seq = F.struct(F.expr("case when i < 2 then 1 when i < 4 or late = 0 then 2 else 3 end").alias("pass"), "turn", "i")
+    return each.select("conv_id", seq.alias("seq"), "turn", kind.alias("kind"), "role",
+                       F.when(F.col("i").isin(0, 2, 3) | (kind == "edit"), "").otherwise(part).alias("text"))
