@@ -339,9 +339,9 @@ SELECT email, d AS order_date, nd AS next_date, CAST(COALESCE(date_diff('day', d
 
 
 SHARED_ORDERS = _with(ORDER_LINES, """
-ps AS (SELECT product, list(DISTINCT order_id) AS orders FROM ol WHERE product LIKE '% widget' GROUP BY product)""") + """
+ps AS (SELECT product, list(DISTINCT order_id) AS orders FROM ol GROUP BY product)""") + """
 SELECT a.product AS product_1, b.product AS product_2, CAST(len(list_intersect(a.orders, b.orders)) AS BIGINT) AS n_orders
-FROM ps a JOIN ps b ON a.product < b.product"""
+FROM ps a JOIN ps b ON a.product < b.product AND split_part(a.product, ' ', -1) = split_part(b.product, ' ', -1)"""
 
 EXPORT_REJECTS = _with(ORDER_LINES) + """
 SELECT CASE CAST(substr(order_id, 2) AS BIGINT) % 20 WHEN 1 THEN 'qty' WHEN 2 THEN 'price' WHEN 3 THEN 'created_at' ELSE 'kept' END AS reason,

@@ -288,10 +288,6 @@ def q_stored_lines_views(inp):
     return plans.order_gap(stored).join(plans.recency(stored, AS_OF), "email").join(habits, "email")
 
 
-# A noun of the test products: the pairs of one product type.
-OVERLAP_TYPE = "widget"
-
-
 def q_order_gap_rows(inp):
     return plans.order_gap_rows(inp.lines())
 
@@ -305,11 +301,10 @@ def q_bought_together_basket_arrays(inp):
 
 
 def q_shared_orders(inp):
-    """Orders shared by every two products of one type, pairs without a common order included."""
+    """Orders shared by every two products of one type (the last word of the name), pairs without a common order included."""
     lines = inp.lines()
-    of_type = lines.where(F.col("product").endswith(" " + OVERLAP_TYPE)).select("product").distinct()
-    others = of_type.select(F.lit(OVERLAP_TYPE).alias("kind"), F.col("product").alias("product_2"))
-    pairs = of_type.select(F.lit(OVERLAP_TYPE).alias("kind"), F.col("product").alias("product_1")).join(others, "kind")
+    typed = lines.select("product").distinct().withColumn("kind", F.substring_index("product", " ", -1))
+    pairs = typed.withColumnRenamed("product", "product_1").join(typed.withColumnRenamed("product", "product_2"), "kind")
     return plans.shared_orders(lines, pairs.where("product_1 < product_2"))
 
 
