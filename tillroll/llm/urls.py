@@ -5,10 +5,13 @@ with the rule's path; the longest rule wins.
 
 Trees: URLs that a rule fits are the labelled URLs (block 1, allow 0).  Features: lengths of URL, host and
 path, depth, host labels, digit ratio, character entropy, parameter count, hyphens, and suffix statistics: the
-smoothed share of blocked among the labelled URLs of the same last host label and of the same last two labels,
-counted over all labelled URLs.  Trees of ``depth`` levels
+smoothed share of blocked among the labelled URLs of the same last host label and of the same last two labels.
+Statistics are counted in ``FOLDS`` folds of hosts: a labelled URL sees all folds but its own, so neither its
+own label nor one of its host is among its features; any other URL sees all of them.  Trees of ``depth`` levels
 on quantile bins are boosted in numpy on logistic loss with at most ``fit_rows`` labelled URLs, drawn by a hash.
 
+``held_out`` judges the labelled URLs of one fold of hosts with trees and statistics of the other folds.
+
 A null URL or one without ``://`` has an empty host and path and is judged by the trees from its other
 features.  With no labelled URL, or labels of one kind, every other URL gets that share (none: allow).
 Repeated rows keep their rows.
@@ -21,6 +24,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +32,7 @@ from tillroll.llm.common import written
 
 FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens",
             "suffix_blocked", "domain_blocked")
+FOLDS = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -113,29 +118,43 @@ def suffixes(df: DataFrame) -> DataFrame:
     return df.withColumn("suffix", F.substring_index("host", ".", -1)).withColumn("domain", F.substring_index("host", ".", -2))
 
 
+def fold(host: Column) -> Column:
+    return F.pmod(F.xxhash64(host, F.lit("url-fold")), F.lit(FOLDS)).cast("int")
+
+
 def with_statistics(urls: DataFrame, smooth: float = 5.0) -> DataFrame:
     """``urls`` (with host and label, null if unlabelled) plus the suffix statistics.  The counts come from all
-    labelled URLs; each is a table with one row per suffix, joined back by the suffix."""
-    urls = suffixes(urls)
+    labelled URLs; each is a table with one row per suffix and an array of folds, joined back by the suffix."""
+    urls = suffixes(urls).withColumn("fold", fold(F.col("host")))
     for key, name in (("suffix", "suffix_blocked"), ("domain", "domain_blocked")):
+        def by_fold(value: Column) -> Column:
+            return F.array(*[F.sum(F.when(F.col("fold") == i, value).otherwise(0.0)) for i in range(FOLDS)])
+
         counts = written(urls.where("label is not null").groupBy(F.col(key).alias("k")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum("label").alias("blocked")), "url-suffixes")
-        urls = (urls.join(counts, F.col(key) == F.col("k"), "left")
-                .withColumn(name, (F.coalesce("blocked", F.lit(0.0)) + smooth / 2) / (F.coalesce("n", F.lit(0)) + smooth))
-                .drop("k", "n", "blocked"))
+            by_fold(F.lit(1.0)).alias("n"), by_fold(F.col("label")).alias("blocked")), "url-suffixes")
+        urls = urls.join(counts, F.col(key) == F.col("k"), "left")
+
+        def seen(column: str) -> Column:
+            whole = F.aggregate(column, F.lit(0.0), lambda a, x: a + x)
+            return F.coalesce(F.when(F.col("label").isNull(), whole).otherwise(whole - F.col(column)[F.col("fold")]), F.lit(0.0))
+
+        urls = urls.withColumn(name, (seen("blocked") + smooth / 2) / (seen("n") + smooth)).drop("k", "n", "blocked")
     return urls
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url",
-          fit_rows: int = 20_000, block_at: float = 0.5) -> DataFrame:
+          fit_rows: int = 20_000, block_at: float = 0.5, hidden_fold: int | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict, blocked): one row for each row of ``pages``; ``blocked``: the trees'
-    probability of block, also where a rule decides."""
+    probability of block, also where a rule decides.  Labels of hosts in ``hidden_fold`` are not learnt from."""
     url = F.col(url_col).cast("string")
     host, path = parts(F.coalesce(url, F.lit("")))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("fit", ruled(F.col("host"), F.col("path"), rules))
     rows = rows.withColumn("label", F.when(F.col("fit.action") == "block", 1.0).when(F.col("fit.action") == "allow", 0.0))
-    rows = with_statistics(rows).select("page_id", "url", "host", "path", F.col("fit.rule").alias("rule"), "label", "suffix_blocked", "domain_blocked")
+    if hidden_fold is not None:
+        rows = rows.withColumn("label", F.when(fold(F.col("host")) != hidden_fold, F.col("label")))
+    rows = with_statistics(rows).select("page_id", "url", "host", "path", F.col("fit.rule").alias("rule"), "fit.action", "label",
+                                        "suffix_blocked", "domain_blocked")
 
     def features(part: pa.RecordBatch) -> np.ndarray:
         cols = [part.column(c).to_pylist() for c in ("url", "host", "path", "suffix_blocked", "domain_blocked")]
@@ -153,10 +172,18 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "pa
     def run(batches):
         for batch in batches:
             p = shared.value.blocked(features(batch))
-            label = batch.column("label").to_numpy(zero_copy_only=False)
-            block = np.where(np.isnan(label), p >= block_at, label == 1)
+            own = pa.array(np.where(p >= block_at, "block", "allow").tolist(), pa.string())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("page_id", "host", "path", "rule")],
-                                              pa.array(np.where(block, "block", "allow").tolist(), pa.string()), pa.array(p)],
+                                              pc.coalesce(batch.column("action"), own), pa.array(p)],
                                              ["page_id", "host", "path", "rule", "verdict", "blocked"])
 
     return rows.mapInArrow(run, "page_id long, host string, path string, rule string, verdict string, blocked double")
+
+
+def held_out(pages: DataFrame, rules: list[tuple[str, str, str]], hidden_fold: int = 0, block_at: float = 0.5, **options) -> DataFrame:
+    """(suffix, n, blocked, right): URLs of the hidden fold's hosts that a rule labels, by last host label: their
+    number, how many the rules block, and how many the trees, which saw none of these hosts, judge alike."""
+    rows = judge(pages, rules, block_at=block_at, hidden_fold=hidden_fold, **options)
+    block = F.col("verdict") == "block"
+    return (suffixes(rows.where(F.col("rule").isNotNull() & (fold(F.col("host")) == hidden_fold))).groupBy("suffix").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(block).alias("blocked"), F.count_if(block == (F.col("blocked") >= block_at)).alias("right")))
