@@ -254,6 +254,42 @@ def test_trees_learn_lexical_features():
     assert urls.lexical("http://ab-1.c/d/e?x=1&y#z?w=2", "ab-1.c", "/d/e")[3:6] == (2, 2, 3 / 29)
 
 
+def test_a_url_does_not_see_labels_of_its_own_fold(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, f"h{rng.integers(9)}.{rng.choice(['a', 'b'])}.{rng.choice(['x', 'y'])}", float(rng.integers(2)) if i % 3 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, host string, label double")
+    got = urls.with_statistics(df.unionByName(df.where("page_id < 20"))).collect()
+    folds = {r.host: r.f for r in df.select("host", urls.fold(F.col("host")).alias("f")).collect()}
+    rows += rows[:20]
+    assert len(got) == len(rows)
+    for r in got:
+        for n, value in ((1, r.suffix_blocked), (2, r.domain_blocked)):
+            seen = [y for _, h, y in rows if y is not None and h.split(".")[-n:] == r.host.split(".")[-n:]
+                    and (r.label is None or folds[h] != folds[r.host])]
+            assert value == pytest.approx((sum(seen) + 2.5) / (len(seen) + 5))
+
+
+def test_registered_url_filter_equals_one_url_at_a_time(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    got = {r.page_id: r for r in queries.op3_url_filter(spark, SF).collect()}
+    assert set(got) == {r.page_id for r in pages} and len(got) == len(pages)
+    for r in pages:
+        host, path = brute_host_path(r.url)
+        fits = [(len(h + p), h + p, a) for a, h, p in queries.URL_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        mine = got[r.page_id]
+        assert (mine.host, mine.path, mine.rule) == (host, path, max(fits)[1] if fits else None)
+        assert mine.verdict == (max(fits)[2] if fits else "block" if mine.blocked >= 0.5 else "allow")
+
+
+def test_long_urls_and_held_out_hosts(spark):
+    rows = [(i, f"http://h{i % 40}.{'net' if i % 2 else 'org'}/{'fr' if i % 4 else 'x'}/{i}") for i in range(400)] + [(999, "http://h1.net/" + "ab/9?" * 100_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    assert {r.page_id: r.verdict for r in urls.judge(pages, RULES).collect()}[999] == "block"
+    out = [urls.held_out(pages, RULES, hidden_fold=f).collect() for f in range(urls.FOLDS)]
+    assert sum(r.n for rows in out for r in rows) == urls.judge(pages, RULES).where("rule is not null").count()
+    assert all(r.right <= r.n and r.blocked in (0, r.n) for rows in out for r in rows)
+
+
 def test_urls_empty(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string"), RULES).count() == 0
 
@@ -573,6 +609,49 @@ def test_language_model_awkward(spark):
 
 # 9 licences
 
+def test_wrapped_licence_notices(spark, sf_docs):
+    wrapped = {
+        "BSD-3-Clause": "some words here\n * Redistribution and use in source and\n * binary forms, with or without\n * modification, are permitted\nother words",
+        "GPL-3.0": "# plain\n# you may use it under the terms\n# of the GNU General Public License\n# as published by the Free Software Foundation,\n"
+                   "# either version 3 of the License\n",
+        "ISC": "Permission to use, copy, modify, and/or\ndistribute this software for any purpose\nwith or without fee is hereby granted",
+        "MIT": "\n\n" + "\n".join("Permission is hereby granted, free of charge, to any person obtaining a copy of this software".split())}
+    first = {"BSD-3-Clause": (1, 3), "GPL-3.0": (1, 4), "ISC": (0, 3), "MIT": (2, 16)}
+    two = "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.\nReleased under the MIT License."
+    cut = "Redistribution and use in source and\n\nbinary forms, with or without modification, are permitted"
+    long = "x y " * 50_000 + "\nReleased under\nthe MIT License.\n" + "x y " * 50_000
+    more = docs_df(spark, [*wrapped.values(), two, cut, long]).withColumn("doc_id", F.col("doc_id") + 10_000_000)
+    more = more.unionByName(more.where("doc_id = 10000004"))
+    got = licenses.scan(sf_docs.unionByName(more.select(sf_docs.columns))).where("doc_id >= 10000000 and confirmed").collect()
+    by_doc = defaultdict(list)
+    for r in got:
+        by_doc[r.doc_id - 10_000_000].append((r.family, r.paragraph, r.n_lines))
+    for i, family in enumerate(wrapped):
+        assert [f for f, _, _ in by_doc[i]] == [family], (family, by_doc[i])
+        assert by_doc[i][0][1] >= first[family][0] and by_doc[i][0][1] + by_doc[i][0][2] <= sum(first[family])
+    lines = [("CC-BY-NC-4.0", 0, 1), ("MIT", 1, 1), ("MIT", 2, 1)]
+    assert sorted(by_doc[4]) == sorted(lines + lines)  # a repeated row has findings of its own
+    assert all(n == 1 for _, _, n in by_doc[5]) and by_doc[6] == [("MIT", 1, 2)]
+
+
+def test_windows_equal_brute_force(spark):
+    rng = np.random.default_rng(2)
+    longest, single = 5, ["k", "m"]
+    texts = ["\n".join(" ".join(rng.choice(["k", "m", "a", "b"], rng.choice([0, 1, 2, 4, 9], p=[.1, .4, .2, .2, .1]))) for _ in range(12)) for _ in range(30)]
+    got = sorted((r.doc_id, r.paragraph, r.n_lines, tuple(r.w)) for r in licenses.windows(
+        licenses.bodies(docs_df(spark, [*texts, None, "", "\n"])), single, longest).collect())
+    want = []
+    for d, text in enumerate(texts):
+        lw = [x.split() for x in text.split("\n")]
+        held = [bool(set(x) & set(single)) for x in lw]
+        for i in range(len(lw)):
+            for j in range(i, len(lw)):
+                if held[i] and held[j] and all(lw[i: j + 1]) and sum(map(len, lw[i + 1: j])) <= longest:
+                    parts = [lw[i]] if i == j else [lw[i][-longest:], *lw[i + 1: j], lw[j][:longest]]
+                    want.append((d, i, j - i + 1, tuple(w for p in parts for w in p)))
+    assert got == sorted(want)
+
+
 def test_licences_found_and_confirmed(spark, sf_docs):
     lines = ["Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "Licensed under CC BY-NC 4.0.",
              "This work is licensed under the GNU General Public License, version 3."]
