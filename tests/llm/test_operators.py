@@ -599,6 +599,38 @@ def test_the_model_learns_from_texts_outside_its_sample(spark):
     assert sum(r.score for r in got) / sum(r.n_tokens for r in got) > math.log10(0.6)
 
 
+def test_registered_scores_equal_one_token_at_a_time(spark, sf_docs, monkeypatch):
+    caught, refine = {}, lm.refine
+    monkeypatch.setattr(lm, "refine", lambda *a: caught.setdefault("model", refine(*a)))
+    got = {r.doc_id: r for r in queries.op8_lm_scores(spark, SF).collect()}
+    docs = {r.doc_id: [w.translate(str.maketrans(urls.UPPER, urls.LOWER)) for w in re.findall(r"[^\x20\x09-\x0D]+", r.text or "")] for r in sf_docs.collect()}
+    train = [words for i, words in docs.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = Counter(w for words in train for w in words)
+    head = sorted(counts, key=lambda w: (-counts[w], w))[:lm.HEAD]
+    place = {w: i for i, w in enumerate(head)}
+    mass, size = Counter(), Counter()
+    for w in counts:
+        if w not in place:
+            mass[lm.tail_class(w)] += counts[w]
+            size[lm.tail_class(w)] += 1
+    m, end = caught["model"], len(head) + lm.TAILS
+    assert set(got) == set(docs) and len(m["b"]) == end + 1
+    for i, words in docs.items():
+        if len(words) > 600:
+            continue
+        before, total = [end + 1] * lm.CONTEXT, 0.0
+        for w in [*words, None]:
+            c = end if w is None else place.get(w, len(head) + lm.tail_class(w))
+            vec = sum(m["r"][before[-1 - k]].astype(float) @ m["m"][k] for k in range(lm.CONTEXT))
+            odds = m["q"].astype(float) @ vec + m["b"]
+            total += (odds[c] - np.log(np.exp(odds).sum())) / math.log(10)
+            if w is not None and w not in place:
+                t = lm.tail_class(w)
+                total += math.log10((counts[w] + 0.5) / (mass[t] + 0.5 * (size[t] + 1)))
+            before.append(c)
+        assert got[i].score == pytest.approx(total, abs=1e-3 + 1e-5 * abs(total)) and got[i].n_tokens == len(words) + 1
+
+
 def test_language_model_awkward(spark):
     rows = lm.scores(awkward(spark), held_out("doc_id", 5, 1)).collect()
     assert len(rows) == 11 and all(np.isfinite(r.score) and np.isfinite(r.base_score) for r in rows)

@@ -13,8 +13,8 @@ product with that vector plus a bias.  It starts from noise-contrastive estimati
 ``fit_tokens`` tokens of training texts drawn by a hash (a text of more than ``PIECE_CHARS`` characters gives a
 piece of that length from a place drawn by a hash), and is then trained on every token of every training
 text: in each of ``ROUNDS`` rounds every block goes on from the shared parameters over its part of
-the round, and the blocks' changes are averaged by tokens.  The parts of all rounds hold each token once, and
-up to ``ROUNDS`` times in a small corpus.  A token's probability is the class's softmax
+the round, and the blocks' changes are averaged by tokens.  The parts of all rounds hold each token once,
+whatever the size of the corpus.  A token's probability is the class's softmax
 over all classes (batched matrix products over the distinct contexts of a block), times, for
 a tail class, the word's share (c + 0.5) / (N_class + 0.5 (V_class + 1)) in it; so the
 probabilities are normalised.
@@ -39,6 +39,7 @@ from tillroll.llm.common import small_batches, written
 HEAD, TAILS, DIM, CONTEXT = 959, 64, 24, 2
 PIECE_CHARS = 20_000
 ROUNDS = 6
+NOISE = 256
 NAMES = ("r", "q", "m", "b")
 FIXED = float(1 << 40)  # changes are summed as integers, so in any order
 
@@ -168,11 +169,9 @@ def classed(blocks: DataFrame, known: list[str], tails: int) -> DataFrame:
     return blocks.mapInArrow(run, "block long, payload binary")
 
 
-def refine(lines: DataFrame, model: dict, counts: np.ndarray, n_tokens: int, least: int = 2_400_000) -> dict:
-    """``model`` trained on every token of ``lines``; a corpus under ``least`` tokens is gone through up to ``ROUNDS`` times."""
-    sc, classes = lines.sparkSession.sparkContext, len(counts)
-    passes = next(p for p in (1, 2, 3, ROUNDS) if p * n_tokens >= least or p == ROUNDS)
-    parts = ROUNDS // passes
+def refine(lines: DataFrame, model: dict, counts: np.ndarray, n_tokens: int, noise: int) -> dict:
+    """``model`` trained once on every token of ``lines``, a ``ROUNDS``-th of every block in each round."""
+    sc, classes, parts = lines.sparkSession.sparkContext, len(counts), ROUNDS
     share = (counts + 0.5) / (counts + 0.5).sum()
     now = [model[x] for x in NAMES] + model["seen"]
     usual = n_tokens / parts
@@ -189,13 +188,12 @@ def refine(lines: DataFrame, model: dict, counts: np.ndarray, n_tokens: int, lea
                     if not len(line):
                         continue
                     ctx, word = contexts(np.split(line, np.flatnonzero(line == classes - 1)[:-1] + 1), classes)
-                    k = turn % parts
-                    lo, hi = len(word) * k // parts, len(word) * (k + 1) // parts
+                    lo, hi = len(word) * turn // parts, len(word) * (turn + 1) // parts
                     rng = np.random.default_rng([block, turn])
                     order = lo + rng.permutation(hi - lo)
                     size = int(np.clip((hi - lo) // 64, 64, 2048))
                     x = [p.copy() for p in start]
-                    descend(x[:4], x[4:], ctx, word, (order[i: i + size] for i in range(0, len(order), size)), share, rng, noise=64)
+                    descend(x[:4], x[4:], ctx, word, (order[i: i + size] for i in range(0, len(order), size)), share, rng, noise)
                     total += np.rint(np.concatenate([(p.astype(float) - q).ravel() for p, q in zip(x, start)])
                                      * ((hi - lo) / usual * FIXED)).astype(np.int64)
                     n += hi - lo
@@ -217,8 +215,8 @@ def refine(lines: DataFrame, model: dict, counts: np.ndarray, n_tokens: int, lea
             cuts = np.cumsum([x.size for x in now])[:-1]
             now = [(x + d.reshape(x.shape) / FIXED * (usual / n)).astype(np.float32) for x, d in zip(now, np.split(total, cuts))]
         shared.unpersist()
-    if learnt != passes * n_tokens:
-        raise RuntimeError(f"the model learnt from {learnt} tokens, not from {passes} x {n_tokens}")
+    if learnt != n_tokens:
+        raise RuntimeError(f"the model learnt from {learnt} tokens, not from {n_tokens}")
     return dict(zip(NAMES, now))
 
 
@@ -260,9 +258,9 @@ def log_probabilities(model: dict, ctx: np.ndarray, word: np.ndarray, chunk: int
 
 
 def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD, tails: int = TAILS,
-           fit_tokens: int = 400_000, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+           fit_tokens: int = 400_000, block_bytes: int = BLOCK_BYTES, noise: int = NOISE) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; rows for which
-    ``held_out`` holds are not learnt from."""
+    ``held_out`` holds are not learnt from.  ``noise``: noise words a step in the rounds over the corpus."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), held_out.alias("held_out"))
     blocks = written(packed(small_batches(rows), "text", block_bytes), "lm-blocks")
     counts = written(word_counts(blocks, tails), "lm-counts")
@@ -284,7 +282,7 @@ def scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     corpus = np.concatenate(([r["c"] for r in top], mass, [n_texts]))
 
     model = train(_sample(texts, place, len(known), tails, classes, n_texts, fit_tokens), classes, corpus)
-    model = refine(written(classed(blocks, known, tails), "lm-classes"), model, corpus, n_tokens) if n_tokens else {x: model[x] for x in NAMES}
+    model = refine(written(classed(blocks, known, tails), "lm-classes"), model, corpus, n_tokens, noise) if n_tokens else {x: model[x] for x in NAMES}
     model |= {"known": known, "mass": mass, "size": size, "n": n_tokens, "v": v_tokens, "ends": n_texts, "tails": tails}
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
