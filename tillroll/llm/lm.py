@@ -118,7 +118,7 @@ def descend(params: list[np.ndarray], seen: list[np.ndarray], ctx: np.ndarray, w
             s += grad * grad
             x += rate * grad / np.sqrt(s)
         else:
-            order = np.argsort(at, kind="stable")
+            order = np.argsort(at.astype(np.min_scalar_type(len(x))), kind="stable")  # short integers sort faster
             first = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]])
             rows, g = at[order][first], np.add.reduceat(grad[order], first, axis=0)
             s[rows] += g * g
@@ -130,10 +130,11 @@ def descend(params: list[np.ndarray], seen: list[np.ndarray], ctx: np.ndarray, w
         vec = [r[c[:, i]] for i in range(CONTEXT)]
         h = sum(v @ m[i] for i, v in enumerate(vec))
         true = 1 / (1 + np.exp(np.clip(((h * q[w]).sum(1) + b[w] - log_noise[w]), -30, 30)))  # 1 - P(data)
-        fake = h @ q[other].T  # P(data), in place
-        fake += b[other] - log_noise[other]
-        np.negative(np.clip(fake, -30, 30, out=fake), out=fake)
-        np.exp(fake, out=fake)
+        # P(data), in place, from the negated odds; the exponent's overflow is a probability of 0
+        fake = -h @ q[other].T
+        fake -= b[other] - log_noise[other]
+        with np.errstate(over="ignore"):
+            np.exp(fake, out=fake)
         fake += 1
         np.divide(np.float32(1 / batch), fake, out=fake)
         true = (true / batch).astype(np.float32)
