@@ -188,10 +188,10 @@ def refine(lines: DataFrame, model: dict, counts: np.ndarray, n_tokens: int, noi
                     line = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), "<i4").astype(np.int64)
                     if not len(line):
                         continue
-                    ctx, word = contexts(np.split(line, np.flatnonzero(line == classes - 1)[:-1] + 1), classes)
-                    lo, hi = len(word) * turn // parts, len(word) * (turn + 1) // parts
+                    lo, hi = len(line) * turn // parts, len(line) * (turn + 1) // parts
+                    ctx, word = part_contexts(line, lo, hi, classes)
                     rng = np.random.default_rng([block, turn])
-                    order = lo + rng.permutation(hi - lo)
+                    order = rng.permutation(hi - lo)
                     size = int(np.clip((hi - lo) // 64, 64, 2048))
                     x = [p.copy() for p in start]
                     descend(x[:4], x[4:], ctx, word, (order[i: i + size] for i in range(0, len(order), size)), share, rng, noise)
@@ -234,7 +234,18 @@ def contexts(tokens: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarr
     return np.stack([line[at - 1 - i] for i in range(CONTEXT)], 1), line[at]
 
 
-def log_probabilities(model: dict, ctx: np.ndarray, word: np.ndarray, chunk: int = 2048) -> np.ndarray:
+def part_contexts(line: np.ndarray, lo: int, hi: int, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """``contexts`` of the positions ``lo`` to ``hi`` of ``line``, in which every text ends with the class ``start`` - 1."""
+    head = np.concatenate((np.full(CONTEXT, start - 1, np.int64), line[max(0, lo - CONTEXT): hi]))[-(hi - lo + CONTEXT):]
+    out, inside = np.empty((hi - lo, CONTEXT), np.int64), np.ones(hi - lo, bool)
+    for i in range(CONTEXT):
+        before = head[CONTEXT - 1 - i: len(head) - 1 - i]
+        inside &= before != start - 1  # an end before here: another text
+        out[:, i] = np.where(inside, before, start)
+    return out, line[lo:hi]
+
+
+def log_probabilities(model: dict, ctx: np.ndarray, word: np.ndarray, chunk: int = 256) -> np.ndarray:
     """Natural log of the normalised probability of each class after its context."""
     classes = len(model["b"])
     key = ctx[:, 0]
@@ -251,10 +262,12 @@ def log_probabilities(model: dict, ctx: np.ndarray, word: np.ndarray, chunk: int
         h = sum(model["r"][c[:, i]] @ model["m"][i] for i in range(CONTEXT))
         logits = h @ model["q"].T + model["b"]
         top = logits.max(1, keepdims=True)
-        norm = np.log(np.exp(logits - top).sum(1)) + top[:, 0]
+        logits -= top
         mine = order[cuts[k]: cuts[k + 1]]
         at = group[cuts[k]: cuts[k + 1]] - lo
-        out[mine] = logits[at, word[mine]] - norm[at]
+        out[mine] = logits[at, word[mine]]
+        np.exp(logits, out=logits)
+        out[mine] -= np.log(logits.sum(1))[at]
     return out
 
 
