@@ -399,10 +399,45 @@ def test_probes_come_in_order_of_cost():
     assert sets[0] == [] and cost == sorted(cost) and len({tuple(sorted(s)) for s in sets}) == 27
 
 
+def test_codes_bound_the_distances_of_their_vectors():
+    rng = np.random.default_rng(12)
+    for dim, size in ((1, 1.0), (64, 1e-200), (64, 1.0), (64, 1e150), (64, 1e300), (1500, 3.0)):
+        v = rng.normal(size=(60, dim)) * size
+        v[0], v[1], v[2] = v[3], v[3] * 1000 if size < 1e300 else v[3], v[3] / 1e9
+        codes = ann.Codes(ann.coded(v), dim)
+        least, most = codes.bounds(codes)
+        with np.errstate(over="ignore"):
+            exact = np.sqrt(((v[:, None] - v) ** 2).sum(2))
+        assert (least <= exact).all() and (exact <= most).all() and not np.isnan(least).any()
+        if size == 1.0 and dim == 64:
+            assert np.median(most - least) < 0.02 * np.median(exact)
+
+
+def test_only_surely_beaten_pairs_are_dropped():
+    rng = np.random.default_rng(13)
+    qid, pid = rng.integers(0, 6, 400), rng.integers(0, 90, 400)
+    least = (qid * 31 + pid * 17) % 23 / 4.0  # a pair has the same bounds wherever it is found
+    most = least + 0.5 + (pid % 3) / 4
+    for k in (1, 5, 80):
+        got = {(q, p) for q, p, _, _ in zip(*ann.unbeaten(qid, pid, least, most, k))}
+        want = set()
+        for q in set(qid):
+            own = {(m, p): lo for q2, p, lo, m in zip(qid, pid, least, most) if q2 == q}
+            limit = sorted(m for m, _ in own)[k] if len(own) > k else np.inf
+            want |= {(q, p) for (_, p), lo in own.items() if lo <= limit}
+        assert got == want
+    assert all(len(c) == 0 for c in ann.unbeaten(qid[:0], pid[:0], least[:0], most[:0], 3))
+
+
 def test_neighbours_small_tables(spark):
     two = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert [(r.query_id, r.id) for r in ann.nearest(two, F.col("id") == 0).collect()] == [(0, 1)]
     assert ann.nearest(two.limit(0), F.col("id") == 0).count() == 0
+    wide = spark.createDataFrame([(0, [1e300, 0.0]), (1, [-1e300, 1.0]), (2, [1e300, 1e290])], "vec_id long, embedding array<double>")
+    assert [r.id for r in ann.nearest(wide, F.col("id") == 0).orderBy("rank").collect()] == [1, 2]  # both distances overflow: ties
+    single = spark.createDataFrame([(0, [0.1, 0.2]), (1, [0.3, 0.4])], "vec_id long, embedding array<float>")
+    f = np.array([0.1, 0.2, 0.3, 0.4], np.float32).astype(float)
+    assert ann.nearest(single, F.col("id") == 0).first().score == np.sqrt(((f[:2] - f[2:]) ** 2).sum())
 
 
 def test_neighbours_of_mixed_norms_and_isolated_queries(spark):

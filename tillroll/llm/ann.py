@@ -12,10 +12,15 @@ vector at the distance of the last one listed would lie in a visited bucket with
 ``cover`` (from the query's places in its buckets, over the Gaussian projections): queries far from
 the others, or of a larger norm.  So a list is short only if there are fewer candidates than k.
 
+Postings and visits carry no vector but a code: one byte a component, the scale, and the length of what
+the rounding left out.  Two codes bound the distance from both sides, so a task returns those candidates of
+a query that can be among its k + 1 nearest, and drops only those that k + 1 others surely beat.  The
+vectors themselves join the few pairs that are left, for the exact distance.
+
 A bucket with more than ``block`` vectors is cut into blocks that are searched apart, so no bucket
-meets in one task and no candidate is dropped; a task returns only the k + 1 nearest of each
-(query, block).  Equal vectors are one posting with their k + 1 smallest ids, which is all that a
-list of k needs, and equal queries are searched once.
+meets in one task and no candidate is dropped.  Blocks grow with the input where more than ``LARGE`` buckets
+would need cutting: only that many are ever broadcast.  Equal vectors are one posting with their k + 1
+smallest ids, which is all that a list of k needs, and equal queries are searched once.
 
 Vectors that are null, empty, zero, hold null or non-finite components or have another length
 than most take no part, as neither queries nor candidates; neither do null ids.  Ties go to the smaller
@@ -29,12 +34,16 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import written
 
+# Most buckets that are cut into blocks: their keys and sizes go to every task (16 MB).
+LARGE = 1_000_000
+# Distances bounded at a time, and pairs held before a task drops the beaten ones.
+CELLS, HELD_PAIRS = 1 << 19, 1 << 18
+
 
 def perturbations(x: np.ndarray, probes: int) -> list[list[tuple[int, int]]]:
     """Sets of (projection, -1 or +1) in estimated success order, the empty set first; ``x``: the
@@ -69,9 +78,80 @@ def chance(place: np.ndarray, far: float, probes: int) -> float:
     return 1 - missed
 
 
+def bucket_keys(table: int, at: np.ndarray) -> np.ndarray:
+    """A 63-bit key for each row of ``at`` (bucket numbers on the table's projections)."""
+    def mixed(h):
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return h ^ (h >> np.uint64(31))
+
+    key = mixed(np.full(len(at), table + 1, np.uint64))
+    for column in at.astype(np.int64).view(np.uint64).T:
+        key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
+    return (key >> np.uint64(1)).astype(np.int64)
+
+
+def coded(vec: np.ndarray) -> pa.Array:
+    """For each row: scale, length of the rounding error (doubles), then one signed byte a component."""
+    with np.errstate(all="ignore"):
+        scale = np.maximum(np.abs(vec).max(1, initial=0.0) / 127, np.finfo(float).tiny)
+        code = np.clip(np.rint(vec / scale[:, None]), -127, 127).astype(np.int8)
+        left = np.sqrt(((vec - scale[:, None] * code) ** 2).sum(1)) * (1 + 1e-9)
+    raw = np.concatenate([np.stack([scale, left], 1).astype("<f8").view(np.uint8).reshape(len(vec), 16), code.view(np.uint8)], 1)
+    return pa.array([r.tobytes() for r in raw], pa.binary())
+
+
+class Codes:
+    """Codes read back, with squared lengths."""
+
+    def __init__(self, codes: pa.Array, dim: int):
+        raw = np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(-1, 16 + dim)
+        self.scale, self.left = np.ascontiguousarray(raw[:, :16]).view("<f8").T
+        # sums of byte products are whole numbers: single precision holds them exactly up to 2 ** 24
+        self.code = raw[:, 16:].view(np.int8).astype(np.float32 if dim * 127 ** 2 < 1 << 24 else np.float64)
+        with np.errstate(all="ignore"):
+            self.square = self.scale ** 2 * (self.code.astype(np.float64) ** 2).sum(1)
+
+    def part(self, lo: int, hi: int) -> Codes:
+        out = object.__new__(Codes)
+        out.scale, out.left, out.code, out.square = self.scale[lo:hi], self.left[lo:hi], self.code[lo:hi], self.square[lo:hi]
+        return out
+
+    @staticmethod
+    def joined(parts: list[Codes]) -> Codes:
+        out = object.__new__(Codes)
+        out.scale, out.left, out.code, out.square = (np.concatenate([getattr(p, c) for p in parts]) for c in ("scale", "left", "code", "square"))
+        return out
+
+    def bounds(self, points: Codes) -> tuple[np.ndarray, np.ndarray]:
+        """(least, greatest) distance of every row to every one of ``points``; 0 and infinity where numbers overflow."""
+        with np.errstate(all="ignore"):
+            both = self.square[:, None] + points.square
+            far = np.sqrt(np.maximum(both - 2 * (self.scale[:, None] * points.scale) * (self.code @ points.code.T), 0))
+            slack = self.left[:, None] + points.left + 1e-7 * np.sqrt(both)  # the last term: rounding of doubles
+            least, most = far - slack, far + slack
+        bad = ~np.isfinite(most)
+        least[bad], most[bad] = 0, np.inf
+        return least, most
+
+
+def unbeaten(qid: np.ndarray, pid: np.ndarray, least: np.ndarray, most: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The pairs, once each and by (qid, most, pid), that can be among a query's k + 1 nearest of those given."""
+    order = np.lexsort((pid, most, qid))
+    qid, pid, least, most = qid[order], pid[order], least[order], most[order]
+    once = np.r_[True, (qid[1:] != qid[:-1]) | (pid[1:] != pid[:-1])][: len(qid)]
+    qid, pid, least, most = qid[once], pid[once], least[once], most[once]
+    first = np.flatnonzero(np.r_[True, qid[1:] != qid[:-1]][: len(qid)])
+    size = np.diff(np.r_[first, len(qid)])
+    limit = np.where(size > k, most[np.minimum(first + k, len(qid) - 1)], np.inf) if len(qid) else np.empty(0)
+    keep = least <= np.repeat(limit, size)
+    return qid[keep], pid[keep], least[keep], most[keep]
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, vec array<double>) of the rows that take part."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    """(id, vec) of the rows that take part; vectors of floats stay so, others are doubles."""
+    single = vectors.schema[vec_col].dataType.simpleString() == "array<float>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<float>" if single else "array<double>").alias("vec"))
     rows = rows.where("id is not null and vec is not null and size(vec) > 0 "
                       "and forall(vec, x -> coalesce(not isnan(x) and abs(x) < double('infinity'), false)) and exists(vec, x -> x != 0)")
     most = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
@@ -99,97 +179,159 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     b = rng.uniform(0, width, (tables, hashes))
     shared = vectors.sparkSession.sparkContext.broadcast((a, b))
 
-    def bucket(table: int, at: np.ndarray) -> int:
-        return xxhash.xxh64_intdigest(np.r_[table, at].astype("<i8").tobytes()) >> 1
-
-    def post(is_probe: bool):
-        def run(batches):
-            a, b = shared.value
-            for batch in batches:
-                for lo in range(0, len(batch), 512):
-                    part = batch.slice(lo, 512)
-                    vec = matrix(part.column("vec"), a.shape[1])
-                    own, key = [], []
-                    for t in range(tables):
-                        place = (vec @ a[t] + b[t]) / width
-                        base = np.floor(place).astype(np.int64)
-                        for i in range(len(part)):
-                            for moves in perturbations(place[i] - base[i], probes) if is_probe else [[]]:
-                                at = base[i].copy()
-                                for j, d in moves:
-                                    at[j] += d
-                                own.append(i)
-                                key.append(bucket(t, at))
-                    own = pa.array(own, pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), part.column("id").take(own), part.column("vec").take(own)],
-                                                     ["key", "id", "vec"])
-        return run
-
-    schema = "key long, id long, vec array<double>"
-    index = points.select(F.col("pid").alias("id"), "vec").mapInArrow(post(False), schema)
-    size = index.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    # the planner takes a task's output for as large as its input, and would broadcast the visits of few queries
-    held = (index.hint("merge").join(size, "key").select("key", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("blk"),
-                                           F.lit(0).alias("kind"), "id", "vec"))
-    visits = (wanted.select(F.col("qid").alias("id"), "vec").mapInArrow(post(True), schema).hint("merge").join(size, "key")
-              .select("key", F.explode(F.expr("sequence(0, blocks - 1)")).alias("blk"), F.lit(1).alias("kind"), "id", "vec"))
+    dim = data.shape[1]
+    n_points = points.count()
+    block = max(block, -(-tables * n_points // LARGE))  # at most LARGE buckets hold more
+
+    def places(vec):
+        a, b = shared.value
+        for t in range(tables):
+            place = (vec @ a[t] + b[t]) / width
+            base = np.floor(place)
+            yield t, base.astype(np.int64), place - base
+
+    def keys_only(batches):
+        for batch in batches:
+            for t, base, _ in places(matrix(batch.column("vec"), dim)):
+                yield pa.RecordBatch.from_arrays([pa.array(bucket_keys(t, base))], ["key"])
+
+    cut = (points.select("vec").mapInArrow(keys_only, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") > block).select("key", F.ceil(F.col("n") / block).cast("long").alias("blocks")).orderBy("key").toArrow())
+    large = vectors.sparkSession.sparkContext.broadcast(tuple(cut.column(c).to_numpy() for c in ("key", "blocks")))
+
+    def blocks_of(key):
+        name, blocks = large.value
+        if not len(name):
+            return np.ones(len(key), np.int64)
+        i = np.minimum(np.searchsorted(name, key), len(name) - 1)
+        return np.where(name[i] == key, blocks[i], 1)
+
+    def post(batches):
+        for batch in batches:
+            vec, own = matrix(batch.column("vec"), dim), batch.column("id")
+            code, salt = coded(vec), bucket_keys(0, own.to_numpy(zero_copy_only=False).reshape(-1, 1))
+            for t, base, _ in places(vec):
+                key = bucket_keys(t, base)
+                yield posting(key, salt % blocks_of(key), 0, own, code)
+
+    def visit(batches):
+        for batch in batches:
+            for lo in range(0, len(batch), 64):
+                part = batch.slice(lo, 64)
+                vec = matrix(part.column("vec"), dim)
+                own, code = part.column("id"), coded(vec)
+                for t, base, place in places(vec):
+                    moves = [(i, m) for i in range(len(part)) for m in perturbations(place[i], probes)]
+                    of = np.array([i for i, _ in moves], np.int64)
+                    at = base[of]
+                    for row, (_, m) in zip(at, moves):
+                        for j, d in m:
+                            row[j] += d
+                    key = bucket_keys(t, at)
+                    blocks = blocks_of(key)
+                    blk = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                    take = pa.array(np.repeat(of, blocks))
+                    yield posting(np.repeat(key, blocks), blk, 1, own.take(take), code.take(take))
+
+    def posting(key, blk, kind, own, code):
+        return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(blk, pa.int32()), pa.array(np.full(len(key), kind, np.int32)), own, code],
+                                          ["key", "blk", "kind", "id", "code"])
+
+    def only_coded(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("id"), coded(matrix(batch.column("vec"), dim))], ["id", "code"])
+
+    schema = "key long, blk int, kind int, id long, code binary"
 
     def search(batches):
-        at, ids, vecs = None, [], []  # the points of the block at hand
+        at, ids, codes = None, [], []  # the points of the block at hand
+        held, size = [], 0
         for batch in batches:
-            key, blk, kind = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "blk", "kind"))
-            own, vec = batch.column("id").to_numpy(zero_copy_only=False), matrix(batch.column("vec"), data.shape[1])
+            key, blk, kind, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "blk", "kind", "id"))
+            code = Codes(batch.column("code"), dim)
             new = np.flatnonzero((key[1:] != key[:-1]) | (blk[1:] != blk[:-1]) | (kind[1:] != kind[:-1])) + 1
-            out: list[list[np.ndarray]] = [[], [], []]
             for lo, hi in zip(np.r_[0, new], np.r_[new, len(key)]):
+                if hi == lo:
+                    continue
                 if at != (at := (key[lo], blk[lo])):
-                    ids, vecs = [], []
+                    ids, codes = [], []
                 if kind[lo] == 0:
                     ids.append(own[lo:hi])
-                    vecs.append(vec[lo:hi])
+                    codes.append(code.part(lo, hi))
                 elif ids:
-                    have, points = np.concatenate(ids), np.concatenate(vecs)
-                    ids, vecs = [have], [points]
-                    for q in range(lo, hi):
-                        score = np.sqrt(((points - vec[q]) ** 2).sum(1))
-                        near = np.argpartition(score, k)[: k + 1] if len(score) > k + 1 else np.arange(len(score))
-                        if len(score) > k + 1:  # equal distances at the cut: by id
-                            near = np.flatnonzero(score <= score[near].max())
-                            near = near[np.lexsort((have[near], score[near]))[: k + 1]]
-                        for x, y in zip(out, (np.full(len(near), own[q]), have[near], score[near])):
-                            x.append(y)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["qid", "pid", "score"])
+                    ids, codes = [np.concatenate(ids)], [Codes.joined(codes)]
+                    step = max(1, CELLS // len(ids[0]))
+                    for i in range(lo, hi, step):
+                        j = min(i + step, hi)
+                        least, most = code.part(i, j).bounds(codes[0])
+                        limit = np.partition(most, k, axis=1)[:, k] if most.shape[1] > k else np.full(j - i, np.inf)
+                        q, p = np.nonzero(least <= limit[:, None])
+                        held.append((own[i:j][q], ids[0][p], least[q, p], most[q, p]))
+                        size += len(q)
+                        if size > HELD_PAIRS:
+                            held = [unbeaten(*map(np.concatenate, zip(*held)), k)]
+                            size = len(held[0][0])
+                            if size > HELD_PAIRS // 2:
+                                yield pairs(held.pop())
+                                size = 0
+        if held:
+            yield pairs(unbeaten(*map(np.concatenate, zip(*held)), k))
+
+    def pairs(columns):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["qid", "pid", "least", "most"])
+
+    def settle(batches):  # sorted by query and bound; of the last query only what is still unbeaten is held
+        last = None
+        for batch in batches:
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("qid", "pid", "least", "most")]
+            if not len(batch):
+                continue
+            now = unbeaten(*(map(np.concatenate, zip(last, now)) if last else now), k)
+            done = np.searchsorted(now[0], now[0][-1])
+            yield pairs([c[:done] for c in now]).select(["qid", "pid"])
+            last = [c[done:] for c in now]
+        if last:
+            yield pairs(last).select(["qid", "pid"])
+
+    def distance(batches):
+        for batch in batches:
+            score = np.sqrt(((matrix(batch.column("vec"), dim) - matrix(batch.column("of_vec"), dim)) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([batch.column("qid"), batch.column("pid"), pa.array(score)], ["qid", "pid", "score"])
 
     def ranked(held: DataFrame, visits: DataFrame) -> DataFrame:
         found = (held.unionByName(visits).repartition("key", "blk").sortWithinPartitions("key", "blk", "kind")
-                 .mapInArrow(search, "qid long, pid long, score double"))
-        return (found.groupBy("qid", "pid").agg(F.min("score").alias("score"))
+                 .mapInArrow(search, "qid long, pid long, least double, most double"))
+        # a written table: its size on disk decides whether the vectors' joins may broadcast it
+        near = written(found.repartition("qid").sortWithinPartitions("qid", "most", "pid").mapInArrow(settle, "qid long, pid long"), "ann-pairs")
+        exact = near.join(points.select("pid", "vec"), "pid").join(wanted.withColumnRenamed("vec", "of_vec"), "qid")
+        return (exact.select("qid", "pid", "vec", "of_vec").mapInArrow(distance, "qid long, pid long, score double")
                 .withColumn("r", F.row_number().over(Window.partitionBy("qid").orderBy("score", "pid"))).where(f"r <= {k + 1}"))
 
     def uncovered(batches):
-        a, b = shared.value
         for batch in batches:
-            vec = matrix(batch.column("vec"), a.shape[1])
+            vec = matrix(batch.column("vec"), dim)
             n, far = batch.column("n").to_numpy(zero_copy_only=False), batch.column("far").to_numpy(zero_copy_only=False)
-            place = np.stack([(vec @ a[t] + b[t]) / width for t in range(tables)], 1) if len(batch) else np.empty((0, tables, hashes))
-            place -= np.floor(place)
+            place = np.stack([p for _, _, p in places(vec)], 1)
             keep = [n[i] <= k or chance(place[i], far[i] / unit / width, probes) < cover for i in range(len(batch))]
             yield batch.select(["qid", "vec"]).filter(pa.array(keep, pa.bool_()))
 
+    held = points.select(F.col("pid").alias("id"), "vec").mapInArrow(post, schema)
+    visits = wanted.select(F.col("qid").alias("id"), "vec").mapInArrow(visit, schema)
     best = written(ranked(held, visits), "ann-found")
     # a query's own vector is always found: a list of k other ids has k + 1
     lengths = (best.join(points.select("pid", F.size("ids").alias("n")), "pid").groupBy("qid")
                .agg(F.sum("n").alias("n"), F.max("score").alias("far")))
     failed = written(wanted.join(lengths, "qid", "left").select("qid", "vec", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("far", F.lit(0.0)).alias("far"))
-                     .mapInArrow(uncovered, "qid long, vec array<double>"), "ann-failed")
+                     .mapInArrow(uncovered, wanted.select("qid", "vec").schema), "ann-failed")
     n_failed = failed.count()
     if n_failed:  # groups of queries against all points in blocks
-        groups, blocks = -(-n_failed // block), -(-points.count() // block)
-        every = points.select(F.explode(F.expr(f"sequence(0L, {groups - 1}L)")).alias("key"),
-                              F.pmod(F.xxhash64("pid"), F.lit(blocks)).cast("int").alias("blk"), F.lit(0).alias("kind"), F.col("pid").alias("id"), "vec")
-        each = failed.select(F.pmod(F.xxhash64("qid"), F.lit(groups)).cast("long").alias("key"),
-                             F.explode(F.expr(f"sequence(0, {blocks - 1})")).alias("blk"), F.lit(1).alias("kind"), F.col("qid").alias("id"), "vec")
+        groups, blocks = -(-n_failed // block), -(-n_points // block)
+        every = (points.select(F.col("pid").alias("id"), "vec").mapInArrow(only_coded, "id long, code binary")
+                 .select(F.explode(F.expr(f"sequence(0L, {groups - 1}L)")).alias("key"),
+                         F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("blk"), F.lit(0).alias("kind"), "id", "code"))
+        each = (failed.select(F.col("qid").alias("id"), "vec").mapInArrow(only_coded, "id long, code binary")
+                .select(F.pmod(F.xxhash64("id"), F.lit(groups)).cast("long").alias("key"),
+                        F.explode(F.expr(f"sequence(0, {blocks - 1})")).alias("blk"), F.lit(1).alias("kind"), "id", "code"))
         best = best.join(failed.select("qid"), "qid", "left_anti").unionByName(ranked(every, each))
     named = best.join(points.select("pid", F.explode("ids").alias("found_id")), "pid")
     # the list of each distinct query vector serves every query that has it
@@ -203,4 +345,4 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
 
 
 def matrix(lists: pa.Array, dim: int) -> np.ndarray:
-    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
