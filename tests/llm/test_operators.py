@@ -404,13 +404,16 @@ def test_codes_bound_the_distances_of_their_vectors():
     for dim, size in ((1, 1.0), (64, 1e-200), (64, 1.0), (64, 1e150), (64, 1e300), (1500, 3.0)):
         v = rng.normal(size=(60, dim)) * size
         v[0], v[1], v[2] = v[3], v[3] * 1000 if size < 1e300 else v[3], v[3] / 1e9
-        codes = ann.Codes(ann.coded(v), dim)
+        v[10:20] = v[3] + v[10:20] / 1e3  # a cluster around an anchor
+        anchors = np.stack([v[3] * 0, v[3], v[4]])
+        codes = ann.Codes(ann.coded(v, anchors), anchors)
         least, most = codes.bounds(codes)
         with np.errstate(over="ignore"):
             exact = np.sqrt(((v[:, None] - v) ** 2).sum(2))
         assert (least <= exact).all() and (exact <= most).all() and not np.isnan(least).any()
         if size == 1.0 and dim == 64:
             assert np.median(most - least) < 0.02 * np.median(exact)
+            assert np.median((most - least)[10:20, 10:20]) < 0.02 * np.median(exact[10:20, 10:20])
 
 
 def test_only_surely_beaten_pairs_are_dropped():

@@ -12,8 +12,10 @@ vector at the distance of the last one listed would lie in a visited bucket with
 ``cover`` (from the query's places in its buckets, over the Gaussian projections): queries far from
 the others, or of a larger norm.  So a list is short only if there are fewer candidates than k.
 
-Postings and visits carry no vector but a code: one byte a component, the scale, and the length of what
-the rounding left out.  Two codes bound the distance from both sides, so a task returns those candidates of
+Postings and visits carry no vector but a code: the nearest of ``anchors`` sampled vectors or zero, one
+byte a component for the difference, its scale, and the length of what the rounding left out.  The error
+follows the distance to the anchor, so a dense cluster of a few percent of the rows is told apart as finely
+as the whole table.  Two codes bound the distance from both sides, so a task returns those candidates of
 a query that can be among its k + 1 nearest, and drops only those that k + 1 others surely beat.  The
 vectors themselves join the few pairs that are left, for the exact distance.
 
@@ -91,43 +93,46 @@ def bucket_keys(table: int, at: np.ndarray) -> np.ndarray:
     return (key >> np.uint64(1)).astype(np.int64)
 
 
-def coded(vec: np.ndarray) -> pa.Array:
-    """For each row: scale, length of the rounding error (doubles), then one signed byte a component."""
+def coded(vec: np.ndarray, anchors: np.ndarray) -> pa.Array:
+    """For each row: scale, length of the rounding error (doubles), number of the anchor, then one signed byte a component."""
     with np.errstate(all="ignore"):
-        scale = np.maximum(np.abs(vec).max(1, initial=0.0) / 127, np.finfo(float).tiny)
-        code = np.clip(np.rint(vec / scale[:, None]), -127, 127).astype(np.int8)
-        left = np.sqrt(((vec - scale[:, None] * code) ** 2).sum(1)) * (1 + 1e-9)
-    raw = np.concatenate([np.stack([scale, left], 1).astype("<f8").view(np.uint8).reshape(len(vec), 16), code.view(np.uint8)], 1)
+        far = (anchors ** 2).sum(1) - 2 * (vec @ anchors.T)  # less the row's own squared length
+        anchor = np.where(np.isfinite(far), far, np.inf).argmin(1)
+        rest = vec - anchors[anchor]
+        scale = np.maximum(np.abs(rest).max(1, initial=0.0) / 127, np.finfo(float).tiny)
+        code = np.clip(np.rint(rest / scale[:, None]), -127, 127).astype(np.int8)
+        left = np.sqrt(((rest - scale[:, None] * code) ** 2).sum(1)) * (1 + 1e-9)
+    raw = np.concatenate([np.stack([scale, left], 1).astype("<f8").view(np.uint8).reshape(len(vec), 16),
+                          anchor.astype("<u2").view(np.uint8).reshape(len(vec), 2), code.view(np.uint8)], 1)
     return pa.array([r.tobytes() for r in raw], pa.binary())
 
 
 class Codes:
-    """Codes read back, with squared lengths."""
+    """Vectors as their codes tell them, with squared lengths and rounding errors."""
 
-    def __init__(self, codes: pa.Array, dim: int):
-        raw = np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(-1, 16 + dim)
-        self.scale, self.left = np.ascontiguousarray(raw[:, :16]).view("<f8").T
-        # sums of byte products are whole numbers: single precision holds them exactly up to 2 ** 24
-        self.code = raw[:, 16:].view(np.int8).astype(np.float32 if dim * 127 ** 2 < 1 << 24 else np.float64)
+    def __init__(self, codes: pa.Array, anchors: np.ndarray):
+        raw = np.frombuffer(b"".join(codes.to_pylist()), np.uint8).reshape(-1, 18 + anchors.shape[1])
+        scale, self.left = np.ascontiguousarray(raw[:, :16]).view("<f8").T
         with np.errstate(all="ignore"):
-            self.square = self.scale ** 2 * (self.code.astype(np.float64) ** 2).sum(1)
+            self.vec = anchors[np.ascontiguousarray(raw[:, 16:18]).view("<u2").ravel()] + scale[:, None] * raw[:, 18:].view(np.int8)
+            self.square = (self.vec ** 2).sum(1)
 
     def part(self, lo: int, hi: int) -> Codes:
         out = object.__new__(Codes)
-        out.scale, out.left, out.code, out.square = self.scale[lo:hi], self.left[lo:hi], self.code[lo:hi], self.square[lo:hi]
+        out.vec, out.left, out.square = self.vec[lo:hi], self.left[lo:hi], self.square[lo:hi]
         return out
 
     @staticmethod
     def joined(parts: list[Codes]) -> Codes:
         out = object.__new__(Codes)
-        out.scale, out.left, out.code, out.square = (np.concatenate([getattr(p, c) for p in parts]) for c in ("scale", "left", "code", "square"))
+        out.vec, out.left, out.square = (np.concatenate([getattr(p, c) for p in parts]) for c in ("vec", "left", "square"))
         return out
 
     def bounds(self, points: Codes) -> tuple[np.ndarray, np.ndarray]:
         """(least, greatest) distance of every row to every one of ``points``; 0 and infinity where numbers overflow."""
         with np.errstate(all="ignore"):
             both = self.square[:, None] + points.square
-            far = np.sqrt(np.maximum(both - 2 * (self.scale[:, None] * points.scale) * (self.code @ points.code.T), 0))
+            far = np.sqrt(np.maximum(both - 2 * (self.vec @ points.vec.T), 0))
             slack = self.left[:, None] + points.left + 1e-7 * np.sqrt(both)  # the last term: rounding of doubles
             least, most = far - slack, far + slack
         bad = ~np.isfinite(most)
@@ -137,10 +142,10 @@ class Codes:
 
 def unbeaten(qid: np.ndarray, pid: np.ndarray, least: np.ndarray, most: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
     """The pairs, once each and by (qid, most, pid), that can be among a query's k + 1 nearest of those given."""
-    order = np.lexsort((pid, most, qid))
+    order = np.lexsort((pid, qid))
+    order = order[np.r_[True, (np.diff(qid[order]) != 0) | (np.diff(pid[order]) != 0)][: len(order)]]
+    order = order[np.lexsort((pid[order], most[order], qid[order]))]
     qid, pid, least, most = qid[order], pid[order], least[order], most[order]
-    once = np.r_[True, (qid[1:] != qid[:-1]) | (pid[1:] != pid[:-1])][: len(qid)]
-    qid, pid, least, most = qid[once], pid[once], least[once], most[once]
     first = np.flatnonzero(np.r_[True, qid[1:] != qid[:-1]][: len(qid)])
     size = np.diff(np.r_[first, len(qid)])
     limit = np.where(size > k, most[np.minimum(first + k, len(qid) - 1)], np.inf) if len(qid) else np.empty(0)
@@ -159,8 +164,8 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", tables: int = 7,
-            hashes: int = 5, width: float = 1.5, probes: int = 40, block: int = 4096, sample_rows: int = 2000, seed: int = 11,
-            cover: float = 0.9) -> DataFrame:
+            hashes: int = 5, width: float = 1.5, probes: int = 40, block: int = 4096, sample_rows: int = 2000, anchors: int = 256,
+            seed: int = 11, cover: float = 0.9) -> DataFrame:
     """(query_id, rank, id, score): the ``k`` nearest found of every row for which ``is_query`` (of
     the column ``id``) holds, its own id left out."""
     rows = usable(vectors, id_col, vec_col)
@@ -177,14 +182,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     rng = np.random.default_rng(seed)
     a = rng.normal(size=(tables, data.shape[1], hashes)) / unit
     b = rng.uniform(0, width, (tables, hashes))
-    shared = vectors.sparkSession.sparkContext.broadcast((a, b))
+    shared = vectors.sparkSession.sparkContext.broadcast((a, b, np.concatenate([np.zeros((1, data.shape[1])), data[:anchors]])))
 
     dim = data.shape[1]
     n_points = points.count()
     block = max(block, -(-tables * n_points // LARGE))  # at most LARGE buckets hold more
 
     def places(vec):
-        a, b = shared.value
+        a, b, _ = shared.value
         for t in range(tables):
             place = (vec @ a[t] + b[t]) / width
             base = np.floor(place)
@@ -209,7 +214,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     def post(batches):
         for batch in batches:
             vec, own = matrix(batch.column("vec"), dim), batch.column("id")
-            code, salt = coded(vec), bucket_keys(0, own.to_numpy(zero_copy_only=False).reshape(-1, 1))
+            code, salt = coded(vec, shared.value[2]), bucket_keys(0, own.to_numpy(zero_copy_only=False).reshape(-1, 1))
             for t, base, _ in places(vec):
                 key = bucket_keys(t, base)
                 yield posting(key, salt % blocks_of(key), 0, own, code)
@@ -219,7 +224,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
             for lo in range(0, len(batch), 64):
                 part = batch.slice(lo, 64)
                 vec = matrix(part.column("vec"), dim)
-                own, code = part.column("id"), coded(vec)
+                own, code = part.column("id"), coded(vec, shared.value[2])
                 for t, base, place in places(vec):
                     moves = [(i, m) for i in range(len(part)) for m in perturbations(place[i], probes)]
                     of = np.array([i for i, _ in moves], np.int64)
@@ -239,7 +244,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
 
     def only_coded(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("id"), coded(matrix(batch.column("vec"), dim))], ["id", "code"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), coded(matrix(batch.column("vec"), dim), shared.value[2])], ["id", "code"])
 
     schema = "key long, blk int, kind int, id long, code binary"
 
@@ -248,7 +253,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
         held, size = [], 0
         for batch in batches:
             key, blk, kind, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "blk", "kind", "id"))
-            code = Codes(batch.column("code"), dim)
+            code = Codes(batch.column("code"), shared.value[2])
             new = np.flatnonzero((key[1:] != key[:-1]) | (blk[1:] != blk[:-1]) | (kind[1:] != kind[:-1])) + 1
             for lo, hi in zip(np.r_[0, new], np.r_[new, len(key)]):
                 if hi == lo:
