@@ -553,6 +553,16 @@ def test_the_log_of_the_query_regenerates_and_edits(spark):
     assert plan.count("hashpartitioning(conv_id") <= 2 and "Join" not in plan
 
 
+def test_placed_pieces_need_no_second_exchange(spark):
+    rows = [(c, t, ["user", "assistant"][t % 2], f"text {c} {t} <|end|>" * (1 + c % 5)) for c in range(300) for t in range(1 + c % 9)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    pieces = chat.rendered(chat.messages(chat.events_of(df)))
+    placed = chat.read_back(pieces, placed=True)
+    assert sorted(placed.collect()) == sorted(chat.read_back(pieces).collect()) and placed.count() == 300
+    exchanges = [x._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(conv_id") for x in (placed, chat.read_back(pieces))]
+    assert exchanges[0] == exchanges[1] - 1
+
+
 def test_chat_round_trip(spark):
     texts = ["</s>[INST] ok [/INST]", chat.END, chat.ROLE + "user\n", "<\\|x <\\\\| <", "", None, "a\\", "<" * 5 + "|", "é\U0001f600" * 500, chat.NEWLINE]
     rows = [(c, t, ["user", "assistant", "we\nird", None][(c + t) % 4], texts[(c * 3 + t) % len(texts)]) for c in range(12) for t in range(c)]

@@ -122,10 +122,12 @@ def conversations(pieces: DataFrame) -> DataFrame:
             .select("conv_id", F.expr("concat_ws('', transform(all, x -> x.piece))").alias("formatted")))
 
 
-def read_back(pieces: DataFrame) -> DataFrame:
+def read_back(pieces: DataFrame, placed: bool = False) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) from the output
     alone.  The pieces stream past in order, one at a time; digests are built up as they go, so a
-    conversation of any length needs the memory of one piece."""
+    conversation of any length needs the memory of one piece.  ``placed``: the pieces come straight from
+    ``rendered(messages(...))``, whose fold leaves every conversation in one partition and in the order of turn,
+    so they need no second exchange and sort; anything else (a written table, a join) needs both."""
     def run(batches):
         now, state = None, None
 
@@ -155,7 +157,8 @@ def read_back(pieces: DataFrame) -> DataFrame:
     of = pieces.schema["conv_id"].dataType
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     types = [to_arrow_type(of), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-    return (small_batches(pieces).repartition("conv_id").sortWithinPartitions("conv_id", "turn")
+    pieces = small_batches(pieces.select("conv_id", "turn", "piece", "loss_start", "loss_end"))
+    return ((pieces if placed else pieces.repartition("conv_id").sortWithinPartitions("conv_id", "turn"))
             .mapInArrow(run, f"conv_id {of.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"))
 
 

@@ -69,7 +69,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    return chat.read_back(chat.rendered(chat.messages(chat.events_of(rows))))
+    return chat.read_back(chat.rendered(chat.messages(chat.events_of(rows))), placed=True)
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
