@@ -125,7 +125,13 @@ def test_checkpoint_dir_without_the_setting():
 
     class Unset:
         class conf:
-            get = staticmethod(lambda key, default=None: default)
+            get = staticmethod(lambda key, default=None: {"spark.master": "local[2]"}.get(key, default))
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default))
     assert os.path.isdir(checkpoint_dir(Unset, allow_local_default=True))
     with pytest.raises(RuntimeError):
         checkpoint_dir(Unset)
+    with pytest.raises(RuntimeError):  # a folder of one machine is no use to a cluster
+        checkpoint_dir(Cluster, allow_local_default=True)

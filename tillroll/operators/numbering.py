@@ -2,8 +2,12 @@
 
 The rows are range-partitioned and sorted by Spark (a distributed sort).  Each
 row gets a per-task sequence id; a per-partition table (one row per partition)
-turns those into offsets, so ``row_no`` is consecutive across partitions.  The
-sorted data is one exchange read by both branches (reused), so the ids agree.
+turns those into offsets, so ``row_no`` is consecutive across partitions.
+
+Rows and ids are written once to the shared folder, and both the rows and the
+per-partition table are read from there.  Two reads of the sort itself need not
+agree: range bounds come from samples, column pruning makes two exchanges of one,
+and adaptive execution may coalesce them differently.
 """
 
 from __future__ import annotations
@@ -13,16 +17,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import run_folder
+
 
 def number_rows(df: DataFrame, order_by: Sequence[str], row_col: str = "row_no",
                 start: int = 0, count_col: str | None = None) -> DataFrame:
     """``df`` plus ``row_col``: start, start + 1, ... in ``order_by`` order.
 
     With ``count_col``, also the total number of rows (from the same
-    per-partition table).
+    per-partition table).  The rows are sorted and written when this is called;
+    ties get their numbers in any order.
     """
-    ordered = df.orderBy(*order_by).select(
+    path = run_folder(df.sparkSession, "numbered-rows", allow_local_default=True)
+    marked = df.orderBy(*order_by).select(
         "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_seq"))
+    marked.write.parquet(path)
+    ordered = df.sparkSession.read.schema(marked.schema).parquet(path)
     parts = ordered.groupBy(F.col("_part").alias("_pid")).agg(
         F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

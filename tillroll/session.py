@@ -44,12 +44,12 @@ def checkpoint_dir(spark: SparkSession, *, allow_local_default: bool = False) ->
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder must be configured (it has to be visible to every
-    executor).  Tests and local benches pass ``allow_local_default=True`` to
-    get a fresh scratch folder when the setting is absent.
+    executor).  Where all of Spark runs on this machine (tests, benches),
+    ``allow_local_default=True`` gives a fresh scratch folder when the setting is absent.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not allow_local_default:
+        if not (allow_local_default and spark.conf.get("spark.master", "").startswith("local")):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
         path = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     return path
