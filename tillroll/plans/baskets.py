@@ -46,7 +46,7 @@ def bought_together_basket_arrays(lines: DataFrame, block: int = 256) -> DataFra
 def shared_orders(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     """product_1, product_2, n_orders for given ``pairs`` of products: how many distinct orders hold both, 0 included.
 
-    Orders are numbered once; a product's orders are a bit set of 64 numbers a word.  A pair's words meet on
+    Orders are numbered once, in a table written when this is called; a product's orders are a bit set of 64 numbers a word.  A pair's words meet on
     (product, word) and are intersected bit by bit, so no set of orders is ever one value.
     """
     wanted = pairs.select("product_1", "product_2").distinct()
