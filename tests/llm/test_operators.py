@@ -747,6 +747,35 @@ def test_licences_found_and_confirmed(spark, sf_docs):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_licences_learnt_from_all_lines(spark):
+    """Counts, model and threshold come from every distinct line: the threshold is the percentile over all of them."""
+    rng = np.random.default_rng(5)
+    held = [sorted(set(re.findall("[a-z0-9]+", " ".join(x).lower()))) for x in licenses.NOTICES.values()]
+    texts = [f"plain n{i} the end" for i in range(9000)] + [
+        " q ".join(rng.permutation(held[i % 16])[: 8 + i % 17]) + f" n{i}" for i in range(60)]  # words of a notice, no pair of it
+    lines = spark.createDataFrame([(t,) for t in texts + texts[-40:] * 30], "text string")  # copies count once
+    model = licenses.train(lines, licenses.NOTICES)
+    assert model["learnt"] == len(texts)
+    rows = spark.createDataFrame([(i, 0, 0, 1, t.split()) for i, t in enumerate(texts)], "doc_id long, row long, paragraph int, n_lines int, w array<string>")
+    got = {r.doc_id: r for r in licenses.scored(rows, model).collect()}
+    near = [i for i, t in enumerate(texts) if set(t.split()) & set(model["single"])]
+    sure = [0 if got[i].family == licenses.UNKNOWN else got[i].probability for i in near]
+    want = float(np.percentile(sure, 99.9))
+    assert 0.5 < want < 1 and abs(model["threshold"] - want) < 2e-6
+
+
+def test_line_grams_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    grams = ["a", "b", "a b", "b a", "a b a", "c d"]
+    texts = [" ".join(rng.choice(list("abcdx"), rng.integers(0, 7))) for _ in range(200)]
+    want = []
+    for t in sorted(set(texts)):
+        w = t.split()
+        want.append(sorted({" ".join(w[i: i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)} & set(grams)))
+    got = licenses.line_grams(spark.createDataFrame([(t,) for t in texts], "text string"), grams).collect()
+    assert sorted(r.g for r in got) == sorted(want)
+
+
 # 10 BPE
 
 def test_bpe_equals_the_library(spark, sf_docs):

@@ -7,13 +7,15 @@ than the longest notice, as they would lie inside it.  A window keeps as many wo
 Features: the distinct words, word pairs and word triples of a paragraph (a line of the text) that the notices
 of the licence families hold, without those that are common in other paragraphs or hold common words only.
 
-Training: multinomial logistic regression (spark.ml) on the family notices, on parts of them, and on a
-bounded sample of corpus paragraphs that share at most a few words with any notice (class ``unknown``).
+Training: multinomial logistic regression (spark.ml) on the family notices, on parts of them, and on every
+distinct line of the corpus that holds at most one word pair of any notice (class ``unknown``); the lines that
+hold the same known n-grams are one row with their number as weight.
 
 Prediction: weights are a table (n-gram, weight of each class); the known n-grams of all paragraphs are joined
 with it, summed per paragraph and turned into class probabilities.  A paragraph without any known n-gram
-scores the intercepts, which is ``unknown``, and needs no row.  Calibration: another bounded sample of other paragraphs gives the
-probability that all but ``false_rate`` of them stay below; a family below that is ``unknown``.  Confirmation: the
+scores the intercepts, which is ``unknown``, and needs no row.  Calibration: all distinct lines with a known word and at
+most one known word pair of a notice give the probability, to a millionth, that all but ``false_rate`` of them stay
+below; a family below that is ``unknown``.  Confirmation: the
 largest share of a template's word pairs that the paragraph holds, over the family's templates, must
 reach ``min_similarity``.  Of nested findings the tightest with the largest share stays: one that holds another
 with at least its share goes, then one inside another with a larger share.
@@ -25,7 +27,6 @@ go to the smaller name.  A line of any length is one paragraph; a notice cut by
 from __future__ import annotations
 
 import json
-import math
 import re
 
 from pyspark.ml.classification import LogisticRegression
@@ -118,54 +119,60 @@ def notices(spark: SparkSession, families: dict[str, list[str]]) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def _drawn(rows: DataFrame, total: int, want: int, salt: str) -> DataFrame:
-    """About ``want`` of the ``total`` distinct texts of ``rows`` by a hash, each text once."""
-    parts = 1 << 24
-    most = min(parts, math.ceil(parts * want / max(1, total)))
-    return rows.where(F.pmod(F.xxhash64("text", F.lit(salt)), F.lit(parts)) < most).dropDuplicates(["text"]).limit(2 * want)
+def line_grams(lines: DataFrame, grams: list[str]) -> DataFrame:
+    """(g): for every distinct text of ``lines`` the sorted n-grams of ``grams`` that it holds, as a written table.  Texts
+    are told apart by two 64-bit hashes, and only these and the n-grams found are dealt out."""
+    single = sorted({w for x in grams for w in x.split(" ")})
+    rows = lines.select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2"), words(F.col("text")).alias("w"))
+    # other words become null, and so does what holds one
+    rows = rows.withColumn("w1", F.transform("w", lambda x: F.when(x.isin(single), x)))
+    rows = rows.withColumn("w2", F.expr("zip_with(w1, slice(w1, 2, size(w1)), (x, y) -> concat(x, ' ', y))"))
+    rows = rows.withColumn("w3", F.expr("zip_with(w2, slice(w1, 3, size(w1)), (x, y) -> concat(x, ' ', y))"))
+    held = F.array_sort(F.array_distinct(F.filter(F.concat("w1", "w2", "w3"), lambda x: x.isin(grams))))
+    return written(rows.select("h1", "h2", held.alias("g")).distinct().select("g"), "licence-lines")
 
 
-def train(lines: DataFrame, families: dict[str, list[str]], sample_rows: int = 2000, common: float = 0.01,
-          false_rate: float = 0.001) -> dict:
-    """Weights (n-gram -> weight of each class), intercepts, class names and the calibrated threshold, from
-    the notices and two samples of at most twice ``sample_rows`` paragraphs."""
+def train(lines: DataFrame, families: dict[str, list[str]], common: float = 0.01, false_rate: float = 0.001) -> dict:
+    """Weights (n-gram -> weight of each class), intercepts, class names, the calibrated threshold and ``learnt``, the
+    number of paragraphs of class ``unknown``, from the notices and every distinct paragraph of ``lines``."""
     spark = lines.sparkSession
-    # of distinct lines: copies must not thin the sample out
-    total = lines.agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")).first()["n"]
     known = notices(spark, families).withColumn("w", words(F.col("text")))
     marks = sorted({w for r in known.select(ngrams("w", 2).alias("g")).collect() for w in r["g"] if " " in w})
-    other = _drawn(lines, total, sample_rows, "fit").select("text").withColumn("w", words(F.col("text"))).withColumn("g", ngrams("w"))
-    # a drawn paragraph that holds several word pairs of a notice may be one
-    pairs = F.array(*[F.lit(m) for m in marks])
-    other = other.where(F.size(F.array_intersect("g", pairs)) < 2).select("g").persist()
-    n_other = other.count()
-    often = {r["x"] for r in other.select(F.explode("g").alias("x")).groupBy("x").count().where(f"count > {common * n_other}").collect()}
     # each notice whole, and without its first or last third
     cut = F.expr("greatest(2, cast(ceil(size(w) * 2 / 3) as int))")
     views = known.select("family", F.explode(F.array("w", F.slice("w", F.lit(1), cut), F.reverse(F.slice(F.reverse("w"), F.lit(1), cut)))).alias("w"))
     views = views.withColumn("g", ngrams("w"))
-    vocabulary = {x for r in views.select("g").collect() for x in r["g"]} - often
+    grams = {x for r in views.select("g").collect() for x in r["g"]}
+
+    few_pairs = F.size(F.filter("g", lambda x: x.isin(marks))) < 2
+    # a paragraph that holds several word pairs of a notice may be one
+    held = line_grams(lines, sorted(grams | set(marks)))
+    held = held.select("g", few_pairs.alias("other"))
+    n_other = held.where("other").count()
+    often = {r["x"] for r in held.where("other").select(F.explode("g").alias("x")).groupBy("x").count().where(f"count > {common * n_other}").collect()}
+    vocabulary = grams - often
     single = {x for x in vocabulary if " " not in x}
     vocabulary = sorted(x for x in vocabulary if not single.isdisjoint(x.split(" ")))  # no n-grams of common words only
+    # paragraphs that hold the same known n-grams count as one row, as heavy as all of them
+    sets = written(held.select(F.filter("g", lambda x: x.isin(vocabulary)).alias("g"), "other").groupBy("g", "other").agg(F.count(F.lit(1)).alias("n")), "licence-sets")
     names = [UNKNOWN, *sorted(families)]
     label = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("family")).cast("double") - 1
+    # every class has rows, also without any paragraph: one without n-grams is unknown
     rows = views.select(label.alias("label"), "g", F.lit(1.0).alias("weight")).unionByName(
-        other.select(F.lit(0.0).alias("label"), "g", F.lit(len(names) * 3.0 / max(1, n_other)).alias("weight")))
-    # every class has rows, also with an empty sample: a paragraph without n-grams is unknown
-    rows = rows.unionByName(spark.range(1).select(F.lit(0.0).alias("label"), F.expr("cast(array() as array<string>)").alias("g"), F.lit(3.0).alias("weight")))
+        spark.range(1).select(F.lit(0.0).alias("label"), F.expr("cast(array() as array<string>)").alias("g"), F.lit(3.0).alias("weight"))).coalesce(1)
+    rows = rows.unionByName(sets.where("other").select(F.lit(0.0).alias("label"), "g", (F.col("n") * F.lit(len(names) * 3.0 / max(1, n_other))).alias("weight")))
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="g", outputCol="features").setBinary(True)
     fit = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=60, weightCol="weight", standardization=False).fit(
-        vectors.transform(rows).select("label", "features", "weight").coalesce(2))
-    other.unpersist()
+        vectors.transform(rows).select("label", "features", "weight"))
     matrix = fit.coefficientMatrix.toArray()
-    model = {"names": names, "intercepts": [float(v) for v in fit.interceptVector.toArray()],
-             "weights": [(g, [float(v) for v in matrix[:, i]]) for i, g in enumerate(vocabulary)], "threshold": 0.5}
+    model = {"names": names, "intercepts": [float(v) for v in fit.interceptVector.toArray()], "learnt": n_other,
+             "weights": [(g, [float(v) for v in matrix[:, i]]) for i, g in enumerate(vocabulary)]}
     model["single"] = sorted(single)
     model["longest"] = max(len(r["w"]) for r in known.select("w").collect())
-    check = (_drawn(lines, total, sample_rows, "calibrate").withColumn("w", words(F.col("text")))
-             .where(F.arrays_overlap("w", F.array(*[F.lit(x) for x in model["single"]]).cast("array<string>")))
-             .select(F.lit(0).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.lit(0).alias("paragraph"), F.lit(1).alias("n_lines"), "w"))
-    high = scored(check, model).where(F.size(F.array_intersect("held", pairs)) < 2).agg(F.expr(f"percentile(if(family = '{UNKNOWN}', 0D, probability), {1 - false_rate})").alias("p")).first()["p"]
+    check = fit.transform(vectors.transform(sets.where(F.size("g") > 0).where(few_pairs))).select("n", vector_to_array("probability").alias("p"))
+    # probabilities down to a millionth, so that the values to count are bounded
+    sure = F.when(F.array_position("p", F.array_max("p")) == 1, 0.0).otherwise(F.floor(F.array_max("p") * 1e6) / 1e6)
+    high = check.groupBy(sure.alias("p")).agg(F.sum("n").alias("n")).agg(F.expr(f"percentile(p, {1 - false_rate}, n)").alias("p")).first()["p"]
     model["threshold"] = max(0.5, high or 0.0)
     return model
 
@@ -224,12 +231,12 @@ def tightest(found: DataFrame, most_lines: int) -> DataFrame:
 
 
 def scan(docs: DataFrame, families: dict[str, list[str]] | None = None, id_col: str = "doc_id", text_col: str = "text",
-         min_similarity: float = 0.6, sample_rows: int = 2000) -> DataFrame:
+         min_similarity: float = 0.6) -> DataFrame:
     """(doc_id, paragraph, n_lines, family, probability, similarity, confirmed): one row for each paragraph, named by its
     first line (from 0) and number of lines, in which the calibrated classifier sees a licence family."""
     families = families or NOTICES
     texts = bodies(docs, id_col, text_col)
-    model = train(texts.select(F.explode("lines").alias("text")).where("trim(text) != ''"), families, sample_rows)
+    model = train(texts.select(F.explode("lines").alias("text")).where("trim(text) != ''"), families)
     found = scored(windows(texts, model["single"], model["longest"]), model)
     found = found.where((F.col("family") != UNKNOWN) & (F.col("probability") >= model["threshold"]))
     found = found.withColumn("similarity", similarity(families, [g for g, _ in model["weights"]]))
