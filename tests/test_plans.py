@@ -142,3 +142,11 @@ def test_date_bounds_reach_the_scan_of_stored_lines(spark, tmp_dir, name):
     plan = _plan(catalog.VIEWS[name](inp))
     pushed = plan[plan.index("PushedFilters: "):].split("ReadSchema")[0]
     assert "GreaterThan" in pushed and "order_date" in pushed, pushed
+
+
+def test_export_text_is_written_once_a_line(spark):
+    """The filter on the text stays above it: moved into the join it would write every line a second time."""
+    df = catalog.QUERIES["csv_order_lines"](spark, SMOKE)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("concat_ws(" in line for line in plan.split("\n")) == 1
+    assert not any("concat_ws(" in line for line in plan.split("\n") if "Join" in line)

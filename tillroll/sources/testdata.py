@@ -136,6 +136,7 @@ def export_text_of(spark: SparkSession, lines: DataFrame) -> DataFrame:
     by_pos = {pos: F.col(name).cast("string") for name, pos in ORDER_EXPORT_POSITIONS.items()}
     width = max(ORDER_EXPORT_POSITIONS.values()) + 1
     fields = [_csv_field(by_pos.get(i, F.lit(_EXPORT_FILLER.get(i, "")))) for i in range(width)]
-    body = lines.select(F.concat_ws(",", *fields).alias("value"))
+    # the text comes out of a generator, so that filters on it are not moved into the joins, where they would write it once more
+    body = lines.select(F.explode(F.array(F.concat_ws(",", *fields))).alias("value"))
     header = spark.range(1).select(F.lit(",".join(_EXPORT_HEADER)).alias("value"))
     return header.unionByName(body)
