@@ -624,6 +624,23 @@ def test_model_probabilities_are_normalised():
     assert np.allclose(p.sum(1), 1, atol=1e-5)
 
 
+def test_steps_and_scores_equal_plain_formulas(monkeypatch):
+    rng = np.random.default_rng(8)
+    text = rng.integers(0, 9, 400)
+    whole = lm.train([text], 9, np.ones(9), dim=4, epochs=1, batch=64, noise=16)
+    monkeypatch.setattr(lm, "STEP_ROWS", 7)  # rows in pieces give the same step
+    pieces = lm.train([text], 9, np.ones(9), dim=4, epochs=1, batch=64, noise=16)
+    assert all(np.allclose(whole[x], pieces[x], atol=1e-5) for x in lm.NAMES)
+    ctx, word = lm.contexts([text], 9)
+    for big in (1, 200):  # scores that need no shift, and scores that overflow without one
+        model = whole | {"b": whole["b"] * np.float32(big)}
+        h = sum(model["r"][ctx[:, i]].astype(float) @ model["m"][i] for i in range(lm.CONTEXT))
+        logits = h @ model["q"].T + model["b"]
+        logits -= logits.max(1, keepdims=True)
+        want = logits[np.arange(len(word)), word] - np.log(np.exp(logits).sum(1))
+        assert np.allclose(lm.log_probabilities(model, ctx, word), want, rtol=1e-4, atol=1e-3)
+
+
 def test_model_learns_order():
     text = np.tile([0, 1, 2, 3], 500)
     model = lm.train([text], 5, np.bincount(text, minlength=5), dim=8, epochs=20, batch=64)

@@ -40,6 +40,7 @@ HEAD, TAILS, DIM, CONTEXT = 959, 64, 24, 2
 PIECE_CHARS = 20_000
 ROUNDS = 6
 NOISE = 256
+STEP_ROWS = 512  # rows of a step whose noise scores are computed at a time
 NAMES = ("r", "q", "m", "b")
 FIXED = float(1 << 40)  # changes are summed as integers, so in any order
 
@@ -112,38 +113,48 @@ def descend(params: list[np.ndarray], seen: list[np.ndarray], ctx: np.ndarray, w
     log_noise = (np.log(share) + np.log(noise)).astype(np.float32)
     below = np.cumsum(share)
 
-    def step(k, grad, at=None):
-        x, s = params[k], seen[k]
-        if at is None:
-            s += grad * grad
-            x += rate * grad / np.sqrt(s)
-        else:
-            order = np.argsort(at.astype(np.min_scalar_type(len(x))), kind="stable")  # short integers sort faster
-            first = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]])
-            rows, g = at[order][first], np.add.reduceat(grad[order], first, axis=0)
-            s[rows] += g * g
-            x[rows] += rate * g / np.sqrt(s[rows])
-
+    def step(which, grads, at):
+        order = np.argsort(at.astype(np.min_scalar_type(len(params[which[0]]))), kind="stable")  # short integers sort faster
+        at = at[order]
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        rows = at[first]
+        for k, grad in zip(which, grads):
+            g = np.add.reduceat(grad[order], first, axis=0)
+            now = seen[k][rows] + g * g
+            seen[k][rows] = now
+            params[k][rows] += rate * g / np.sqrt(now)
+
+    dim, ones = r.shape[1], np.ones((STEP_ROWS, 1), np.float32)
+    fake = np.empty((STEP_ROWS, noise), np.float32)
     for pick in picks:
         c, w, batch = ctx[pick], word[pick], len(pick)
         other = np.minimum(np.searchsorted(below, rng.random(noise) * below[-1], side="right"), len(share) - 1)
         vec = [r[c[:, i]] for i in range(CONTEXT)]
         h = sum(v @ m[i] for i, v in enumerate(vec))
-        true = 1 / (1 + np.exp(np.clip(((h * q[w]).sum(1) + b[w] - log_noise[w]), -30, 30)))  # 1 - P(data)
-        # P(data), in place, from the negated odds; the exponent's overflow is a probability of 0
-        fake = -h @ q[other].T
-        fake -= b[other] - log_noise[other]
-        with np.errstate(over="ignore"):
-            np.exp(fake, out=fake)
-        fake += 1
-        np.divide(np.float32(1 / batch), fake, out=fake)
+        qw, qo = q[w], q[other]
+        true = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", h, qw) + b[w] - log_noise[w], -30, 30)))  # 1 - P(data)
         true = (true / batch).astype(np.float32)
-        back = true[:, None] * q[w] - fake @ q[other]
-        step(1, np.concatenate((true[:, None] * h, -(fake.T @ h))), np.concatenate((w, other)))
-        step(3, np.concatenate((true, -fake.sum(0))), np.concatenate((w, other)))
-        grads = [v.T @ back for v in vec]
-        step(0, np.concatenate([back @ m[i].T for i in range(CONTEXT)]), np.concatenate([c[:, i] for i in range(CONTEXT)]))
-        step(2, np.stack(grads))
+        back = true[:, None] * qw
+        # P(data) of the noise, in place, from the negated odds; the exponent's overflow is a probability of 0.  Some
+        # rows at a time, which stay in the processor's cache; a column of ones adds the bias and sums the rows
+        odds = np.concatenate((-qo, (log_noise[other] - b[other])[:, None]), 1).T
+        down = np.zeros((noise, dim + 1), np.float32)
+        for lo in range(0, batch, STEP_ROWS):
+            some = np.concatenate((h[lo: lo + STEP_ROWS], ones[: batch - lo]), 1)
+            f = np.matmul(some, odds, out=fake[: len(some)])
+            with np.errstate(over="ignore"):
+                np.exp(f, out=f)
+            f += 1
+            np.divide(np.float32(1 / batch), f, out=f)
+            back[lo: lo + STEP_ROWS] -= f @ qo
+            down += f.T @ some
+        both = np.concatenate((w, other))
+        grad = np.concatenate((true[:, None] * h, -down[:, :dim]))
+        step((1, 3), (grad, np.concatenate((true, -down[:, dim]))), both)
+        step((0,), (np.concatenate([back @ m[i].T for i in range(CONTEXT)]),), np.concatenate([c[:, i] for i in range(CONTEXT)]))
+        grad = np.stack([v.T @ back for v in vec])
+        seen[2] += grad * grad
+        m += rate * grad / np.sqrt(seen[2])
 
 
 def classed(blocks: DataFrame, known: list[str], tails: int) -> DataFrame:
@@ -248,6 +259,10 @@ def part_contexts(line: np.ndarray, lo: int, hi: int, start: int) -> tuple[np.nd
 def log_probabilities(model: dict, ctx: np.ndarray, word: np.ndarray, chunk: int = 256) -> np.ndarray:
     """Natural log of the normalised probability of each class after its context."""
     classes = len(model["b"])
+    # vectors with a last 1 for the bias; where no score can overflow, none has to be shifted by the largest one
+    weights = np.concatenate((model["q"], model["b"][:, None]), 1).T.astype(np.float32)
+    reach = sum(np.linalg.norm(model["r"] @ m, axis=1).max() for m in model["m"]) * np.linalg.norm(model["q"], axis=1).max() + np.abs(model["b"]).max()
+    small = reach < 60
     key = ctx[:, 0]
     for i in range(1, CONTEXT):
         key = key * (classes + 1) + ctx[:, i]
@@ -260,9 +275,9 @@ def log_probabilities(model: dict, ctx: np.ndarray, word: np.ndarray, chunk: int
     for k, lo in enumerate(range(0, len(first), chunk)):
         c = ctx[first[lo: lo + chunk]]
         h = sum(model["r"][c[:, i]] @ model["m"][i] for i in range(CONTEXT))
-        logits = h @ model["q"].T + model["b"]
-        top = logits.max(1, keepdims=True)
-        logits -= top
+        logits = np.concatenate((h, np.ones((len(h), 1), np.float32)), 1) @ weights
+        if not small:
+            logits -= logits.max(1, keepdims=True)
         mine = order[cuts[k]: cuts[k + 1]]
         at = group[cuts[k]: cuts[k + 1]] - lo
         out[mine] = logits[at, word[mine]]
